@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from telemetry_lake.operators.sinks import balanced
 from telemetry_lake.plans.lake import BATCH, PUBLISHED_SCHEMA, Lake
-from telemetry_lake.session import small_frame
+from telemetry_lake.session import literal_path, small_frame
 
 
 def compact_folder(df: DataFrame, target: str, date_column: str) -> int:
@@ -23,7 +23,7 @@ def compact_folder(df: DataFrame, target: str, date_column: str) -> int:
         writer = balanced(df).write
     writer.mode("errorifexists").parquet(target)
     expected = df.count()
-    written = spark.read.schema(df.schema).parquet(target).count()
+    written = spark.read.schema(df.schema).parquet(literal_path(target)).count()
     if written != expected:
         raise RuntimeError(f"{target}: {written} rows written, {expected} expected")
     return written
@@ -45,7 +45,8 @@ def compact_table(spark: SparkSession, lake: Lake, name: str) -> str:
     batches = opened.batches(name)
     rows = batches.where(F.col(BATCH).isin(sorted(finished - folded))).drop(BATCH)
     if current:
-        rows = rows.unionByName(spark.read.schema(opened.columns(name)).parquet(current.location))
+        folder = literal_path(current.location)
+        rows = rows.unionByName(spark.read.schema(opened.columns(name)).parquet(folder))
     location = lake.path("snapshots", f"{name}.v{version}.parquet")
     count = compact_folder(rows, location, lake.date_column)
     pointer = [(name, version, location, count, sorted(folded | finished))]

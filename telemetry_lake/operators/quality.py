@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
 from telemetry_lake.session import small_frame
 
@@ -28,8 +29,22 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def type_text(data_type: DataType) -> str:
+    """Short type text that reads back as the same type; unusual field names are quoted."""
+    if isinstance(data_type, ArrayType):
+        return f"array<{type_text(data_type.elementType)}>"
+    if isinstance(data_type, StructType):
+        plain = re.compile(r"[A-Za-z_]\w*", re.ASCII)
+        fields = [
+            (f.name if plain.fullmatch(f.name) else quoted(f.name)) + ":" + type_text(f.dataType)
+            for f in data_type.fields
+        ]
+        return f"struct<{','.join(fields)}>"
+    return data_type.simpleString()
+
+
 def schema_rows(table: str, schema: StructType) -> list[tuple[str, str, str]]:
-    return [(table, f.name, f.dataType.simpleString()) for f in schema.fields]
+    return [(table, f.name, type_text(f.dataType)) for f in schema.fields]
 
 
 def discover(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:

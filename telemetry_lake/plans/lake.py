@@ -15,10 +15,10 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from telemetry_lake.operators.quality import REGISTRY_SCHEMA, quoted, struct_from_registry
-from telemetry_lake.session import path_missing, small_frame
+from telemetry_lake.session import literal_path, path_missing, small_frame
 
 BATCH = "_batch_id"
 QUARANTINE_SCHEMA = "file_name string, reason string, record string, table_name string"
@@ -76,7 +76,7 @@ class Lake:
     @staticmethod
     def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
         try:
-            return spark.read.schema(schema).parquet(path)
+            return spark.read.schema(schema).parquet(literal_path(path))
         except AnalysisException as error:
             if path_missing(error):
                 return small_frame(spark, [], "x string").select(
@@ -91,7 +91,7 @@ class OpenLake:
     def __init__(self, spark: SparkSession, lake: Lake):
         self.spark = spark
         self.lake = lake
-        known = lake.registry(spark).orderBy("table_name", "column_name").collect()
+        known = sorted(lake.registry(spark).collect())
         types: dict[str, dict[str, str]] = {}
         for row in known:
             types.setdefault(row.table_name, {})[row.column_name] = row.data_type
@@ -106,8 +106,8 @@ class OpenLake:
 
     def columns(self, name: str) -> StructType:
         """A table's columns by the registry, the date last."""
-        fields = self._columns[name].fields
-        return StructType(fields).add(self.lake.date_column, DateType(), True)
+        date = StructField(self.lake.date_column, DateType(), True)
+        return StructType([*self._columns[name].fields, date])
 
     def published(self, name: str) -> Row | None:
         """The current compacted version of a table."""
@@ -116,7 +116,8 @@ class OpenLake:
     def batches(self, name: str) -> DataFrame:
         """All ingested rows of a table with their batch. The registry gives the schema:
         no footer merge, and a column a file lacks reads as NULL."""
-        schema = self.columns(name).add(BATCH, StringType(), True)
+        batch = StructField(BATCH, StringType(), True)
+        schema = StructType([*self.columns(name).fields, batch])
         return self.lake._read(self.spark, self.lake.table_path(name), schema)
 
     def read(self, name: str) -> DataFrame:
@@ -125,7 +126,9 @@ class OpenLake:
         current = self.published(name)
         if current is None:
             return rows.drop(BATCH)
-        snapshot = self.spark.read.schema(self.columns(name)).parquet(current.location)
+        snapshot = self.spark.read.schema(self.columns(name)).parquet(
+            literal_path(current.location)
+        )
         newer = rows.where(~F.col(BATCH).isin(list(current.folded)))
         return snapshot.unionByName(newer.drop(BATCH))
 

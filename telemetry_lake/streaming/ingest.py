@@ -8,7 +8,6 @@ Everything a page writes is keyed by its batch, so a replay replaces and never a
 
 from __future__ import annotations
 
-import re
 import time
 from collections import defaultdict
 from collections.abc import Callable
@@ -20,7 +19,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 from telemetry_lake.functions.routing import (
     NAME_PATTERN,
@@ -32,12 +31,12 @@ from telemetry_lake.operators.quality import (
     REGISTRY_SCHEMA,
     castable,
     merge_schema,
-    quoted,
     repaired,
+    type_text,
 )
 from telemetry_lake.operators.sinks import balanced
 from telemetry_lake.plans.lake import AUDIT_SCHEMA, BATCH, DRIFT_SCHEMA, Lake
-from telemetry_lake.session import small_frame
+from telemetry_lake.session import literal_path, small_frame
 
 # Fixed value: where the JSON reader keeps a line it cannot parse.
 CORRUPT = "_corrupt_record"
@@ -76,7 +75,8 @@ def landing_stream(
     glob: str = "*.json",
     archive: str | None = None,
 ) -> DataFrame:
-    """Path, size and file name of new landing files, at most ``page_files`` a batch."""
+    """Path, size and name of new landing files, at most ``page_files`` a batch. Spark
+    gives no row for an empty file."""
     reader = (
         spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)
@@ -168,6 +168,8 @@ def ingest_page(
     parallel_tables: int = 8,
 ) -> None:
     """Ingest one page of files under a batch key."""
+    if not files:
+        return
     started = time.monotonic()
     by_table: dict[str | None, list[LandingFile]] = defaultdict(list)
     for file in files:
@@ -201,8 +203,7 @@ def ingest_page(
         done, bad = counts[file.table].get(file.name, (0, 0))
         status = "bad" if file.table is None or (bad and not done) else "done"
         audit.append((file.table, file.name, status, file.size, done, bad, seconds))
-    if audit:
-        write_log(spark, lake, "audit", batch, audit, AUDIT_SCHEMA)
+    write_log(spark, lake, "audit", batch, audit, AUDIT_SCHEMA)
 
 
 def infer_schema(spark: SparkSession, files: list[LandingFile]) -> StructType | None:
@@ -238,7 +239,7 @@ def merge_page_schemas(
                 continue
             name = spelling.get((table, field.name.lower()), field.name)
             source[table, name] = field.name
-            found.append((table, name, field.dataType.simpleString()))
+            found.append((table, name, type_text(field.dataType)))
     merged = merge_schema(
         small_frame(spark, known_rows, REGISTRY_SCHEMA), small_frame(spark, found, REGISTRY_SCHEMA)
     )
@@ -273,7 +274,7 @@ def parse_lines(lines: DataFrame, schema: StructType) -> DataFrame:
     text = F.when(F.ltrim(line).startswith("["), line).otherwise(
         F.concat(F.lit("["), line, F.lit("]"))
     )
-    records = F.from_json(text, f"array<{schema.simpleString()}>")
+    records = F.from_json(text, ArrayType(schema))
     return lines.where(F.trim(line) != "").withColumn("record", F.explode_outer(records))
 
 
@@ -411,11 +412,6 @@ def write_log(
     )
 
 
-def literal_path(path: str) -> str:
-    """A path that matches only itself where a reader expands globs."""
-    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
-
-
 def audit_by_page(lake: Lake, spark: SparkSession) -> DataFrame:
     """Found, done and bad files, rows and time of every page."""
     return _audit(lake.audit(spark).groupBy(BATCH)).withColumnRenamed("process_seconds", "seconds")
