@@ -32,10 +32,12 @@ GENERIC = rf"{PREFIX}(.*)"
 TIME_FORMAT = "dd/MM/yy HH:mm:ss"
 
 PREFIX_FIELDS = ["my_event_time", "thid", "log_level", "src_file"]
+# Name, text any matching line contains, pattern, fields.
 PATTERNS = [
-    ("PAGE_END", PAGE_END, [*PREFIX_FIELDS, "done_files_numb_p"]),
+    ("PAGE_END", "] PAGE_END: ", PAGE_END, [*PREFIX_FIELDS, "done_files_numb_p"]),
     (
         "END1",
+        "] END1: found_files_numb=",
         CYCLE_END,
         [
             *PREFIX_FIELDS,
@@ -46,7 +48,7 @@ PATTERNS = [
             "process_time_e",
         ],
     ),
-    ("generic", GENERIC, [*PREFIX_FIELDS, "message"]),
+    ("generic", "]", GENERIC, [*PREFIX_FIELDS, "message"]),
 ]
 FIELD_TYPES = {
     "my_event_time": "string",
@@ -82,8 +84,8 @@ def parse_job_log(df: DataFrame, line: str = "value") -> DataFrame:
     text = F.col(line)
     kept = [c for c in df.columns if c != line]
     kind, parts = F, F
-    for name, pattern, fields in PATTERNS:
-        kind = kind.when(text.rlike(pattern), name)
+    for name, sign, pattern, fields in PATTERNS:
+        kind = kind.when(text.contains(sign) & text.rlike(pattern), name)
         parts = parts.when(F.col("kind") == name, _groups(text, pattern, len(fields)))
     split_lines = df.withColumn("kind", kind.otherwise("raw")).select(
         *kept, "kind", parts.otherwise(F.array(text)).alias("parts")
@@ -91,7 +93,7 @@ def parse_job_log(df: DataFrame, line: str = "value") -> DataFrame:
 
     def field(name: str) -> Column:
         value = F.lit(None)
-        for kind_name, _, fields in [*PATTERNS, ("raw", None, ["message"])]:
+        for kind_name, _, _, fields in [*PATTERNS, ("raw", "", "", ["message"])]:
             if name in fields:
                 part = F.get("parts", F.lit(fields.index(name)))
                 value = F.when(F.col("kind") == kind_name, part).otherwise(value)

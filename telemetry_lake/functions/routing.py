@@ -44,7 +44,12 @@ def table_field(line: Column, field: str) -> Column:
         f"array<struct<`{key}`:string>>",
         {"allowSingleQuotes": "false"},
     )
-    return F.when(F.size(parsed) == 1, F.get(parsed, F.lit(0)).getField(field))
+    # Inside transform the parsed line has a name, so it is parsed once for both uses.
+    found = F.transform(
+        F.array(parsed),
+        lambda objects: F.when(F.size(objects) == 1, F.get(objects, F.lit(0)).getField(field)),
+    )
+    return F.get(found, F.lit(0))
 
 
 def table_or_line(line: Column, field: str) -> Column:

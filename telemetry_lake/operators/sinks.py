@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetry_lake.operators.quality import quoted
@@ -24,6 +24,11 @@ def balanced(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *[F.col(quoted(c)) for c in columns])
 
 
+def iso_date(text: Column) -> Column:
+    """Date of a ``yyyy-MM-dd`` text; NULL for any other text."""
+    return F.when(text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), text.try_cast("date"))
+
+
 def with_date(df: DataFrame, date_column: str) -> DataFrame:
     """Make sure of a date partition column: a typed NULL where it is missing, the
     parsed ISO date where it is text."""
@@ -31,7 +36,7 @@ def with_date(df: DataFrame, date_column: str) -> DataFrame:
         return df.withColumn(date_column, F.lit(None).cast("date"))
     found = dict(df.dtypes)[date_column]
     if found == "string":
-        return df.withColumn(date_column, F.try_to_date(F.col(quoted(date_column)), "yyyy-MM-dd"))
+        return df.withColumn(date_column, iso_date(F.col(quoted(date_column))))
     return df.withColumn(date_column, F.col(quoted(date_column)).cast("date"))
 
 

@@ -34,7 +34,7 @@ from telemetry_lake.operators.quality import (
     repaired,
     type_text,
 )
-from telemetry_lake.operators.sinks import balanced
+from telemetry_lake.operators.sinks import balanced, iso_date
 from telemetry_lake.plans.lake import AUDIT_SCHEMA, BATCH, DRIFT_SCHEMA, Lake
 from telemetry_lake.session import literal_path, small_frame
 
@@ -303,7 +303,7 @@ def checked_rows(
     for field in schema.fields:
         if field.name.lower() == date_column.lower():
             raw_day = F.col("record").getField(field.name).cast("string")
-            day = F.try_to_date(raw_day, "yyyy-MM-dd")
+            day = iso_date(raw_day)
 
     reason = F.when(F.col("record").isNull(), MALFORMED)
     if raw_day is not None:
@@ -315,12 +315,19 @@ def checked_rows(
 
 
 def read_lines(spark: SparkSession, files: list[LandingFile]) -> DataFrame:
-    name = decoded_name(F.col("_metadata.file_name"))
+    """Lines with their file's name, still percent-encoded."""
     return spark.read.text([literal_path(f.path) for f in files]).select(
-        F.col("value").alias("line"), name.alias("file")
+        F.col("value").alias("line"), F.col("_metadata.file_name").alias("file")
     )
 
 
+def counts_by_file(rows: DataFrame, good: Column, bad: Column) -> dict[str, tuple[int, int]]:
+    """(good, bad) rows by plain file name; a page's files at most."""
+    counts = rows.groupBy("file").agg(F.count_if(good).alias("good"), F.count_if(bad).alias("bad"))
+    named = counts.select(decoded_name(F.col("file")).alias("file"), "good", "bad")
+    return {r["file"]: (r["good"], r["bad"]) for r in named.collect()}
+
+
 def write_table(
     spark: SparkSession,
     lake: Lake,
@@ -339,20 +346,12 @@ def write_table(
     rows = checked_rows(parsed, schema, columns, lake.date_column)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        counts = {
-            r["file"]: (r["good"], r["bad"])
-            for r in rows.groupBy("file")
-            .agg(
-                F.count_if(F.col("reason").isNull()).alias("good"),
-                F.count_if(F.col("reason").isNotNull()).alias("bad"),
-            )
-            .collect()
-        }
-        if any(good for good, _ in counts.values()):
-            good = rows.where(F.col("reason").isNull()).select("row.*")
-            write_batch(good, lake.table_path(table), batch, lake.date_column)
-        if any(bad for _, bad in counts.values()):
-            set_aside(rows.where(F.col("reason").isNotNull()), lake, batch, table, F.col("reason"))
+        good, bad = F.col("reason").isNull(), F.col("reason").isNotNull()
+        counts = counts_by_file(rows, good, bad)
+        if any(n for n, _ in counts.values()):
+            write_batch(rows.where(good).select("row.*"), lake.table_path(table), batch, lake.date_column)
+        if any(n for _, n in counts.values()):
+            set_aside(rows.where(bad), lake, batch, table, F.col("reason"))
     finally:
         rows.unpersist()
     return counts
@@ -379,7 +378,7 @@ def quarantine_files(
 ) -> dict[str, tuple[int, int]]:
     """Set whole files aside, line by line; (0, lines) by file name."""
     lines = read_lines(spark, files).where(F.trim("line") != "")
-    counts = {r["file"]: (0, r["count"]) for r in lines.groupBy("file").count().collect()}
+    counts = counts_by_file(lines, F.lit(False), F.lit(True))
     if counts:
         set_aside(lines, lake, batch, table, F.lit(reason))
     return counts
@@ -388,14 +387,15 @@ def quarantine_files(
 def set_aside(
     lines: DataFrame, lake: Lake, batch: str, table: str | None, reason: Column
 ) -> None:
+    kept = lines.select(
+        decoded_name(F.col("file")).alias("file_name"),
+        reason.alias("reason"),
+        F.col("line").alias("record"),
+        F.lit(table).cast("string").alias("table_name"),
+        F.lit(batch).alias(BATCH),
+    )
     (
-        lines.select(
-            F.col("file").alias("file_name"),
-            reason.alias("reason"),
-            F.col("line").alias("record"),
-            F.lit(table).cast("string").alias("table_name"),
-            F.lit(batch).alias(BATCH),
-        )
+        balanced(kept)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BATCH, "table_name")
