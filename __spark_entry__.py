@@ -239,7 +239,7 @@ def stream_paged_ingest(spark, sf_dir):
     ingest.start_ingest(
         spark, landing, lake, lake.path("checkpoint"), page_files=size, glob="*.json*"
     ).awaitTermination()
-    pages = ingest.audit_by_page(lake, spark)
+    pages = ingest.audit_summary(spark, lake, "_batch_id")
     return pages.agg(
         F.sum("rows_done").alias("rows_done"),
         F.sum("rows_bad").alias("rows_bad"),
@@ -387,7 +387,7 @@ def stream_archive(spark, sf_dir):
 def ingest_audit(spark, sf_dir):
     lake = new_lake(spark, "audit")
     land_and_ingest(spark, lines_with_faults(spark, sf_dir), lake)
-    totals = ingest.audit_totals(lake, spark)
+    totals = ingest.audit_summary(spark, lake, "table_name")
     return totals.select(
         "table_name",
         "rows_done",
@@ -568,7 +568,7 @@ LOG_LINE = f"""case event_id % 4
         ' ,done_files_numb=', event_id - event_id % 5, ' ,bad_files_numb=', event_id % 5, ' process_time=', value)
     when 1 then concat({LOG_PREFIX}, ' PAGE_END: found_files_numb=', event_id, ' ,file_chunks=1 ,done_files_numb=',
         event_id % 1000, ' ,bad_files_numb=0')
-    when 2 then concat({LOG_PREFIX}, ' Moving done file: ', event_type)
+    when 2 then concat({LOG_PREFIX}, ' page stored for ', event_type)
     else concat('Traceback ', event_type, ' ', event_id) end"""
 
 
@@ -755,7 +755,7 @@ def oracle_sql() -> dict[str, str]:
             case when event_id % 4 = 0 then cast(event_id - event_id % 5 as integer) end as done_files_numb_e,
             case when event_id % 4 = 0 then cast(event_id % 5 as integer) end as bad_files_numb_e,
             case when event_id % 4 = 0 then value end as process_time_e,
-            case event_id % 4 when 2 then concat(' Moving done file: ', event_type)
+            case event_id % 4 when 2 then concat(' page stored for ', event_type)
                 when 3 then concat('Traceback ', event_type, ' ', event_id) end as message,
             case when {from_log} then strftime(ts, '%Y-%m-%d %H:%M:%S') end as event_time
             from events""",

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetry_lake.operators.sinks import balanced
 from telemetry_lake.plans.lake import BATCH, PUBLISHED_SCHEMA, Lake
-from telemetry_lake.session import literal_path, small_frame
+from telemetry_lake.session import literal_path
 
 
 def compact_folder(df: DataFrame, target: str, date_column: str) -> int:
@@ -50,9 +52,7 @@ def compact_table(spark: SparkSession, lake: Lake, name: str) -> str:
     location = lake.path("snapshots", f"{name}.v{version}.parquet")
     count = compact_folder(rows, location, lake.date_column)
     pointer = [(name, version, location, count, sorted(folded | finished))]
-    small_frame(spark, pointer, PUBLISHED_SCHEMA).coalesce(1).write.mode("append").parquet(
-        lake.path("published")
-    )
+    lake.write_log(spark, "published", uuid.uuid4().hex, pointer, PUBLISHED_SCHEMA)
     return location
 
 

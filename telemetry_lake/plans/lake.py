@@ -48,6 +48,14 @@ class Lake:
         full = f"{schema}, {BATCH} string"
         return self._read(spark, self.path(kind), StructType.fromDDL(full))
 
+    def write_log(
+        self, spark: SparkSession, kind: str, batch: str, rows: list[tuple], schema: str
+    ) -> None:
+        """Replace a batch's rows in one of the logs; a page's metadata at most."""
+        small_frame(spark, rows, schema).coalesce(1).write.mode("overwrite").parquet(
+            self.path(kind, f"{BATCH}={batch}")
+        )
+
     def registry(self, spark: SparkSession, before: str | None = None) -> DataFrame:
         """Known columns; the first batch to name a column sets its type.
 
@@ -96,8 +104,7 @@ class OpenLake:
         for row in known:
             types.setdefault(row.table_name, {})[row.column_name] = row.data_type
         self._columns = {name: struct_from_registry(t) for name, t in types.items()}
-        versions = lake._read(spark, lake.path("published"), StructType.fromDDL(PUBLISHED_SCHEMA))
-        latest = versions.groupBy("table_name").agg(F.max_by(F.struct("*"), "version").alias("v"))
+        latest = lake.log(spark, "published", PUBLISHED_SCHEMA).groupBy("table_name").agg(F.max_by(F.struct("*"), "version").alias("v"))
         self._published = {row.table_name: row.v for row in latest.collect()}
 
     @property

@@ -13,6 +13,18 @@ from telemetry_lake.sources.scans import DELIMITERS
 EXTENSIONS = {"tbl": "psv", "csv": "csv", "tsv": "tsv", "json": "json", "parquet": "parquet"}
 
 
+def folder_tables(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Table folders of a folder: name up to its first dot, and path."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = {}
+    for status in files.listStatus(path):
+        name = status.getPath().getName()
+        if not name.startswith((".", "_")):
+            found[name.split(".")[0]] = f"{folder.rstrip('/')}/{name}"
+    return dict(sorted(found.items()))
+
+
 @dataclass(frozen=True)
 class Workspace:
     location: str

@@ -27,16 +27,11 @@ from telemetry_lake.functions.routing import (
     file_name,
     table_of_name,
 )
-from telemetry_lake.operators.quality import (
-    REGISTRY_SCHEMA,
-    castable,
-    merge_schema,
-    repaired,
-    type_text,
-)
+from telemetry_lake.operators.quality import castable, repaired, type_text
 from telemetry_lake.operators.sinks import balanced, iso_date
-from telemetry_lake.plans.lake import AUDIT_SCHEMA, BATCH, DRIFT_SCHEMA, Lake
-from telemetry_lake.session import literal_path, small_frame
+from telemetry_lake.plans.lake import AUDIT_SCHEMA, BATCH, Lake
+from telemetry_lake.plans.schemas import known_columns, record_schemas
+from telemetry_lake.session import literal_path
 
 # Fixed value: where the JSON reader keeps a line it cannot parse.
 CORRUPT = "_corrupt_record"
@@ -203,7 +198,7 @@ def ingest_page(
         done, bad = counts[file.table].get(file.name, (0, 0))
         status = "bad" if file.table is None or (bad and not done) else "done"
         audit.append((file.table, file.name, status, file.size, done, bad, seconds))
-    write_log(spark, lake, "audit", batch, audit, AUDIT_SCHEMA)
+    lake.write_log(spark, "audit", batch, audit, AUDIT_SCHEMA)
 
 
 def infer_schema(spark: SparkSession, files: list[LandingFile]) -> StructType | None:
@@ -223,14 +218,10 @@ def infer_schema(spark: SparkSession, files: list[LandingFile]) -> StructType |
 def merge_page_schemas(
     spark: SparkSession, lake: Lake, batch: str, schemas: dict[str, StructType | None]
 ) -> dict[str, list[TableColumn]]:
-    """Merge all inferred schemas of a page into the registry in one join.
-
-    New columns and conflicts are logged under the batch. Column names that differ from
-    a registered one only in case are that column.
-    """
-    known = lake.registry(spark, before=batch).where(F.col("table_name").isin(list(schemas)))
-    known_rows = [tuple(r) for r in known.collect()]
-    spelling = {(table, name.lower()): name for table, name, _ in known_rows}
+    """Merge all inferred schemas of a page into the registry and plan each table's
+    columns. A column that differs from a registered one only in case is that column."""
+    known = known_columns(spark, lake, batch, set(schemas))
+    spelling = {(table, name.lower()): name for table, name, _ in known}
     source: dict[tuple[str, str], str] = {}
     found = []
     for table, schema in schemas.items():
@@ -240,26 +231,13 @@ def merge_page_schemas(
             name = spelling.get((table, field.name.lower()), field.name)
             source[table, name] = field.name
             found.append((table, name, type_text(field.dataType)))
-    merged = merge_schema(
-        small_frame(spark, known_rows, REGISTRY_SCHEMA), small_frame(spark, found, REGISTRY_SCHEMA)
-    )
-    rows = sorted(merged.collect(), key=lambda r: (r.table_name, r.column_name))
-
-    added = [(r.table_name, r.column_name, r.data_type) for r in rows if r.status == "added"]
-    if added:
-        write_log(spark, lake, "registry", batch, added, REGISTRY_SCHEMA)
-    conflicts = [r for r in rows if r.status == "conflict"]
-    if conflicts:
-        drifted = [(r.table_name, r.column_name, r.old_type, r.new_type) for r in conflicts]
-        write_log(spark, lake, "drift", batch, drifted, DRIFT_SCHEMA)
 
     columns: dict[str, list[TableColumn]] = {table: [] for table in schemas}
-    for r in rows:
+    for r in record_schemas(spark, lake, batch, found, known):
         fits = r.status != "conflict" or castable(spark, r.new_type, r.old_type)
+        origin = source.get((r.table_name, r.column_name))
         columns[r.table_name].append(
-            TableColumn(
-                r.column_name, r.data_type, source.get((r.table_name, r.column_name)), r.new_type, fits
-            )
+            TableColumn(r.column_name, r.data_type, origin, r.new_type, fits)
         )
     return columns
 
@@ -403,31 +381,18 @@ def set_aside(
     )
 
 
-def write_log(
-    spark: SparkSession, lake: Lake, kind: str, batch: str, rows: list[tuple], schema: str
-) -> None:
-    """Replace a batch's rows in one of the lake's logs."""
-    small_frame(spark, rows, schema).coalesce(1).write.mode("overwrite").parquet(
-        lake.path(kind, f"{BATCH}={batch}")
-    )
-
-
-def audit_by_page(lake: Lake, spark: SparkSession) -> DataFrame:
-    """Found, done and bad files, rows and time of every page."""
-    return _audit(lake.audit(spark).groupBy(BATCH)).withColumnRenamed("process_seconds", "seconds")
-
-
-def audit_totals(lake: Lake, spark: SparkSession) -> DataFrame:
-    """The same over all pages, per table; files without a table are one group."""
-    return _audit(lake.audit(spark).groupBy("table_name")).drop("process_seconds")
-
-
-def _audit(grouped) -> DataFrame:
-    return grouped.agg(
-        F.count(F.lit(1)).alias("found_files"),
-        F.count_if(F.col("status") == "done").alias("done_files"),
-        F.count_if(F.col("status") == "bad").alias("bad_files"),
-        F.sum("rows_done").alias("rows_done"),
-        F.sum("rows_bad").alias("rows_bad"),
-        F.max("process_seconds").alias("process_seconds"),
+def audit_summary(spark: SparkSession, lake: Lake, *by: str) -> DataFrame:
+    """Found, done and bad files, rows and seconds: per page by ``_batch_id``, per table
+    by ``table_name`` (unrouted files have none), or over everything."""
+    return (
+        lake.audit(spark)
+        .groupBy(*by)
+        .agg(
+            F.count(F.lit(1)).alias("found_files"),
+            F.count_if(F.col("status") == "done").alias("done_files"),
+            F.count_if(F.col("status") == "bad").alias("bad_files"),
+            F.coalesce(F.sum("rows_done"), F.lit(0)).alias("rows_done"),
+            F.coalesce(F.sum("rows_bad"), F.lit(0)).alias("rows_bad"),
+            F.max("process_seconds").alias("longest_page_seconds"),
+        )
     )

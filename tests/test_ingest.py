@@ -194,11 +194,15 @@ def test_pages_hold_at_most_the_given_files(spark, landing, lake):
     for i in range(7):
         put(landing, f"t_{i}_0.json", {"a": i})
     run(spark, landing, lake, page_files=3)
-    pages = ingest.audit_by_page(lake, spark).collect()
+    pages = ingest.audit_summary(spark, lake, BATCH).collect()
     assert sorted(p.found_files for p in pages) == [1, 3, 3]
     assert rows(spark, lake, "t", "a") == [(i,) for i in range(7)]
 
 
+    cycle = ingest.audit_summary(spark, lake).first()
+    assert (cycle.found_files, cycle.done_files, cycle.bad_files, cycle.rows_done) == (7, 7, 0, 7)
+
+
 def test_restart_takes_only_new_files(spark, landing, lake):
     put(landing, "t_1_0.json", {"a": 1})
     run(spark, landing, lake)
@@ -230,15 +234,15 @@ def test_replayed_page_changes_nothing(spark, landing, lake):
 
 def test_failed_cycle_is_started_again(spark, landing, lake, monkeypatch):
     put(landing, "t_1_0.json", {"a": 1})
-    real, calls = ingest.write_log, []
+    real, calls = Lake.write_log, []
 
-    def failing(session, a_lake, kind, *rest):
+    def failing(self, session, kind, *rest):
         calls.append(kind)
         if kind == "audit" and calls.count("audit") == 1:
             raise RuntimeError("executor lost")
-        real(session, a_lake, kind, *rest)
+        real(self, session, kind, *rest)
 
-    monkeypatch.setattr(ingest, "write_log", failing)
+    monkeypatch.setattr(Lake, "write_log", failing)
     ingest.keep_ingesting(
         lambda: ingest.start_ingest(spark, str(landing), lake, lake.path("checkpoint")), 0.1, 1
     )

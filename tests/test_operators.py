@@ -6,9 +6,11 @@ from pyspark.sql.types import ArrayType, DateType, DoubleType, LongType, StringT
 
 from telemetry_lake.functions import joblog, text
 from telemetry_lake.operators import quality, sinks
+from telemetry_lake.plans import schemas
+from telemetry_lake.plans.lake import Lake
 from telemetry_lake.session import work_dir
 from telemetry_lake.sources import scans
-from telemetry_lake.sources.workspace import Workspace, Workspaces
+from telemetry_lake.sources.workspace import Workspace, Workspaces, folder_tables
 from telemetry_lake.streaming import lines
 
 
@@ -139,6 +141,26 @@ def test_stats_mark_unreadable_tables(spark, tmp_path):
     assert quality.table_stats(spark, {}).collect() == []
 
 
+def test_tables_of_a_folder_are_checked_against_the_registry(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    spark.range(3).withColumn("level", F.lit(1)).write.parquet(str(tmp_path / "data" / "a.parquet"))
+    spark.range(4).write.parquet(str(tmp_path / "data" / "b.parquet"))
+    paths = folder_tables(spark, str(tmp_path / "data"))
+    assert list(paths) == ["a", "b"]
+    tables = {name: scans.scan_parquet(spark, path) for name, path in paths.items()}
+    for _ in range(2):
+        rows = schemas.check_tables(spark, lake, "check-1", tables)
+        assert {(r.table_name, r.column_name, r.status) for r in rows} == {
+            ("a", "id", "added"), ("a", "level", "added"), ("b", "id", "added"),
+        }
+    changed = {"a": tables["a"].withColumn("level", F.lit("x")).drop("id")}
+    rows = schemas.check_tables(spark, lake, "check-2", changed)
+    assert {(r.column_name, r.status, r.data_type) for r in rows} == {
+        ("id", "kept", "bigint"), ("level", "conflict", "int"),
+    }
+    assert [(r.table_name, r.column_name) for r in lake.drift(spark).collect()] == [("a", "level")]
+
+
 def test_string_schema_and_delimiters(spark, tmp_path):
     assert scans.string_schema("attributes keyname tag text").names == ["attributes", "keyname", "tag", "text"]
     (tmp_path / "x.tbl").write_text("1|a\n2|b\n")

@@ -53,6 +53,34 @@ def test_devices_with_a_key_hot_on_both_sides(spark):
     assert rows == expected
 
 
+def test_a_hot_report_key_is_split(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        hot = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id"))
+        a = spark.range(0, 300_000, 1, 8).select(hot.alias("report_id"), F.hash("id").alias("mac"))
+        b = spark.range(0, 300_000, 1, 8).select(
+            hot.alias("report_id"), (F.col("id") % 4).alias("configuration")
+        )
+        result = reports.devices_per_configuration(a, b)
+        result.write.format("noop").mode("overwrite").save()
+        result.collect()
+        plan = result._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert "skew=true" in plan
+
+
 def test_first_n_is_a_top_k_not_a_full_sort(spark):
     plan = reports.first_n(dated(spark), 3, "id")._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
