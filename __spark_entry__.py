@@ -83,8 +83,8 @@ def land(lines_by_table: DataFrame, landing: str, number: int = 1) -> None:
 
     Tasks write them under their final names, so nothing is renamed afterwards.
     """
-    names = [r.table_name for r in lines_by_table.select("table_name").distinct().collect()]
-    for name in sorted(names, key=str):
+
+    def write(name: str | None) -> None:
         base = "nomatch.json" if name is None else f"{name}_{number}_0.json"
         (
             lines_by_table.where(F.col("table_name").eqNullSafe(F.lit(name)))
@@ -94,6 +94,10 @@ def land(lines_by_table: DataFrame, landing: str, number: int = 1) -> None:
             .text(landing)
         )
 
+    names = [r.table_name for r in lines_by_table.select("table_name").distinct().collect()]
+    for name in sorted(names, key=str):
+        write(name)
+
 
 def land_and_ingest(
     spark: SparkSession, lines_by_table: DataFrame, lake: Lake, number: int = 1
@@ -647,7 +651,7 @@ def oracle_sql() -> dict[str, str]:
         "route_by_filename_strict": f"""select {NAME} as name, case when event_id % 50 = 0
             or event_id % 7 = 0 then null else concat(event_type, '_data') end as table_name
             from events""",
-        "stream_paged_ingest": """select count(*) as rows_done, 0 as rows_bad,
+        "stream_paged_ingest": """select count(*) as rows_done, cast(0 as bigint) as rows_bad,
             true as within_page, true as several_pages from events""",
         "json_array_explode": """select event_id, cast(json_extract_string(props, '$.k') as integer) as k
             from events, (values (1), (2)) as copies(n)""",

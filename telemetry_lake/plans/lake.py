@@ -104,7 +104,8 @@ class OpenLake:
         for row in known:
             types.setdefault(row.table_name, {})[row.column_name] = row.data_type
         self._columns = {name: struct_from_registry(t) for name, t in types.items()}
-        latest = lake.log(spark, "published", PUBLISHED_SCHEMA).groupBy("table_name").agg(F.max_by(F.struct("*"), "version").alias("v"))
+        versions = lake.log(spark, "published", PUBLISHED_SCHEMA).groupBy("table_name")
+        latest = versions.agg(F.max_by(F.struct("*"), "version").alias("v"))
         self._published = {row.table_name: row.v for row in latest.collect()}
 
     @property

@@ -32,6 +32,7 @@ from telemetry_lake.operators.sinks import balanced, iso_date
 from telemetry_lake.plans.lake import AUDIT_SCHEMA, BATCH, Lake
 from telemetry_lake.plans.schemas import known_columns, record_schemas
 from telemetry_lake.session import literal_path
+from telemetry_lake.streaming.lines import ANY_AGE
 
 # Fixed value: where the JSON reader keeps a line it cannot parse.
 CORRUPT = "_corrupt_record"
@@ -71,12 +72,13 @@ def landing_stream(
     archive: str | None = None,
 ) -> DataFrame:
     """Path, size and name of new landing files, at most ``page_files`` a batch. Spark
-    gives no row for an empty file."""
+    gives no row for an empty file, and takes a path once only."""
     reader = (
         spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)
         .option("pathGlobFilter", glob)
         .option("maxFilesPerTrigger", page_files)
+        .option("maxFileAge", ANY_AGE)
     )
     if archive is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)

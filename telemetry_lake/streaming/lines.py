@@ -9,12 +9,16 @@ from pyspark.sql.streaming import StreamingQuery
 from telemetry_lake.functions.routing import table_or_line
 from telemetry_lake.plans.lake import BATCH
 
+# A file stream skips files a week older than the newest one it has seen. Landing files
+# may arrive with any time stamp, so none counts as too old.
+ANY_AGE = "36500d"
+
 
 def line_stream(
     spark: SparkSession, landing: str, page_files: int | None = None, glob: str | None = None
 ) -> DataFrame:
     """Lines of new text files of a folder, in a column ``value``."""
-    reader = spark.readStream
+    reader = spark.readStream.option("maxFileAge", ANY_AGE)
     if page_files is not None:
         reader = reader.option("maxFilesPerTrigger", page_files)
     if glob is not None:

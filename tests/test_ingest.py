@@ -273,28 +273,62 @@ def test_archive_moves_files_of_committed_pages(spark, landing, lake):
     assert rows(spark, lake, "t", "a") == [(i,) for i in range(5)]
 
 
+def test_running_ingest_picks_up_later_files(spark, landing, lake):
+    put(landing, "t_1_0.json", {"a": 1})
+    query = ingest.start_ingest(
+        spark, str(landing), lake, lake.path("checkpoint"), interval="1 second"
+    )
+    try:
+        query.processAllAvailable()
+        put(landing, "t_2_0.json", {"a": 2})
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert rows(spark, lake, "t", "a") == [(1,), (2,)]
+
+
 def test_intake_does_not_read_content(spark, landing):
     put(landing, "t_1_0.json", {"a": 1})
     plan = ingest.discover_landing(spark, str(landing))._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<path:string,length:bigint>" in plan
 
 
-def test_hot_date_is_written_by_several_tasks(spark, lake):
+@pytest.fixture
+def small_partitions(spark):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    yield
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_hot_date_is_written_by_several_tasks(spark, landing, lake, small_partitions):
     """A third of the rows on one date must not end in one task or one file."""
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
-    try:
-        day = F.when(F.col("id") % 3 == 0, F.lit("2024-01-01").cast("date")).otherwise(
-            F.date_add(F.lit("2024-02-01").cast("date"), (F.col("id") % 40).cast("int"))
-        )
-        df = spark.range(0, 300_000, 1, 16).select(
-            F.sha2(F.col("id").cast("string"), 256).alias("h"), day.alias("report_date")
-        )
-        ingest.write_batch(df, lake.table_path("t"), "run-1", "report_date")
-    finally:
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    folder = os.path.join(lake.table_path("t"), "report_date=2024-01-01", f"{BATCH}=run-1")
-    assert len([n for n in os.listdir(folder) if n.endswith(".parquet")]) > 3
-    assert spark.read.parquet(lake.table_path("t")).count() == 300_000
+    n = 120_000
+    day = F.when(F.col("id") % 3 == 0, "2024-01-01").otherwise(
+        F.date_add(F.lit("2024-02-01").cast("date"), (F.col("id") % 40).cast("int")).cast("string")
+    )
+    record = F.struct("id", F.sha2(F.col("id").cast("string"), 256).alias("h"), day.alias("report_date"))
+    (
+        spark.range(0, n, 1, 8)
+        .select(F.to_json(record).alias("value"))
+        .write.mode("append")
+        .option("mapreduce.output.basename", "t_1_0.json")
+        .text(str(landing))
+    )
+    run(spark, landing, lake, glob="*.json*")
+    table = lake.open(spark).read("t")
+    assert table.count() == n and table.agg(F.count_distinct("id")).first()[0] == n
+    hot = table.where("report_date = '2024-01-01'")
+    per_file = [r["count"] for r in hot.groupBy(F.input_file_name()).count().collect()]
+    assert sum(per_file) == n // 3 and max(per_file) < n // 9
+
+
+def test_late_file_with_an_old_time_stamp_is_taken(spark, landing, lake):
+    put(landing, "t_1_0.json", {"a": 1})
+    run(spark, landing, lake)
+    old = put(landing, "t_2_0.json", {"a": 2})
+    os.utime(old, (1_000_000_000, 1_000_000_000))
+    run(spark, landing, lake)
+    assert rows(spark, lake, "t", "a") == [(1,), (2,)]
 
 
 def count_files(path):
