@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from telemetry_lake.operators.sinks import balanced
 from telemetry_lake.plans.lake import BATCH, PUBLISHED_SCHEMA, Lake
-from telemetry_lake.session import literal_path
+from telemetry_lake.session import child_folders, literal_path, remove_folder
 
 
 def compact_folder(df: DataFrame, target: str, date_column: str) -> int:
@@ -49,10 +49,12 @@ def compact_table(spark: SparkSession, lake: Lake, name: str) -> str:
     if current:
         folder = literal_path(current.location)
         rows = rows.unionByName(spark.read.schema(opened.columns(name)).parquet(folder))
-    location = lake.path("snapshots", f"{name}.v{version}.parquet")
+    # A name of its own, so that a crashed attempt cannot block the next one.
+    key = uuid.uuid4().hex
+    location = lake.path("snapshots", name, f"v{version}-{key}.parquet")
     count = compact_folder(rows, location, lake.date_column)
     pointer = [(name, version, location, count, sorted(folded | finished))]
-    lake.write_log(spark, "published", uuid.uuid4().hex, pointer, PUBLISHED_SCHEMA)
+    lake.write_log(spark, "published", key, pointer, PUBLISHED_SCHEMA)
     return location
 
 
@@ -67,3 +69,22 @@ def compact_all(spark: SparkSession, lake: Lake) -> tuple[list[str], list[tuple[
             bad.append((name, str(error)))
     return good, bad
 
+
+
+def drop_superseded(spark: SparkSession, lake: Lake, name: str) -> int:
+    """Remove what the published version of a table replaced: folded batches, older
+    versions and crashed attempts. Call it while no compaction runs and no query reads
+    them any more; returns the number of folders removed."""
+    current = lake.open(spark).published(name)
+    if current is None:
+        return 0
+    folded = set(current.folded)
+    table = literal_path(lake.table_path(name))
+    batches = child_folders(spark, table, f"{lake.date_column}=*/{BATCH}=*")
+    old = [path for path in batches if path.rpartition("=")[2] in folded]
+    kept = current.location.rpartition("/")[2]
+    snapshots = child_folders(spark, literal_path(lake.path("snapshots", name)), "v*")
+    old += [path for path in snapshots if path.rpartition("/")[2] != kept]
+    for path in old:
+        remove_folder(spark, path)
+    return len(old)

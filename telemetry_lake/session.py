@@ -67,3 +67,15 @@ def small_frame(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
         for i, f in enumerate(fields)
     }
     return spark.createDataFrame(pa.table(columns), schema=ddl)
+
+
+def child_folders(spark: SparkSession, folder: str, pattern: str = "*") -> list[str]:
+    """Paths below a folder that match a glob, by the cluster's own file system."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{pattern}")
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [status.getPath().toString() for status in files.globStatus(path) or []]
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from telemetry_lake.session import child_folders
 from telemetry_lake.sources.scans import DELIMITERS
 
 # File extension of each format.
@@ -15,13 +16,11 @@ EXTENSIONS = {"tbl": "psv", "csv": "csv", "tsv": "tsv", "json": "json", "parquet
 
 def folder_tables(spark: SparkSession, folder: str) -> dict[str, str]:
     """Table folders of a folder: name up to its first dot, and path."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     found = {}
-    for status in files.listStatus(path):
-        name = status.getPath().getName()
+    for path in child_folders(spark, folder):
+        name = path.rpartition("/")[2]
         if not name.startswith((".", "_")):
-            found[name.split(".")[0]] = f"{folder.rstrip('/')}/{name}"
+            found[name.split(".")[0]] = path
     return dict(sorted(found.items()))
 
 

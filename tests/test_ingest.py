@@ -356,6 +356,35 @@ def test_compaction_leaves_few_files_and_all_rows(spark, landing, lake):
     assert spark.sql("select count(*) from t").first()[0] == 25
 
 
+def test_superseded_folders_can_be_dropped(spark, landing, lake):
+    for i in range(3):
+        put(landing, f"t_{i}_0.json", {"a": i, "report_date": "2024-01-01"})
+        run(spark, landing, lake)
+        if i < 2:
+            compact.compact_table(spark, lake, "t")
+    assert compact.drop_superseded(spark, lake, "t") == 3
+    assert count_files(lake.table_path("t")) == 1
+    assert [n[:3] for n in os.listdir(lake.path("snapshots", "t"))] == ["v2-"]
+    assert rows(spark, lake, "t", "a") == [(0,), (1,), (2,)]
+    assert compact.drop_superseded(spark, lake, "t") == 0
+    compact.compact_table(spark, lake, "t")
+    compact.drop_superseded(spark, lake, "t")
+    assert rows(spark, lake, "t", "a") == [(0,), (1,), (2,)]
+
+
+def test_crashed_compaction_is_tried_again(spark, landing, lake, monkeypatch):
+    put(landing, "t_1_0.json", {"a": 1})
+    run(spark, landing, lake)
+    with monkeypatch.context() as patch:
+        patch.setattr(Lake, "write_log", lambda *a: 1 / 0)
+        good, bad = compact.compact_all(spark, lake)
+    assert good == [] and bad[0][0] == "t"
+    assert rows(spark, lake, "t", "a") == [(1,)]
+    assert compact.compact_all(spark, lake) == (["t"], [])
+    assert compact.drop_superseded(spark, lake, "t") == 2
+    assert rows(spark, lake, "t", "a") == [(1,)]
+
+
 def test_unfinished_batch_is_not_compacted(spark, landing, lake):
     put(landing, "t_1_0.json", {"a": 1})
     run(spark, landing, lake)
