@@ -29,15 +29,29 @@ def iso_date(text: Column) -> Column:
     return F.when(text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), text.try_cast("date"))
 
 
+def is_bad_date(text: Column) -> Column:
+    """True for a text that is neither empty nor a date."""
+    return F.coalesce((text != "") & iso_date(text).isNull(), F.lit(False))
+
+
+def split_bad_dates(df: DataFrame, date_column: str) -> tuple[DataFrame, DataFrame]:
+    """Rows ``append_by_date`` accepts, and rows whose date text it would refuse."""
+    if dict(df.dtypes).get(date_column) != "string":
+        return df, df.limit(0)
+    bad = is_bad_date(F.col(quoted(date_column)))
+    return df.where(~bad), df.where(bad)
+
+
 def with_date(df: DataFrame, date_column: str) -> DataFrame:
     """Make sure of a date partition column: a typed NULL where it is missing, the
-    parsed ISO date where it is text."""
+    parsed ISO date where it is text. Other text fails the job that reads it."""
     if date_column not in df.columns:
         return df.withColumn(date_column, F.lit(None).cast("date"))
-    found = dict(df.dtypes)[date_column]
-    if found == "string":
-        return df.withColumn(date_column, iso_date(F.col(quoted(date_column))))
-    return df.withColumn(date_column, F.col(quoted(date_column)).cast("date"))
+    value = F.col(quoted(date_column))
+    if dict(df.dtypes)[date_column] != "string":
+        return df.withColumn(date_column, value.cast("date"))
+    refused = F.raise_error(F.concat(F.lit(f"{date_column} is not a date: "), value)).cast("date")
+    return df.withColumn(date_column, F.when(is_bad_date(value), refused).otherwise(iso_date(value)))
 
 
 def append_by_date(df: DataFrame, path: str, date_column: str) -> None:

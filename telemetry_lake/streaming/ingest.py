@@ -28,7 +28,7 @@ from telemetry_lake.functions.routing import (
     table_of_name,
 )
 from telemetry_lake.operators.quality import castable, repaired, type_text
-from telemetry_lake.operators.sinks import balanced, iso_date
+from telemetry_lake.operators.sinks import balanced, is_bad_date, iso_date
 from telemetry_lake.plans.lake import AUDIT_SCHEMA, BATCH, Lake
 from telemetry_lake.plans.schemas import known_columns, record_schemas
 from telemetry_lake.session import literal_path
@@ -79,6 +79,8 @@ def landing_stream(
         .option("pathGlobFilter", glob)
         .option("maxFilesPerTrigger", page_files)
         .option("maxFileAge", ANY_AGE)
+        # A file taken away after it was listed must not block its page for good.
+        .option("ignoreMissingFiles", True)
     )
     if archive is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
@@ -287,7 +289,7 @@ def checked_rows(
 
     reason = F.when(F.col("record").isNull(), MALFORMED)
     if raw_day is not None:
-        reason = reason.when(raw_day.isNotNull() & day.isNull(), BAD_DATE)
+        reason = reason.when(is_bad_date(raw_day), BAD_DATE)
     for name, lost in conflicts:
         reason = reason.when(lost, TYPE_CONFLICT + name)
     row = F.struct(*values, day.alias(date_column)).alias("row")

@@ -77,10 +77,12 @@ def test_undated_rows_read_back_with_dated_ones(spark, landing, lake):
 
 
 def test_bad_date_is_set_aside_and_the_column_stays_a_date(spark, landing, lake):
-    put(landing, "t_1_0.json", {"a": 1, "report_date": "2017-06-14"}, {"a": 2, "report_date": "oops"})
+    days = ["2017-06-14", "oops", "", "2017-02-30", "2017-6-1", "20170614", "2017-06-14 10:00:00", None]
+    put(landing, "t_1_0.json", *[{"a": i, "report_date": day} for i, day in enumerate(days)])
     run(spark, landing, lake)
-    assert rows(spark, lake, "t", "a") == [(1,)]
-    assert [q[2] for q in quarantined(spark, lake)] == ["bad_date"]
+    got = {r.a: str(r.report_date) for r in lake.open(spark).read("t").collect()}
+    assert got == {0: "2017-06-14", 2: "None", 7: "None"}
+    assert [q[2] for q in quarantined(spark, lake)] == ["bad_date"] * 5
 
 
 def test_faulty_files_leave_other_tables_alone(spark, landing, lake):
@@ -259,6 +261,18 @@ def test_failures_are_raised_after_the_limit(spark, landing, lake, monkeypatch):
         )
 
 
+def test_file_taken_away_does_not_block_its_page(spark, landing, lake, monkeypatch):
+    gone = put(landing, "t_1_0.json", {"a": 1})
+    put(landing, "t_2_0.json", {"a": 2})
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, "ingest_page", lambda *a: 1 / 0)
+        with pytest.raises(StreamingQueryException):
+            run(spark, landing, lake)
+    gone.unlink()
+    run(spark, landing, lake)
+    assert rows(spark, lake, "t", "a") == [(2,)]
+
+
 def test_archive_moves_files_of_committed_pages(spark, landing, lake):
     for i in range(5):
         put(landing, f"t_{i}_0.json", {"a": i})

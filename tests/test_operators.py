@@ -212,6 +212,22 @@ def test_plain_and_partitioned_rows_are_never_mixed(spark, tmp_path):
     assert sorted((r.a, str(r.report_date)) for r in df.collect()) == [(1, "2024-01-01"), (2, "None")]
 
 
+def test_bad_date_text_is_refused_and_can_be_split_off(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame(
+        [(1, "2024-01-01"), (2, "oops"), (3, ""), (4, None)], "a int, report_date string"
+    )
+    with pytest.raises(Exception, match="report_date is not a date: oops"):
+        sinks.append_by_date(df, path, "report_date")
+    good, bad = sinks.split_bad_dates(df, "report_date")
+    sinks.append_by_date(good, path, "report_date")
+    got = {r.a: str(r.report_date) for r in scans.scan_parquet(spark, path).collect()}
+    assert got == {1: "2024-01-01", 3: "None", 4: "None"}
+    assert [r.a for r in bad.collect()] == [2]
+    good, bad = sinks.split_bad_dates(scans.scan_parquet(spark, path), "report_date")
+    assert good.count() == 3 and bad.count() == 0
+
+
 def test_work_dir_follows_the_session(spark, monkeypatch):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     first, second = work_dir(spark, "x"), work_dir(spark, "x")
