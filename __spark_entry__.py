@@ -659,8 +659,9 @@ def oracle_sql() -> dict[str, str]:
             value, {DAY} as report_date from events""",
         "ingest_missing_date": f"""select event_id, case when value < 50 then {DAY} end as report_date
             from events""",
-        "write_multi_partition": """select o_orderkey, o_custkey, year(o_orderdate) as year,
-            month(o_orderdate) as month from orders""",
+        "write_multi_partition": """select o_orderkey, o_custkey,
+            cast(year(o_orderdate) as integer) as year,
+            cast(month(o_orderdate) as integer) as month from orders""",
         "compact_table": f"select event_id, user_id, value, {DAY} as report_date from events",
         "report_csv_roundtrip": f"""select case event_type when 'view' then null when 'click' then ''
             else event_type end as name, count(*) as count, 'fw_version' as report from events

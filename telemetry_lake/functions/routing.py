@@ -19,7 +19,7 @@ def table_of_name(name: Column, pattern: str = NAME_PATTERN) -> Column:
     The pattern is anchored at the start only and its table part is greedy, so
     ``t_1_2_3.json`` goes to ``t_1``.
     """
-    return F.when(name.rlike(pattern), F.regexp_extract(name, pattern, 1))
+    return F.nullif(F.regexp_extract(name, pattern, 1), F.lit(""))
 
 
 def file_name(path: Column) -> Column:

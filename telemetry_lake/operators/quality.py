@@ -78,6 +78,23 @@ def struct_from_registry(columns: Mapping[str, str]) -> StructType:
     return StructType([StructField(n, type_from_name(t), True) for n, t in columns.items()])
 
 
+def widened(old: DataType, new: DataType) -> DataType | None:
+    """The old type with the new nested fields added; None if a shared part differs."""
+    if old == new:
+        return old
+    if isinstance(old, ArrayType) and isinstance(new, ArrayType):
+        item = widened(old.elementType, new.elementType)
+        return item and ArrayType(item)
+    if not (isinstance(old, StructType) and isinstance(new, StructType)):
+        return None
+    fields = {f.name: f.dataType for f in old.fields}
+    for field in new.fields:
+        fields[field.name] = widened(fields.get(field.name, field.dataType), field.dataType)
+    if None in fields.values() or len({name.lower() for name in fields}) < len(fields):
+        return None
+    return StructType([StructField(name, t, True) for name, t in fields.items()])
+
+
 def merge_schema(registry: DataFrame, discovered: DataFrame) -> DataFrame:
     """Registry and discovered schema side by side, and the type to keep.
 

@@ -59,14 +59,20 @@ class Lake:
     def registry(self, spark: SparkSession, before: str | None = None) -> DataFrame:
         """Known columns; the first batch to name a column sets its type.
 
+        A nested type has one entry more each time fields were added inside it. The
+        longest entry holds all of them.
+
         ``before`` leaves out a batch's own entries, so a replay sees what the first
         attempt saw.
         """
         entries = self.log(spark, "registry", REGISTRY_SCHEMA)
         if before is not None:
             entries = entries.where(F.col(BATCH) != before)
-        return entries.groupBy("table_name", "column_name").agg(
-            F.min_by("data_type", BATCH).alias("data_type")
+        widest = F.max(F.struct(F.length("data_type").alias("length"), "data_type"))
+        return (
+            entries.groupBy("table_name", "column_name")
+            .agg(widest.alias("widest"))
+            .select("table_name", "column_name", "widest.data_type")
         )
 
     def quarantine(self, spark: SparkSession) -> DataFrame:

@@ -7,7 +7,14 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from telemetry_lake.operators.quality import REGISTRY_SCHEMA, merge_schema, schema_rows
+from telemetry_lake.operators.quality import (
+    REGISTRY_SCHEMA,
+    merge_schema,
+    schema_rows,
+    type_from_name,
+    type_text,
+    widened,
+)
 from telemetry_lake.plans.lake import DRIFT_SCHEMA, Lake
 from telemetry_lake.session import small_frame
 
@@ -22,15 +29,21 @@ def record_schemas(
     """Merge found (table, column, type) rows into the registry, all tables in one join.
 
     New columns and type conflicts are logged under the batch key; doing it again under
-    the same key changes nothing. Returns the merge of the tables concerned.
+    the same key changes nothing. A nested type that only gained or lacks fields is no
+    conflict: the registry's type grows by the new fields (``widened``) or stays as it is
+    (``same``). Returns (table, column, old type, new type, status, type) rows of the
+    tables concerned.
     """
     if known is None:
         known = known_columns(spark, lake, batch, {table for table, _, _ in found})
     merged = merge_schema(
         small_frame(spark, known, REGISTRY_SCHEMA), small_frame(spark, found, REGISTRY_SCHEMA)
     )
-    rows = sorted(merged.collect(), key=lambda r: (r.table_name, r.column_name))
-    added = [(r.table_name, r.column_name, r.data_type) for r in rows if r.status == "added"]
+    rows = [_with_nested_fields(row) for row in merged.collect()]
+    rows.sort(key=lambda r: (r.table_name, r.column_name))
+    added = [
+        (r.table_name, r.column_name, r.data_type) for r in rows if r.status in ("added", "widened")
+    ]
     drifted = [
         (r.table_name, r.column_name, r.old_type, r.new_type) for r in rows if r.status == "conflict"
     ]
@@ -41,6 +54,17 @@ def record_schemas(
     return rows
 
 
+def _with_nested_fields(row: Row) -> Row:
+    if row.status != "conflict":
+        return row
+    old = type_from_name(row.old_type)
+    grown = widened(old, type_from_name(row.new_type))
+    if grown is None:
+        return row
+    status = "same" if grown == old else "widened"
+    return Row(**{**row.asDict(), "status": status, "data_type": type_text(grown)})
+
+
 def known_columns(
     spark: SparkSession, lake: Lake, batch: str, tables: set[str]
 ) -> list[tuple[str, str, str]]:

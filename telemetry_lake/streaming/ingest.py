@@ -19,7 +19,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 from telemetry_lake.functions.routing import (
     NAME_PATTERN,
@@ -27,7 +27,7 @@ from telemetry_lake.functions.routing import (
     file_name,
     table_of_name,
 )
-from telemetry_lake.operators.quality import castable, repaired, type_text
+from telemetry_lake.operators.quality import castable, repaired, type_from_name, type_text
 from telemetry_lake.operators.sinks import balanced, is_bad_date, iso_date
 from telemetry_lake.plans.lake import AUDIT_SCHEMA, BATCH, Lake
 from telemetry_lake.plans.schemas import known_columns, record_schemas
@@ -55,7 +55,11 @@ class LandingFile:
 
 @dataclass(frozen=True)
 class TableColumn:
-    """One column of a table to write: where it comes from and what it becomes."""
+    """One column of a table to write: where it comes from and what it becomes.
+
+    ``source_type`` is the type its JSON field is read as. It equals ``data_type`` unless
+    the types are in conflict.
+    """
 
     name: str
     data_type: str
@@ -238,14 +242,27 @@ def merge_page_schemas(
 
     columns: dict[str, list[TableColumn]] = {table: [] for table in schemas}
     for r in record_schemas(spark, lake, batch, found, known):
-        fits = r.status != "conflict" or castable(spark, r.new_type, r.old_type)
-        origin = source.get((r.table_name, r.column_name))
+        conflict = r.status == "conflict"
         columns[r.table_name].append(
-            TableColumn(r.column_name, r.data_type, origin, r.new_type, fits)
+            TableColumn(
+                r.column_name,
+                r.data_type,
+                source.get((r.table_name, r.column_name)),
+                r.new_type if conflict else r.data_type,
+                not conflict or castable(spark, r.new_type, r.old_type),
+            )
         )
     return columns
 
 
+def read_schema(schema: StructType, columns: list[TableColumn]) -> StructType:
+    """The inferred schema with the types the columns are read as."""
+    types = {c.source: type_from_name(c.source_type) for c in columns if c.source}
+    return StructType(
+        [StructField(f.name, types.get(f.name, f.dataType), True) for f in schema.fields]
+    )
+
+
 def parse_lines(lines: DataFrame, schema: StructType) -> DataFrame:
     """Records of JSON lines in a struct ``record``, NULL for a malformed line.
 
@@ -324,7 +341,7 @@ def write_table(
     The parsed page is kept on the executors for its three uses. If it is lost it is
     parsed again from the landing files.
     """
-    parsed = parse_lines(read_lines(spark, files), schema)
+    parsed = parse_lines(read_lines(spark, files), read_schema(schema, columns))
     rows = checked_rows(parsed, schema, columns, lake.date_column)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -151,13 +151,31 @@ def test_numbers_are_never_cut_to_fit(spark, landing, lake):
     assert sorted(q[2] for q in quarantined(spark, lake)) == ["type_conflict:f", "type_conflict:n"]
 
 
+def test_nested_fields_are_added_like_columns(spark, landing, lake):
+    put(landing, "t_1_0.json", {"a": 1, "s": {"x": 1, "l": [{"p": 1}]}})
+    run(spark, landing, lake)
+    put(landing, "t_2_0.json", {"a": 2, "s": {"x": 2, "y": "new", "l": [{"p": 2, "q": 3}]}})
+    run(spark, landing, lake)
+    put(landing, "t_3_0.json", {"a": 3, "s": {"y": "only"}}, {"a": 4, "s": None})
+    run(spark, landing, lake)
+    got = {r.a: r.s.asDict(recursive=True) if r.s else None for r in lake.open(spark).read("t").collect()}
+    assert got == {
+        1: {"x": 1, "y": None, "l": [{"p": 1, "q": None}]},
+        2: {"x": 2, "y": "new", "l": [{"p": 2, "q": 3}]},
+        3: {"x": None, "y": "only", "l": None},
+        4: None,
+    }
+    assert lake.drift(spark).count() == 0 and quarantined(spark, lake) == []
+
+
 def test_nested_types_without_a_cast_are_set_aside(spark, landing, lake):
     put(landing, "t_1_0.json", {"a": 1, "s": {"x": 1}})
     run(spark, landing, lake)
-    put(landing, "t_2_0.json", {"a": 2, "s": {"x": 1, "y": 2}}, {"a": 3})
+    put(landing, "t_2_0.json", {"a": 2, "s": {"x": [1], "y": 2}}, {"a": 3}, {"a": 4, "s": {"y": 2}})
     run(spark, landing, lake)
     assert rows(spark, lake, "t", "a") == [(1,), (3,)]
-    assert [q[2] for q in quarantined(spark, lake)] == ["type_conflict:s"]
+    assert [q[2] for q in quarantined(spark, lake)] == ["type_conflict:s"] * 2
+    assert [r.column_name for r in lake.drift(spark).collect()] == ["s"]
 
 
 def test_unusual_column_names(spark, landing, lake):
