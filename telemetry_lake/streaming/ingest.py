@@ -11,7 +11,7 @@ from __future__ import annotations
 import time
 from collections import defaultdict
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -178,15 +178,22 @@ def ingest_page(
     for file in files:
         by_table[file.table].append(file)
     unrouted = by_table.pop(None, [])
+    # The biggest table first, so that it is not the one left running alone.
+    names = sorted(by_table, key=lambda t: -sum(f.size for f in by_table[t]))
 
-    names = sorted(by_table)
     with ThreadPoolExecutor(max_workers=parallel_tables) as pool:
 
-        def run(job: Callable, items: list) -> list:
-            return list(pool.map(inheritable_thread_target(spark)(job), items))
+        def submit(job: Callable, *args) -> Future:
+            return pool.submit(inheritable_thread_target(spark)(job), *args)
 
-        schemas = dict(zip(names, run(lambda t: infer_schema(spark, by_table[t]), names)))
-        columns = merge_page_schemas(spark, lake, batch, schemas)
+        def for_each_table(job: Callable) -> dict:
+            running = {table: submit(job, table) for table in names}
+            return {table: future.result() for table, future in running.items()}
+
+        known = submit(known_columns, spark, lake, batch, set(names))
+        aside = submit(quarantine_files, spark, lake, batch, None, unrouted, UNROUTABLE)
+        schemas = for_each_table(lambda table: infer_schema(spark, by_table[table]))
+        columns = merge_page_schemas(spark, lake, batch, schemas, known.result())
 
         def write(table: str) -> dict[str, tuple[int, int]]:
             schema = schemas[table]
@@ -196,9 +203,8 @@ def ingest_page(
                 return quarantine_files(spark, lake, batch, table, by_table[table], reason)
             return write_table(spark, lake, batch, table, by_table[table], schema, columns[table])
 
-        counts = dict(zip(names, run(write, names)))
-    if unrouted:
-        counts[None] = quarantine_files(spark, lake, batch, None, unrouted, UNROUTABLE)
+        counts = for_each_table(write)
+        counts[None] = aside.result()
 
     seconds = time.monotonic() - started
     audit = []
@@ -224,11 +230,14 @@ def infer_schema(spark: SparkSession, files: list[LandingFile]) -> StructType |
 
 
 def merge_page_schemas(
-    spark: SparkSession, lake: Lake, batch: str, schemas: dict[str, StructType | None]
+    spark: SparkSession,
+    lake: Lake,
+    batch: str,
+    schemas: dict[str, StructType | None],
+    known: list[tuple[str, str, str]],
 ) -> dict[str, list[TableColumn]]:
     """Merge all inferred schemas of a page into the registry and plan each table's
     columns. A column that differs from a registered one only in case is that column."""
-    known = known_columns(spark, lake, batch, set(schemas))
     spelling = {(table, name.lower()): name for table, name, _ in known}
     source: dict[tuple[str, str], str] = {}
     found = []
@@ -376,6 +385,8 @@ def quarantine_files(
     reason: str,
 ) -> dict[str, tuple[int, int]]:
     """Set whole files aside, line by line; (0, lines) by file name."""
+    if not files:
+        return {}
     lines = read_lines(spark, files).where(F.trim("line") != "")
     counts = counts_by_file(lines, F.lit(False), F.lit(True))
     if counts:

@@ -1,4 +1,5 @@
 from datetime import datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -234,3 +235,10 @@ def test_work_dir_follows_the_session(spark, monkeypatch):
     assert first != second
     if shared:
         assert first.startswith(shared.rstrip("/"))
+
+
+def test_a_cluster_session_must_name_the_shared_folder():
+    settings = SimpleNamespace(get=lambda key, default: default)
+    cluster = SimpleNamespace(conf=settings, sparkContext=SimpleNamespace(master="yarn"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_dir(cluster, "x")
