@@ -14,7 +14,7 @@ def spark():
         .appName("telemetry-lake-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )

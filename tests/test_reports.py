@@ -55,6 +55,7 @@ def test_devices_with_a_key_hot_on_both_sides(spark):
 
 def test_a_hot_report_key_is_split(spark):
     settings = {
+        "spark.sql.shuffle.partitions": "8",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
