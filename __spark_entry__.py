@@ -28,6 +28,14 @@ from telemetry_lake.sources import scans  # noqa: E402
 from telemetry_lake.sources.workspace import Workspace, Workspaces  # noqa: E402
 from telemetry_lake.streaming import ingest, lines  # noqa: E402
 
+try:  # the training-data operators and their pipeline are optional
+    import corpus_pipeline
+    from telemetry_lake.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "telemetry_lake.llm"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -598,7 +606,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in QUERIES}
+    own = {query.__name__: query for query in QUERIES}
+    if llm_queries is None:
+        return own
+    return {**own, **llm_queries.QUERIES, "pipeline": corpus_pipeline.run}
 
 
 # Oracles
@@ -613,6 +624,13 @@ SUPPLIER_NATIONS = "select s_suppkey, n_name, s_acctbal from supplier join natio
 
 
 def oracle_sql() -> dict[str, str]:
+    if llm_queries is None:
+        return own_oracle_sql()
+    piped = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**own_oracle_sql(), **llm_queries.ORACLE_SQL, **piped}
+
+
+def own_oracle_sql() -> dict[str, str]:
     described = " union all ".join(
         f"select '{t}' as table_name, column_name, {SQL_TYPES} as data_type from (describe {t})"
         for t in TABLES

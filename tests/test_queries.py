@@ -28,16 +28,19 @@ def comparable(value):
     return value
 
 
+OWN = [query.__name__ for query in registered.QUERIES]
+
+
 def test_every_query_has_sql():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    assert set(OWN) == set(registered.own_oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(registered.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query_equals_sql(spark, oracle, name):
     df = registered.queries()[name](spark, SF_DIR)
     columns = sorted(df.columns)
     got = [tuple(comparable(row[c]) for c in columns) for row in df.collect()]
-    cursor = oracle.execute(registered.oracle_sql()[name])
+    cursor = oracle.execute(registered.own_oracle_sql()[name])
     names = [d[0] for d in cursor.description]
     assert sorted(names) == columns
     order = [names.index(c) for c in columns]
