@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from telemetry_lake.llm import decontaminate, secret_scan, simhash_dedup
+from telemetry_lake.llm import byte_bpe, decontaminate, language_id, secret_scan, simhash_dedup
 
 QUERIES = {
     "op1_secret_scan": secret_scan.op1_secret_scan,
+    "op2_byte_bpe": byte_bpe.op2_byte_bpe,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op7_simhash_dedup": simhash_dedup.op7_simhash_dedup,
+    "op9_language_id": language_id.op9_language_id,
 }
 ORACLE_SQL = {
     "op1_secret_scan": secret_scan.ORACLE_SQL,
