@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from telemetry_lake.llm import byte_bpe, decontaminate, language_id, secret_scan, simhash_dedup
+from telemetry_lake.llm import byte_bpe, decontaminate, language_id, secret_scan, simhash_dedup, suffix_dedup
 
 QUERIES = {
     "op1_secret_scan": secret_scan.op1_secret_scan,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op7_simhash_dedup": simhash_dedup.op7_simhash_dedup,
     "op9_language_id": language_id.op9_language_id,
+    "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
 ORACLE_SQL = {
     "op1_secret_scan": secret_scan.ORACLE_SQL,
