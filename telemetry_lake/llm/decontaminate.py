@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetry_lake.llm.tables import table
+from telemetry_lake.llm.tables import table, text_key
 
 WINDOW = 13
 REPLACED = 2
@@ -64,25 +64,14 @@ def _seed_rows(df: DataFrame, words: str, at: str) -> DataFrame:
     )
 
 
-def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, item_id, window_matches, item_matches, item_tokens) per overlapping pair.
+def _laid_here(words: DataFrame, texts: DataFrame) -> DataFrame:
+    """(doc_id, item_key, equal): which tokens of an item agree, for each alignment with a hit.
 
-    ``docs`` has doc_id and text, ``items`` has item_id and text; other columns are not read.
-    ``window_matches``: the most equal tokens in any window of the best alignment;
-    ``item_matches``: all equal tokens of that alignment. Null and empty texts, and items
-    shorter than a window, overlap nothing. Repeated documents or items give one row;
-    null ids are kept as ids of their own.
+    The items are sent to every executor, so documents stay where they are read.
     """
-    items = items.select("item_id", tokens("text").alias("item")).where(F.size("item") >= WINDOW)
-    total = items.agg(F.sum(F.size("item")).alias("n")).collect()[0]["n"] or 0
-    small = F.broadcast if total <= BROADCAST_TOKENS else lambda df: df
-    # Items by their tokens: repeated item texts are searched once.
-    keyed = items.withColumn("item_key", F.xxhash64("item"))
-    texts = keyed.groupBy("item_key").agg(F.first("item").alias("item"))
     seeds = _seed_rows(texts, "item", "q").select("item_key", "q", "mask", "seed").distinct()
-    words = docs.select("doc_id", tokens("text").alias("words")).where(F.size("words") >= WINDOW)
-    hits = _seed_rows(words, "words", "p").join(small(seeds), ["mask", "seed"])
-    hits = hits.select("doc_id", "words", "p", "q", "mask", "item_key").join(small(texts), "item_key")
+    hits = _seed_rows(words, "words", "p").join(F.broadcast(seeds), ["mask", "seed"])
+    hits = hits.select("doc_id", "words", "p", "q", "mask", "item_key").join(F.broadcast(texts), "item_key")
     # Of neighbouring hits of a mask on one alignment, the first is enough.
     again = [
         reduce(
@@ -99,7 +88,45 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
     equal = F.transform(
         "item", lambda w, k: F.coalesce((F.get(F.col("words"), k + shift) == w).cast("int"), F.lit(0))
     )
-    laid = first.select("doc_id", "item_key", equal.alias("equal"))
+    return first.select("doc_id", "item_key", equal.alias("equal"))
+
+
+def _laid_apart(words: DataFrame, texts: DataFrame) -> DataFrame:
+    """The same by shuffled joins: only seeds and, for hits, as many tokens as the item has move."""
+    seeds = _seed_rows(texts, "item", "q").select("item_key", F.size("item").alias("length"), "q", "mask", "seed")
+    placed = _seed_rows(words, "words", "p").select("doc_id", "text_key", "p", "mask", "seed")
+    hits = (
+        placed.join(seeds.distinct(), ["mask", "seed"])
+        .select(F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key"), "item_key", "length", (F.col("p") - F.col("q")).alias("shift"))
+        .distinct()
+    )
+    match = words["doc_id"].eqNullSafe(hits["hit_id"]) & (words["text_key"] == hits["hit_key"])
+    part = F.transform(
+        F.sequence(F.lit(0), F.col("length") - 1), lambda k: F.get(F.col("words"), k + F.col("shift"))
+    )
+    cut = words.join(hits, match).select("doc_id", "item_key", part.alias("part"))
+    equal = F.zip_with("part", "item", lambda a, b: F.coalesce((a == b).cast("int"), F.lit(0)))
+    return cut.join(texts, "item_key").select("doc_id", "item_key", equal.alias("equal"))
+
+
+def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """(doc_id, item_id, window_matches, item_matches, item_tokens) per overlapping pair.
+
+    ``docs`` has doc_id and text, ``items`` has item_id and text; other columns are not read.
+    ``window_matches``: the most equal tokens in any window of the best alignment;
+    ``item_matches``: all equal tokens of that alignment. Null and empty texts, and items
+    shorter than a window, overlap nothing. Repeated documents or items give one row;
+    null ids are kept as ids of their own.
+    """
+    items = items.select("item_id", tokens("text").alias("item")).where(F.size("item") >= WINDOW)
+    total = items.agg(F.sum(F.size("item")).alias("n")).collect()[0]["n"] or 0
+    # Items by their tokens: repeated item texts are searched once.
+    keyed = items.withColumn("item_key", F.xxhash64("item"))
+    texts = keyed.groupBy("item_key").agg(F.first("item").alias("item"))
+    words = docs.select("doc_id", text_key("text").alias("text_key"), tokens("text").alias("words"))
+    words = words.where(F.size("words") >= WINDOW)
+    small = total <= BROADCAST_TOKENS
+    laid = _laid_here(words, texts) if small else _laid_apart(words, texts)
     starts = F.sequence(F.lit(0), F.size("equal") - WINDOW)
     best = F.array_max(
         F.transform(
@@ -120,7 +147,7 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
     return (
         scored.groupBy("doc_id", "item_key")
         .agg(best_row)
-        .join(small(named), "item_key")
+        .join(F.broadcast(named) if small else named, "item_key")
         .groupBy("doc_id", "item_id")
         .agg(F.max("best").alias("best"))
         .select(

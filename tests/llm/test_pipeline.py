@@ -53,7 +53,7 @@ def test_every_stage_equals_plain(spark, folder):
 
 
 def test_run_and_empty_table(spark, documents, folder, tmp_path):
-    assert corpus_pipeline.run(spark, folder).count() == 6
+    assert corpus_pipeline.run(spark, folder).count() == 5
     empty = tmp_path / "empty"
     documents([]).write.parquet(f"{empty}/documents.parquet")
     spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{empty}/benchmark.parquet")
