@@ -10,9 +10,11 @@ hash. Equal windows have the same anchor, so nothing is lost by looking at ancho
    Sampled splitters range-partition the rows, each bucket sorts them by multikey
    quicksort. Rows equal to an earlier neighbour are repeats as a whole. Where a gram has
    several different surroundings, the first row of each goes on.
-2. Those rows, and the first and last grams of every bucket, are taken apart into the
-   suffixes of their single windows, which are range-partitioned and sorted the same way.
-   Equal neighbours are repeats; ends of buckets are compared across boundaries.
+2. Those rows, and the first and last grams of every bucket, are taken apart into blocks of
+   ``GRID`` windows, keyed by the bytes that all windows of a block have in common, and sorted
+   the same way. A block whose common bytes occur once holds no repeat.
+3. What is left is taken apart into the suffixes of single windows. Equal neighbours are
+   repeats; ends of buckets are compared across boundaries.
 
 Splitters cut by the whole key with the place, so a passage that very many documents share
 is spread over many buckets.
@@ -33,6 +35,8 @@ from telemetry_lake.llm.tables import shuffle_width, stored, table, text_bytes,
 
 LENGTH = 100
 GRAM = 32
+#: Windows that are looked at together where anchors have to be taken apart.
+GRID = 8
 #: Bytes of a text that are hashed at once.
 BLOCK = 1 << 16
 #: Low bits of a place: the tag of a row's text, which keeps apart rows of one id.
@@ -95,8 +99,8 @@ def blocks(data: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield at, data[at : at + step + LENGTH - 1]
 
 
-def anchors(data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(gram, surroundings, first window, windows) of the anchors of a text, block by block."""
+def _chosen(data: np.ndarray) -> Iterator[tuple[int, Hashes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(offset, hashes, gram hashes, anchors, first window, windows) of each part of a text."""
     width = LENGTH - GRAM + 1
     for offset, part in blocks(data):
         hashes = Hashes(part)
@@ -106,7 +110,12 @@ def anchors(data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarr
         chosen = (_sliding_least(order, width) & _U((1 << 18) - 1)).astype(np.int64)
         first = np.flatnonzero(np.diff(chosen, prepend=-1))
         count = np.diff(first, append=len(chosen))
-        at = chosen[first]
+        yield offset, hashes, grams, chosen[first], first, count
+
+
+def anchors(data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(gram, surroundings, first window, windows) of the anchors of a text, part by part."""
+    for offset, hashes, grams, at, first, count in _chosen(data):
         key = hashes.lead(at) << _U(32) | grams[at] >> _U(32)
         whole = hashes.of(first, first + count + LENGTH - 1)
         # How the windows lie around the anchor is part of the surroundings.
@@ -114,6 +123,28 @@ def anchors(data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarr
         yield key.view(np.int64), whole.view(np.int64), first + offset, count
 
 
+def grid_blocks(data: np.ndarray, wanted: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(common bytes, all bytes, first window, windows) of the blocks of some anchors.
+
+    Blocks lie at fixed distances before the anchor, so equal windows are in equal blocks.
+    ``wanted``: the first windows of the anchors, in order.
+    """
+    for offset, hashes, _, at, first, count in _chosen(data):
+        picked = np.isin(first + offset, wanted)
+        at, first, count = at[picked], first[picked], count[picked]
+        last = first + count - 1
+        low, high = (at - last) // GRID, (at - first) // GRID
+        n = high - low + 1
+        row = np.repeat(np.arange(len(at)), n)
+        block = low[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        near, far = at[row] - block * GRID, at[row] - block * GRID - GRID + 1
+        begin, end = np.maximum(first[row], far), np.minimum(last[row], near)
+        core = hashes.lead(near) << _U(32) | _mixed(hashes.of(near, far + LENGTH) + block.astype(np.uint64)) >> _U(32)
+        whole = hashes.of(begin, end + LENGTH)
+        whole = _mixed(whole + ((at[row] - begin).astype(np.uint64) << _U(8) | (end - begin).astype(np.uint64)))
+        yield core.view(np.int64), whole.view(np.int64), begin + offset, end - begin + 1
+
+
 def windows(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two-word keys of the windows of a text that start at the given places."""
     one, two = np.empty(len(starts), dtype=np.int64), np.empty(len(starts), dtype=np.int64)
@@ -173,20 +204,50 @@ _ANCHOR = "gram bigint, whole bigint, doc bigint, at bigint"
 _WINDOW = "one bigint, two bigint, doc bigint, at bigint"
 
 
+def _packed_rows(found: Iterator[tuple], doc: int, tag: int) -> Iterator[tuple]:
+    for key, whole, first, count in found:
+        at = (first << SIZE_BITS | count) << TAG_BITS | tag
+        yield key, whole, np.full(len(at), doc), at
+
+
+def _grouped(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Key rows in batches of some size."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[0])
+        if size > 100_000:
+            yield _record(**dict(zip(("gram", "whole", "doc", "at"), map(np.concatenate, zip(*held, strict=True)), strict=True)))
+            held, size = [], 0
+    if held:
+        yield _record(**dict(zip(("gram", "whole", "doc", "at"), map(np.concatenate, zip(*held, strict=True)), strict=True)))
+
+
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        held, size = [], 0
         docs, tags = batch.column("doc").to_pylist(), batch.column("tag").to_pylist()
-        for doc, tag, text in zip(docs, tags, batch.column("data"), strict=True):
-            for gram, whole, first, count in anchors(np.frombuffer(text.as_buffer(), dtype=np.uint8)):
-                at = (first << SIZE_BITS | count) << TAG_BITS | tag
-                held.append((gram, whole, np.full(len(at), doc), at))
-                size += len(at)
-                if size > 100_000:
-                    yield _record(**dict(zip(("gram", "whole", "doc", "at"), map(np.concatenate, zip(*held, strict=True)), strict=True)))
-                    held, size = [], 0
-        if held:
-            yield _record(**dict(zip(("gram", "whole", "doc", "at"), map(np.concatenate, zip(*held, strict=True)), strict=True)))
+        texts = (np.frombuffer(x.as_buffer(), dtype=np.uint8) for x in batch.column("data"))
+        yield from _grouped(
+            row for doc, tag, text in zip(docs, tags, texts, strict=True) for row in _packed_rows(anchors(text), doc, tag)
+        )
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(doc, tag, bytes, first windows, windows) of rows joined with their texts."""
+    unpack = zstandard.ZstdDecompressor()
+    for batch in batches:
+        for doc, tag, text, places in zip(*(batch.column(n) for n in ("doc", "tag", "data", "places")), strict=True):
+            data = np.frombuffer(unpack.decompress(text.as_buffer()), dtype=np.uint8)
+            at = np.sort(places.values.to_numpy(zero_copy_only=False)) >> TAG_BITS
+            yield doc.as_py(), tag.as_py(), data, at >> SIZE_BITS, at & ((1 << SIZE_BITS) - 1)
+
+
+def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from _grouped(
+        row
+        for doc, tag, data, first, _ in _unpacked(batches)
+        for row in _packed_rows(grid_blocks(data, np.unique(first)), doc, tag)
+    )
 
 
 def _sorted_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,20 +271,19 @@ def _sorted_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    unpack = zstandard.ZstdDecompressor()
-    for batch in batches:
-        for doc, tag, text, places in zip(
-            *(batch.column(n) for n in ("doc", "tag", "data", "places")), strict=True
-        ):
-            data = np.frombuffer(unpack.decompress(text.as_buffer()), dtype=np.uint8)
-            at = np.sort(places.values.to_numpy(zero_copy_only=False)) >> TAG_BITS
-            first, count = at >> SIZE_BITS, at & ((1 << SIZE_BITS) - 1)
-            for some in np.array_split(np.arange(len(first)), len(first) // 2000 + 1):
-                n = count[some]
-                begin = np.cumsum(n) - n
-                starts = np.unique(np.repeat(first[some] - begin, n) + np.arange(int(n.sum())))
-                one, two = windows(data, starts)
-                yield _record(one=one, two=two, doc=np.full(len(starts), doc.as_py()), at=(starts << SIZE_BITS | 1) << TAG_BITS | tag.as_py())
+    held, size = [], 0
+    for doc, tag, data, first, count in _unpacked(batches):
+        for some in np.array_split(np.arange(len(first)), len(first) // 2000 + 1):
+            n = count[some]
+            begin = np.cumsum(n) - n
+            starts = np.unique(np.repeat(first[some] - begin, n) + np.arange(int(n.sum())))
+            held.append((*windows(data, starts), np.full(len(starts), doc), (starts << SIZE_BITS | 1) << TAG_BITS | tag))
+            size += len(starts)
+            if size > 100_000:
+                yield _record(**dict(zip(("one", "two", "doc", "at"), map(np.concatenate, zip(*held, strict=True)), strict=True)))
+                held, size = [], 0
+    if held:
+        yield _record(**dict(zip(("one", "two", "doc", "at"), map(np.concatenate, zip(*held, strict=True)), strict=True)))
 
 
 def _sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,6 +370,22 @@ def _by_row(spans: DataFrame) -> DataFrame:
 _SAME = "doc = of_doc and tag = of_tag"
 
 
+def _sorted_out(rows: DataFrame, width: int, label: str) -> DataFrame:
+    """(doc, at, apart): repeats as a whole, and rows to be taken apart."""
+    return stored(
+        rows.repartitionByRange(width, "gram", "whole", "doc", "at").mapInArrow(
+            _sorted_anchors, "doc bigint, at bigint, apart boolean"
+        ),
+        label,
+    )
+
+
+def _with_texts(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The texts of the rows that have something to be taken apart."""
+    apart = _by_row(found.where("apart"))
+    return _keyed(docs, packed=True).join(apart, F.expr(_SAME)).select("doc", "tag", "data", "places")
+
+
 def repeated(docs: DataFrame) -> DataFrame:
     """(doc, at): windows that also start earlier, as runs of neighbouring windows.
 
@@ -318,20 +394,10 @@ def repeated(docs: DataFrame) -> DataFrame:
     """
     width = shuffle_width(docs.sparkSession)
     rows = _keyed(docs, packed=False).where(F.octet_length("data") >= LENGTH)
-    first = stored(
-        rows.mapInArrow(_anchor_rows, _ANCHOR)
-        .repartitionByRange(width, "gram", "whole", "doc", "at")
-        .mapInArrow(_sorted_anchors, "doc bigint, at bigint, apart boolean"),
-        "anchors",
-    )
-    apart = _by_row(first.where("apart"))
-    single = stored(
-        _keyed(docs, packed=True)
-        .join(apart, F.expr(_SAME))
-        .select("doc", "tag", "data", "places")
-        .mapInArrow(_window_rows, _WINDOW),
-        "windows",
-    )
+    first = _sorted_out(rows.mapInArrow(_anchor_rows, _ANCHOR), width, "anchors")
+    blocks = stored(_with_texts(docs, first).mapInArrow(_block_rows, _ANCHOR), "blocks")
+    finer = _sorted_out(blocks, width, "block-repeats")
+    single = stored(_with_texts(docs, finer).mapInArrow(_window_rows, _WINDOW), "windows")
     second = stored(
         single.repartitionByRange(width, "one", "two", "doc", "at")
         .withColumn("bucket", F.spark_partition_id())
@@ -342,7 +408,8 @@ def repeated(docs: DataFrame) -> DataFrame:
         "window-repeats",
     )
     return (
-        first.where("not apart")
+        first.unionByName(finer)
+        .where("not apart")
         .select("doc", "at")
         .unionByName(second.where("repeat").select("doc", "at"))
         .unionByName(_across(second))

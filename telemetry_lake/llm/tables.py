@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from telemetry_lake.session import work_dir
 
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -17,9 +19,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
     This cuts the lineage, and the rows survive the loss of any executor.
     """
-    path = work_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = work_dir(spark, label)
+    # The table is all that is read later, so the shuffles behind it can go at once.
+    before = spark.conf.get(_CLEAN_UP, "false")
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def text_bytes(text: str) -> Column:
