@@ -74,9 +74,14 @@ def records(pages: DataFrame, least: int = LEAST) -> DataFrame:
     return known.select(F.concat(head, http, F.when(revisits, "").otherwise(F.col("html"))).alias("record"))
 
 
-def write_archives(pages: DataFrame, folder: str, least: int = LEAST) -> None:
-    """A WARC file per task; records never span files."""
-    records(pages, least).write.option("lineSep", RECORD_END).text(folder)
+def write_archives(pages: DataFrame, folder: str, least: int = LEAST, compression: str = "gzip") -> None:
+    """A WARC file per task; records never span files.
+
+    ``compression="none"`` gives files that a reader can split; a compressed file is read by
+    one task, and its offsets are those of what it unpacks to.
+    """
+    write = records(pages, least).write.option("lineSep", RECORD_END)
+    write.option("compression", compression).text(folder)
 
 
 def read_pieces(spark: SparkSession, folder: str) -> DataFrame:
@@ -264,9 +269,9 @@ def _mended(spark: SparkSession, folder: str, pieces: DataFrame, broken: DataFra
     return broken.drop("payload_bytes", "payload_digest").join(known.where("payload_digest is not null"), ["file", "offset"])
 
 
-def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op5_warc(spark: SparkSession, sf_dir: str, compression: str = "gzip") -> DataFrame:
     folder = work_dir(spark, "archives")
-    write_archives(table(spark, sf_dir, "pages"), folder)
+    write_archives(table(spark, sf_dir, "pages"), folder, compression=compression)
     number = lambda c: F.expr(f"try_cast(regexp_extract({c}, '^<urn:page:(-?[0-9]+)>$', 1) as bigint)")
     return read_archives(spark, folder).select(
         number("record_id").alias("page_id"),

@@ -28,13 +28,13 @@ def plain(rows, least=0):
     return sorted(out, key=repr)
 
 
-def run(spark, rows, tmp_path, least=0, split=None):
+def run(spark, rows, tmp_path, least=0, split=None, compression="none"):
     spark.createDataFrame(rows, SCHEMA).coalesce(2).write.parquet(f"{tmp_path}/pages.parquet")
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     if split:
         spark.conf.set("spark.sql.files.maxPartitionBytes", split)
     try:
-        return sorted(map(tuple, op.op5_warc(spark, str(tmp_path)).collect()), key=repr)
+        return sorted(map(tuple, op.op5_warc(spark, str(tmp_path), compression).collect()), key=repr)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
@@ -44,6 +44,10 @@ def test_round_trip(spark, tmp_path, split):
     assert run(spark, PAGES, tmp_path, split=split) == plain(PAGES)
 
 
+def test_round_trip_of_compressed_files(spark, tmp_path):
+    assert run(spark, PAGES, tmp_path, split="4096", compression="gzip") == plain(PAGES)
+
+
 def test_empty_and_repeated(spark, tmp_path):
     assert run(spark, [], tmp_path / "a") == []
     rows = [(1, "u", "x", None), (1, "u", "x", None), (None, None, None, None), (None, "u", "z", None)]
