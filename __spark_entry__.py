@@ -40,6 +40,9 @@ TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
+# Two halves of a table; rows without a value are in the second one.
+BELOW_50 = "coalesce(value < 50, false)"
+NOT_BELOW_50 = f"not {BELOW_50}"
 AS_OF = date(2024, 1, 30)
 HARDWARE_AS_OF = date(2001, 8, 1)
 HARDWARE_DAYS = 365
@@ -151,8 +154,8 @@ def scan_json(spark, sf_dir):
 def scan_parquet(spark, sf_dir):
     path = work_dir(spark, "scan-parquet")
     rows = report_rows(spark, sf_dir).drop("ts")
-    sinks.append_by_date(rows.where("value < 50"), path, "report_date")
-    sinks.append_by_date(rows.where("value >= 50"), path, "report_date")
+    sinks.append_by_date(rows.where(BELOW_50), path, "report_date")
+    sinks.append_by_date(rows.where(NOT_BELOW_50), path, "report_date")
     return scans.scan_parquet(spark, path).select(
         "event_id", "user_id", "event_type", "value", shown_date()
     )
@@ -161,8 +164,8 @@ def scan_parquet(spark, sf_dir):
 def append_unpartitioned(spark, sf_dir):
     path = work_dir(spark, "append-plain")
     rows = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
-    sinks.append_plain(rows.where("value < 50"), path)
-    sinks.append_plain(rows.where("value >= 50"), path)
+    sinks.append_plain(rows.where(BELOW_50), path)
+    sinks.append_plain(rows.where(NOT_BELOW_50), path)
     return scans.scan_parquet(spark, path)
 
 
@@ -282,8 +285,8 @@ def ingest_missing_date(spark, sf_dir):
     )
     dated = F.to_json(F.struct("event_id", "report_date")).alias("value")
     undated = F.to_json(F.struct("event_id")).alias("value")
-    land_and_ingest(spark, events.where("value < 50").select("table_name", dated), lake, 1)
-    land_and_ingest(spark, events.where("value >= 50").select("table_name", undated), lake, 2)
+    land_and_ingest(spark, events.where(BELOW_50).select("table_name", dated), lake, 1)
+    land_and_ingest(spark, events.where(NOT_BELOW_50).select("table_name", undated), lake, 2)
     return lake.open(spark).read("events_data").select("event_id", shown_date())
 
 
@@ -308,10 +311,10 @@ def compact_table(spark, sf_dir):
     def part(where):
         return events.where(where).select("table_name", F.col("line").alias("value"))
 
-    land_and_ingest(spark, part("value < 10"), lake, 1)
-    land_and_ingest(spark, part("value >= 10 and value < 50"), lake, 2)
+    land_and_ingest(spark, part("coalesce(value < 10, false)"), lake, 1)
+    land_and_ingest(spark, part("coalesce(value >= 10 and value < 50, false)"), lake, 2)
     compact_lake_table(spark, lake, "events_data")
-    land_and_ingest(spark, part("value >= 50"), lake, 3)
+    land_and_ingest(spark, part(NOT_BELOW_50), lake, 3)
     return lake.open(spark).read("events_data").select("event_id", "user_id", "value", shown_date())
 
 
@@ -356,6 +359,15 @@ def export_csv(spark, sf_dir):
     return rows.select("event_id", "user_id", "event_type", "value", "props", shown_date())
 
 
+def export_csv_documents(spark, sf_dir):
+    """Whole texts, with their line ends and quotes, out to CSV and back."""
+    path = work_dir(spark, "export-documents")
+    table(spark, sf_dir, "documents").createOrReplaceTempView("export_documents")
+    sinks.export_csv(spark, "select * from export_documents", path)
+    ddl = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    return sinks.read_csv_report(spark, path, ddl)
+
+
 def to_json_rows(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
     return text.to_json_rows(rows)
@@ -495,7 +507,7 @@ def report_summary(spark, sf_dir):
 def table_stats(spark, sf_dir):
     paths = {name: f"{sf_dir}/{name}.parquet" for name in [*TABLES, "no_such_table"]}
     stats = quality.table_stats(spark, paths)
-    return stats.withColumn("columns", F.array_join("columns", ","))
+    return stats.select("table_name", "count", F.array_join("columns", ",").alias("columns"))
 
 
 def schema_discover(spark, sf_dir):
@@ -590,7 +602,8 @@ QUERIES = [
     scan_json, scan_parquet, append_unpartitioned, scan_with_schema, scan_delimited,
     workspace_read, route_by_filename, route_by_filename_strict, stream_paged_ingest,
     json_array_explode, ingest_partitioned, ingest_missing_date, write_multi_partition,
-    compact_table, report_csv_roundtrip, report_history, export_csv, to_json_rows,
+    compact_table, report_csv_roundtrip, report_history, export_csv,
+    export_csv_documents, to_json_rows,
     ingest_quarantine, stream_fanout, stream_archive, ingest_audit, filter_since,
     filter_on_date, project_columns, project_nested, filter_lines_by_table,
     table_name_of_line, key_lines, devices_per_configuration, join_inner_star, count_total,
@@ -689,6 +702,7 @@ def own_oracle_sql() -> dict[str, str]:
             from events"""
             for d in (28, 29, 30)
         ),
+        "export_csv_documents": "select doc_id, text, lang, source, n_chars from documents",
         "export_csv": f"""select event_id, user_id, event_type, value, props, {DAY} as report_date
             from events""",
         "to_json_rows": """select concat('{"event_id":', event_id, ',"user_id":', user_id,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -155,23 +156,23 @@ def castable(spark: SparkSession, found: str, wanted: str) -> bool:
     return True
 
 
-def table_stats(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
-    """Row count and column list per table, as one job; -1 and none if unreadable."""
-    parts = []
-    for name, path in paths.items():
+def table_stats(spark: SparkSession, paths: Mapping[str, str], at_once: int = 8) -> DataFrame:
+    """Row count and column list per table; -1, no columns and the reason if it can't be read.
+
+    Every table is a job of its own, so one that fails does not end the others; up to
+    ``at_once`` of them run side by side.
+    """
+
+    def stats(name: str) -> tuple[str, int, list[str], str | None]:
         try:
-            df = spark.read.parquet(path)
-        except AnalysisException:
-            columns = []
-            df = spark.range(1).select(F.lit(-1).cast("bigint").alias("count"))
-        else:
-            columns = df.columns
-            df = df.agg(F.count(F.lit(1)).alias("count"))
-        listed = F.array(*[F.lit(c) for c in columns]).cast("array<string>").alias("columns")
-        parts.append(df.select(F.lit(name).alias("table_name"), "count", listed))
-    if not parts:
-        return small_frame(spark, [], "table_name string, count bigint, columns array<string>")
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+            df = spark.read.parquet(paths[name])
+            return name, df.count(), df.columns, None
+        except Exception as error:  # whatever keeps a table from being read is its reason
+            condition = getattr(error, "getCondition", lambda: None)()
+            return name, -1, [], condition or type(error).__name__
+
+    with ThreadPoolExecutor(at_once) as pool:
+        rows = list(pool.map(stats, paths))
+    return small_frame(
+        spark, rows, "table_name string, count bigint, columns array<string>, reason string"
+    )

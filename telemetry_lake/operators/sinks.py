@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetry_lake.operators.quality import quoted
-from telemetry_lake.session import path_missing, small_frame, work_dir
+from telemetry_lake.session import path_missing, small_frame
 
 # Marks NULL in CSV files, so that a NULL group and an empty one stay apart.
 NULL_TEXT = "\\N"
@@ -69,31 +69,50 @@ def write_partitioned(df: DataFrame, path: str, *columns: str, mode: str = "over
     balanced(df, *columns).write.mode(mode).partitionBy(*columns).parquet(path)
 
 
+def _texts_where(df: DataFrame, pattern: str, changed: str) -> DataFrame:
+    """Text columns with ``changed`` in place of values that match; ``{c}`` is the column."""
+    names = [quoted(f.name) for f in df.schema.fields if f.dataType.simpleString() == "string"]
+    picked = {
+        n[1:-1].replace("``", "`"): F.when(F.col(n).rlike(pattern), F.expr(changed.format(c=n))).otherwise(F.col(n))
+        for n in names
+    }
+    return df.withColumns(picked)
+
+
+def _marked(df: DataFrame) -> DataFrame:
+    """Texts that would read as the NULL mark get one more backslash."""
+    return _texts_where(df, r"^\\+N$", "concat(char(92), {c})")
+
+
+def _unmarked(df: DataFrame) -> DataFrame:
+    return _texts_where(df, r"^\\{2,}N$", "substring({c}, 2)")
+
+
+def _write_csv(df: DataFrame, path: str, mode: str) -> None:
+    """CSV that ``read_csv_report`` reads back as it was: NULL, empty texts, quotes, newlines."""
+    (
+        _marked(df)
+        .write.mode(mode)
+        .options(header=True, nullValue=NULL_TEXT, emptyValue='""', escape='"', lineSep="\n")
+        .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        .csv(path)
+    )
+
+
 def read_csv_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return (
-        spark.read.schema(schema).option("header", True).option("nullValue", NULL_TEXT).csv(path)
+    read = spark.read.schema(schema).options(
+        header=True, nullValue=NULL_TEXT, escape='"', lineSep="\n", multiLine=True
     )
+    return _unmarked(read.csv(path))
 
 
-def write_csv_report(df: DataFrame, path: str, one_file_rows: int = 1_000_000) -> None:
+def write_csv_report(df: DataFrame, path: str, single_file: bool = False) -> None:
     """A report as a CSV folder with header lines.
 
-    The result is stored first and its rows counted. Up to ``one_file_rows`` it becomes
-    a single file; a bigger one keeps its partitions, so no task gets it whole.
+    ``single_file`` puts the whole result through one task; ask for it only where the result
+    is known to be small.
     """
-    spark = df.sparkSession
-    staged = work_dir(spark, "report")
-    df.write.parquet(staged)
-    result = spark.read.schema(df.schema).parquet(staged)
-    if result.count() <= one_file_rows:
-        result = result.coalesce(1)
-    (
-        result.write.mode("overwrite")
-        .option("header", True)
-        .option("nullValue", NULL_TEXT)
-        .option("emptyValue", '""')
-        .csv(path)
-    )
+    _write_csv(df.coalesce(1) if single_file else df, path, "overwrite")
 
 
 def append_history(
@@ -119,11 +138,4 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
 
 def export_csv(spark: SparkSession, sql: str, path: str) -> None:
     """Store a query's result as CSV, written by all tasks."""
-    (
-        spark.sql(sql)
-        .write.mode("errorifexists")
-        .option("header", True)
-        .option("nullValue", NULL_TEXT)
-        .option("emptyValue", '""')
-        .csv(path)
-    )
+    _write_csv(spark.sql(sql), path, "errorifexists")

@@ -217,15 +217,14 @@ def ingest_page(
 
 def infer_schema(spark: SparkSession, files: list[LandingFile]) -> StructType | None:
     """Schema of a table's files, without fields if no line is a JSON object; None if two
-    columns differ only in case or one has a name the lake keeps for itself."""
+    columns differ only in case. A field with a name the lake keeps for itself stays in the
+    schema, so that the lines that have it can be told."""
     try:
         found = spark.read.json([literal_path(f.path) for f in files]).schema
     except AnalysisException as error:
         if error.getCondition() == "COLUMN_ALREADY_EXISTS":
             return None
         raise
-    if any(f.name.lower() == BATCH for f in found.fields):
-        return None
     return StructType([f for f in found.fields if f.name != CORRUPT])
 
 
@@ -243,7 +242,7 @@ def merge_page_schemas(
     found = []
     for table, schema in schemas.items():
         for field in schema.fields if schema else []:
-            if field.name.lower() == lake.date_column.lower():
+            if field.name.lower() in (lake.date_column.lower(), BATCH):
                 continue
             name = spelling.get((table, field.name.lower()), field.name)
             source[table, name] = field.name
@@ -275,14 +274,15 @@ def read_schema(schema: StructType, columns: list[TableColumn]) -> StructType:
 def parse_lines(lines: DataFrame, schema: StructType) -> DataFrame:
     """Records of JSON lines in a struct ``record``, NULL for a malformed line.
 
-    A line is read as the element of an array, so a second object glued to the first
-    makes it malformed instead of being dropped. A line that is an array gives its items.
+    A line is read as the element of an array, so a second object glued to the first, with
+    a comma or without, makes it malformed instead of being dropped. A line that is an array
+    gives its items.
     """
     line = F.col("line")
-    text = F.when(F.ltrim(line).startswith("["), line).otherwise(
-        F.concat(F.lit("["), line, F.lit("]"))
-    )
+    is_array = F.ltrim(line).startswith("[")
+    text = F.when(is_array, line).otherwise(F.concat(F.lit("["), line, F.lit("]")))
     records = F.from_json(text, ArrayType(schema))
+    records = F.when(is_array | (F.size(records) <= 1), records)
     return lines.where(F.trim(line) != "").withColumn("record", F.explode_outer(records))
 
 
@@ -316,6 +316,9 @@ def checked_rows(
     reason = F.when(F.col("record").isNull(), MALFORMED)
     if raw_day is not None:
         reason = reason.when(is_bad_date(raw_day), BAD_DATE)
+    for field in schema.fields:
+        if field.name.lower() == BATCH:
+            reason = reason.when(F.col("record").getField(field.name).isNotNull(), UNREADABLE)
     for name, lost in conflicts:
         reason = reason.when(lost, TYPE_CONFLICT + name)
     row = F.struct(*values, day.alias(date_column)).alias("row")

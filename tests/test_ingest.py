@@ -59,6 +59,21 @@ def test_glued_records_are_set_aside_not_dropped(spark, landing, lake):
     assert quarantined(spark, lake) == [("t", "t_1_0.json", "malformed_json", '{"a":1}{"a":2}')]
 
 
+def test_records_joined_by_a_comma_are_set_aside(spark, landing, lake):
+    put(landing, "t_1_0.json", '{"a":1},{"b":2}', {"a": 3})
+    run(spark, landing, lake)
+    assert rows(spark, lake, "t", "a") == [(3,)]
+    assert quarantined(spark, lake) == [("t", "t_1_0.json", "malformed_json", '{"a":1},{"b":2}')]
+
+
+def test_reserved_name_sets_aside_its_line_only(spark, landing, lake):
+    put(landing, "t_1_0.json", {"a": 1}, '{"a":2,"_batch_id":9}')
+    put(landing, "t_2_0.json", {"a": 3})
+    run(spark, landing, lake)
+    assert rows(spark, lake, "t", "a") == [(1,), (3,)]
+    assert quarantined(spark, lake) == [("t", "t_1_0.json", "unreadable_schema", '{"a":2,"_batch_id":9}')]
+
+
 def test_array_line_gives_its_records(spark, landing, lake):
     put(landing, "t_1_0.json", '[{"a":1},{"a":2}]', "", {"a": 3})
     run(spark, landing, lake)

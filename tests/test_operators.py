@@ -136,7 +136,14 @@ def test_repair_gives_null_for_what_does_not_fit(spark):
 
 def test_stats_mark_unreadable_tables(spark, tmp_path):
     spark.range(5).write.parquet(str(tmp_path / "a"))
-    paths = {"a": str(tmp_path / "a"), "none": str(tmp_path / "none")}
+    (tmp_path / "garbage").mkdir()
+    (tmp_path / "garbage" / "part-0.parquet").write_bytes(b"not a table at all")
+    spark.range(5).write.parquet(str(tmp_path / "mixed"))
+    (tmp_path / "mixed" / "part-9.parquet").write_bytes(b"PAR1 broken PAR1")
+    paths = {n: str(tmp_path / n) for n in ("a", "none", "garbage", "mixed")}
+    reasons = {r.table_name: r.reason for r in quality.table_stats(spark, paths).collect()}
+    assert reasons["a"] is None and all(reasons[n] for n in ("none", "garbage", "mixed"))
+    del paths["garbage"], paths["mixed"]
     got = {r.table_name: (r["count"], r["columns"]) for r in quality.table_stats(spark, paths).collect()}
     assert got == {"a": (5, ["id"]), "none": (-1, [])}
     assert quality.table_stats(spark, {}).collect() == []

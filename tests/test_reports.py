@@ -118,11 +118,21 @@ def test_report_run_and_history(spark, tmp_path):
     assert {r.fw_version: r["count"] for r in got.collect()} == {None: 8, "": 8, "v1": 8}
 
 
-def test_big_report_keeps_its_partitions(spark, tmp_path):
+def test_report_is_one_file_only_when_asked(spark, tmp_path):
     df = spark.range(0, 1000, 1, 4)
-    sinks.write_csv_report(df, str(tmp_path / "r"), one_file_rows=100)
-    assert len(list((tmp_path / "r").glob("*.csv"))) == 4
-    assert sinks.read_csv_report(spark, str(tmp_path / "r"), "id bigint").count() == 1000
+    for name, files in (("many", 4), ("one", 1)):
+        sinks.write_csv_report(df, str(tmp_path / name), single_file=files == 1)
+        assert len(list((tmp_path / name).glob("*.csv"))) == files
+        assert sinks.read_csv_report(spark, str(tmp_path / name), "id bigint").count() == 1000
+
+
+def test_csv_reads_back_as_it_was(spark, tmp_path):
+    texts = ["x\ny", "\\N", "\\\\N", None, "", " a ", '"q", \\"r\\', "a\r\nb", "N", ",", "\\"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, `a.b` string")
+    df.createOrReplaceTempView("csv_texts")
+    sinks.export_csv(spark, "select * from csv_texts", str(tmp_path / "c"))
+    got = sinks.read_csv_report(spark, str(tmp_path / "c"), "id int, `a.b` string")
+    assert {r[0]: r[1] for r in got.collect()} == dict(enumerate(texts))
 
 
 def test_history_is_empty_before_the_first_run(spark, tmp_path):
