@@ -96,6 +96,36 @@ def widened(old: DataType, new: DataType) -> DataType | None:
     return StructType([StructField(name, t, True) for name, t in fields.items()])
 
 
+def grown(old: DataType, new: DataType) -> DataType:
+    """The old type with all nested fields of the new one that it lacks. A part that both have
+    keeps its old type, and a field that differs from another one only in case is left out."""
+    if isinstance(old, ArrayType) and isinstance(new, ArrayType):
+        return ArrayType(grown(old.elementType, new.elementType))
+    if not (isinstance(old, StructType) and isinstance(new, StructType)):
+        return old
+    fields: dict[str, DataType] = {}
+    spelled: set[str] = set()
+    for field in [*old.fields, *new.fields]:
+        if field.name in fields:
+            fields[field.name] = grown(fields[field.name], field.dataType)
+        elif field.name.lower() not in spelled:
+            fields[field.name] = grown(field.dataType, field.dataType)
+        spelled.add(field.name.lower())
+    return StructType([StructField(name, t, True) for name, t in fields.items()])
+
+
+def type_of_variant(text: str) -> DataType:
+    """The type a JSON reader would give to values with this variant schema."""
+    names = {"OBJECT<>": "STRING", "OBJECT<": "STRUCT<", "VARIANT": "STRING", "VOID": "STRING"}
+
+    def renamed(match: re.Match) -> str:
+        token = match[0]
+        return "DOUBLE" if token.startswith("DECIMAL") else names.get(token, token)
+
+    tokens = r"`(?:[^`]|``)*`|OBJECT<>?|(?:VARIANT|VOID|DECIMAL\(\d+, ?\d+\))(?!:)"
+    return type_from_name(re.sub(tokens, renamed, text))
+
+
 def merge_schema(registry: DataFrame, discovered: DataFrame) -> DataFrame:
     """Registry and discovered schema side by side, and the type to keep.
 
@@ -141,6 +171,42 @@ def repaired(value: Column, found: str, wanted: str) -> tuple[Column, Column]:
     return result, lost
 
 
+def whole_from_text(text: Column, wanted: str) -> tuple[Column, Column]:
+    """An integer from a number's text, and a flag for texts that are none; ``2.0`` is one."""
+    number = text.try_cast("decimal(38,18)")
+    result = number.try_cast(wanted)
+    return result, text.isNotNull() & F.coalesce(result != number, F.lit(True))
+
+
+def nested_in_text(text: Column, wanted: DataType) -> tuple[Column, Column]:
+    """A nested value read from JSON text, and whether all it shares with the type fits."""
+    corrupt = "_corrupt_record"
+    wrapped = StructType([StructField("v", wanted), StructField(corrupt, StringType())])
+    # With options given, Spark does not cut the parse down to the field that is used, which
+    # would leave the faults of the others unseen.
+    parsed = F.from_json(
+        F.concat(F.lit('{"v":'), text, F.lit("}")), wrapped, {"mode": "PERMISSIVE"}
+    )
+    values = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>")
+    value = parsed.getField("v")
+    fits = (F.size(values) == 1) & parsed.getField(corrupt).isNull() & value.isNotNull()
+    return value, F.coalesce(fits, F.lit(False))
+
+
+def _keys(json: Column) -> Column:
+    """Number of keys with a value in a compact JSON text."""
+    strings = F.regexp_extract_all(json, F.lit(r'"(?:\\.|[^"\\])*+"(:(?!null[,}]))?'), F.lit(1))
+    return F.size(F.filter(strings, lambda colon: colon == ":"))
+
+
+def nested_from_text(text: Column, wanted: DataType) -> tuple[Column, Column]:
+    """A nested value from JSON text, and a flag for texts that do not fit as a whole: one
+    part has another type, or there is a field that the type does not have."""
+    value, fits = nested_in_text(text, wanted)
+    whole = _keys(F.to_json(F.try_parse_json(text))) == _keys(F.to_json(value))
+    return value, text.isNotNull() & ~(fits & F.coalesce(whole, F.lit(False)))
+
+
 def repair_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Columns cast to the given types; a value that does not fit becomes NULL."""
     return df.withColumns({n: F.col(quoted(n)).try_cast(t) for n, t in types.items()})

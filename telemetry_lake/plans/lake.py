@@ -2,6 +2,7 @@
 
 ``tables/<name>.parquet``  rows, partitioned by date and ingest batch
 ``registry``               columns and types, one folder per batch that added some
+``claims``                 the files of a page, per batch; written first
 ``drift``                  type conflicts seen, per batch
 ``quarantine``             lines that were set aside, per batch and table
 ``audit``                  one row per landing file, per batch; written last
@@ -17,7 +18,14 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
-from telemetry_lake.operators.quality import REGISTRY_SCHEMA, quoted, struct_from_registry
+from telemetry_lake.operators.quality import (
+    REGISTRY_SCHEMA,
+    grown,
+    quoted,
+    struct_from_registry,
+    type_from_name,
+    type_text,
+)
 from telemetry_lake.session import literal_path, path_missing, small_frame
 
 BATCH = "_batch_id"
@@ -25,8 +33,10 @@ QUARANTINE_SCHEMA = "file_name string, reason string, record string, table_name
 DRIFT_SCHEMA = "table_name string, column_name string, old_type string, new_type string"
 AUDIT_SCHEMA = (
     "table_name string, file_name string, status string, bytes bigint,"
-    " rows_done bigint, rows_bad bigint, process_seconds double"
+    " rows_done bigint, rows_bad bigint, process_seconds double, path string, modified bigint"
 )
+CLAIM_SCHEMA = "path string, file_name string, bytes bigint, table_name string, modified bigint"
+ENTRY_SCHEMA = f"{REGISTRY_SCHEMA}, entered double"
 PUBLISHED_SCHEMA = (
     "table_name string, version int, location string, rows bigint, folded array<string>"
 )
@@ -49,31 +59,40 @@ class Lake:
         return self._read(spark, self.path(kind), StructType.fromDDL(full))
 
     def write_log(
-        self, spark: SparkSession, kind: str, batch: str, rows: list[tuple], schema: str
+        self,
+        spark: SparkSession,
+        kind: str,
+        batch: str,
+        rows: list[tuple],
+        schema: str,
+        mode: str = "overwrite",
     ) -> None:
-        """Replace a batch's rows in one of the logs; a page's metadata at most."""
-        small_frame(spark, rows, schema).coalesce(1).write.mode("overwrite").parquet(
+        """Replace a batch's rows in one of the logs, or add to them; a page's metadata at most."""
+        small_frame(spark, rows, schema).coalesce(1).write.mode(mode).parquet(
             self.path(kind, f"{BATCH}={batch}")
         )
 
     def registry(self, spark: SparkSession, before: str | None = None) -> DataFrame:
-        """Known columns; the first batch to name a column sets its type.
-
-        A nested type has one entry more each time fields were added inside it. The
-        longest entry holds all of them.
+        """Known columns. The first entry of a column sets its type; later ones add the
+        nested fields it lacks. As many rows as there are columns, so they are merged here.
 
-        ``before`` leaves out a batch's own entries, so a replay sees what the first
-        attempt saw.
+        ``before`` leaves out a batch's own entries.
         """
-        entries = self.log(spark, "registry", REGISTRY_SCHEMA)
+        entries = self.log(spark, "registry", ENTRY_SCHEMA)
         if before is not None:
             entries = entries.where(F.col(BATCH) != before)
-        widest = F.max(F.struct(F.length("data_type").alias("length"), "data_type"))
-        return (
-            entries.groupBy("table_name", "column_name")
-            .agg(widest.alias("widest"))
-            .select("table_name", "column_name", "widest.data_type")
+        entries = entries.orderBy(
+            F.col("entered").asc_nulls_first(), BATCH, F.length("data_type")
         )
+        types: dict[tuple[str, str], str] = {}
+        for row in entries.collect():
+            key = row.table_name, row.column_name
+            old = types.setdefault(key, row.data_type)
+            if old != row.data_type:
+                was = type_from_name(old)
+                more = grown(was, type_from_name(row.data_type))
+                types[key] = old if more == was else type_text(more)
+        return small_frame(spark, [(*key, t) for key, t in types.items()], REGISTRY_SCHEMA)
 
     def quarantine(self, spark: SparkSession) -> DataFrame:
         return self.log(spark, "quarantine", QUARANTINE_SCHEMA)
@@ -108,7 +127,10 @@ class OpenLake:
         known = sorted(lake.registry(spark).collect())
         types: dict[str, dict[str, str]] = {}
         for row in known:
-            types.setdefault(row.table_name, {})[row.column_name] = row.data_type
+            columns = types.setdefault(row.table_name, {})
+            # Entered only for a table that has nothing but dates so far.
+            if row.column_name != lake.date_column:
+                columns[row.column_name] = row.data_type
         self._columns = {name: struct_from_registry(t) for name, t in types.items()}
         versions = lake.log(spark, "published", PUBLISHED_SCHEMA).groupBy("table_name")
         latest = versions.agg(F.max_by(F.struct("*"), "version").alias("v"))

@@ -3,12 +3,14 @@
 A stream over the landing folder yields the paths of new files, page by page; it never
 reads their content. Each page is routed by file name, and each table's files of the
 page are parsed, checked against the registry and written by Spark jobs of their own.
-Everything a page writes is keyed by its batch, so a replay replaces and never adds.
+Everything a page writes is keyed by its batch, so a replay replaces and never adds. A
+page claims its files before it writes; files another batch has finished are left out.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 from collections import defaultdict
 from collections.abc import Callable
 from concurrent.futures import Future, ThreadPoolExecutor
@@ -16,10 +18,20 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import ArrayType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    DoubleType,
+    IntegralType,
+    LongType,
+    NumericType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from telemetry_lake.functions.routing import (
     NAME_PATTERN,
@@ -27,16 +39,28 @@ from telemetry_lake.functions.routing import (
     file_name,
     table_of_name,
 )
-from telemetry_lake.operators.quality import castable, repaired, type_from_name, type_text
+from telemetry_lake.operators.quality import (
+    castable,
+    grown,
+    nested_from_text,
+    nested_in_text,
+    repaired,
+    type_from_name,
+    type_of_variant,
+    type_text,
+    whole_from_text,
+    widened,
+)
 from telemetry_lake.operators.sinks import balanced, is_bad_date, iso_date
-from telemetry_lake.plans.lake import AUDIT_SCHEMA, BATCH, Lake
+from telemetry_lake.plans.lake import AUDIT_SCHEMA, BATCH, CLAIM_SCHEMA, Lake
 from telemetry_lake.plans.schemas import known_columns, record_schemas
-from telemetry_lake.session import literal_path
+from telemetry_lake.session import child_folders, literal_path, remove_folder, small_frame
 from telemetry_lake.streaming.lines import ANY_AGE
 
 # Fixed value: where the JSON reader keeps a line it cannot parse.
 CORRUPT = "_corrupt_record"
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+MODIFIED = "unix_millis(modificationTime) as modified"
 
 UNROUTABLE = "unroutable_name"
 MALFORMED = "malformed_json"
@@ -44,28 +68,36 @@ UNREADABLE = "unreadable_schema"
 BAD_DATE = "bad_date"
 TYPE_CONFLICT = "type_conflict:"
 
+MISSING = "missing"
+AGAIN = "again-"
+
 
 @dataclass(frozen=True)
 class LandingFile:
+    """``modified`` is in milliseconds. Path, size and time together are one landing."""
+
     path: str
     name: str
     size: int
     table: str | None
+    modified: int = 0
 
 
 @dataclass(frozen=True)
-class TableColumn:
-    """One column of a table to write: where it comes from and what it becomes.
+class Source:
+    """One spelling of a column in a page, and the type its values were seen to have."""
 
-    ``source_type`` is the type its JSON field is read as. It equals ``data_type`` unless
-    the types are in conflict.
-    """
+    name: str
+    data_type: DataType
+
+
+@dataclass(frozen=True)
+class TableColumn:
+    """One column of a table to write and the fields it comes from."""
 
     name: str
     data_type: str
-    source: str | None
-    source_type: str | None
-    castable: bool
+    sources: list[Source]
 
 
 def landing_stream(
@@ -88,7 +120,9 @@ def landing_stream(
     )
     if archive is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    return reader.load(landing).select("path", "length", file_name(F.col("path")).alias("name"))
+    return reader.load(landing).select(
+        "path", "length", F.expr(MODIFIED), file_name(F.col("path")).alias("name")
+    )
 
 
 def discover_landing(
@@ -107,10 +141,18 @@ def discover_landing(
     )
     name = file_name(F.col("path"))
     return files.select(
-        "path", "length", name.alias("name"), table_of_name(name, pattern).alias("table_name")
+        "path",
+        "length",
+        F.expr(MODIFIED),
+        name.alias("name"),
+        table_of_name(name, pattern).alias("table_name"),
     )
 
 
+def landing_file(row: Row) -> LandingFile:
+    return LandingFile(row.path, row.name, row.length, row.table_name, row.modified)
+
+
 def start_ingest(
     spark: SparkSession,
     landing: str,
@@ -130,9 +172,7 @@ def start_ingest(
         run = session.sparkContext.getLocalProperty("sql.streaming.queryId")
         routed = batch.withColumn("table_name", table_of_name(F.col("name"), pattern))
         # At most page_files rows, and only names and sizes.
-        files = {
-            r.path: LandingFile(r.path, r.name, r.length, r.table_name) for r in routed.collect()
-        }
+        files = {r.path: landing_file(r) for r in routed.collect()}
         ingest_page(
             session, lake, f"{run}-{batch_id:010d}", list(files.values()), parallel_tables
         )
@@ -163,6 +203,84 @@ def keep_ingesting(
             time.sleep(pause_seconds)
 
 
+def ingest_again(
+    spark: SparkSession,
+    landing: str,
+    lake: Lake,
+    pattern: str = NAME_PATTERN,
+    page_files: int = 1000,
+    glob: str = "*.json",
+    parallel_tables: int = 8,
+) -> int:
+    """Ingest what lies in the landing folder and no batch has finished: a file that came
+    again under a name the stream has taken before, above all. Returns the number of pages.
+
+    The audit decides, by path, size and time. Call it while no ingest runs on the folder.
+    A page that was cut off is done again first, under its own key.
+    """
+    claims = lake.log(spark, "claims", CLAIM_SCHEMA).where(F.col(BATCH).startswith(AGAIN))
+    cut_off = claims.join(lake.audit(spark).select(BATCH).distinct(), BATCH, "left_anti")
+    pages = 0
+    for key in [r[BATCH] for r in cut_off.select(BATCH).distinct().collect()]:
+        claimed = cut_off.where(F.col(BATCH) == key).select("path", "bytes", "modified")
+        there = discover_landing(spark, landing, glob, pattern).join(
+            claimed.withColumnRenamed("bytes", "length"), ["path", "length", "modified"], "left_semi"
+        )
+        ingest_page(spark, lake, key, [landing_file(r) for r in there.collect()], parallel_tables)
+        pages += 1
+    done = lake.audit(spark).select("path", F.col("bytes").alias("length"), "modified")
+    while True:
+        found = discover_landing(spark, landing, glob, pattern)
+        # Page after page until none is left.
+        page = found.join(done, ["path", "length", "modified"], "left_anti").limit(page_files)
+        files = [landing_file(r) for r in page.collect()]
+        if not files:
+            return pages
+        ingest_page(spark, lake, f"{AGAIN}{uuid.uuid4().hex}", files, parallel_tables)
+        done = lake.audit(spark).select("path", F.col("bytes").alias("length"), "modified")
+        pages += 1
+
+
+def claim_page(
+    spark: SparkSession, lake: Lake, batch: str, files: list[LandingFile]
+) -> tuple[list[LandingFile], list[LandingFile]]:
+    """The files a batch has to ingest, and those it claimed earlier that are gone.
+
+    A file that another batch has finished, by path, size and time, is left out. If the batch
+    was tried before, what that attempt wrote is removed.
+    """
+    gone = []
+    earlier = child_folders(spark, literal_path(lake.path("claims")), f"{BATCH}={batch}")
+    if earlier:
+        there = {file.path for file in files}
+        claimed = lake.log(spark, "claims", CLAIM_SCHEMA).where(F.col(BATCH) == batch)
+        gone = [
+            LandingFile(r.path, r.file_name, r.bytes, r.table_name, r.modified)
+            for r in claimed.collect()
+            if r.path not in there
+        ]
+        written = [
+            *child_folders(spark, literal_path(lake.path("tables")), f"*/*/{BATCH}={batch}"),
+            *child_folders(spark, literal_path(lake.path("quarantine")), f"{BATCH}={batch}"),
+            *child_folders(spark, literal_path(lake.path("drift")), f"{BATCH}={batch}"),
+        ]
+        for folder in written:
+            remove_folder(spark, folder)
+    if files:
+        # A page's files at most; the audit is the side that is read.
+        page = small_frame(
+            spark, [(f.path, f.size, f.modified) for f in files], "path string, bytes bigint, modified bigint"
+        )
+        others = lake.audit(spark).where((F.col(BATCH) != batch) & (F.col("status") != MISSING))
+        done = others.join(F.broadcast(page), ["path", "bytes", "modified"], "left_semi")
+        finished = {r.path for r in done.select("path").distinct().collect()}
+        files = [file for file in files if file.path not in finished]
+    if files and not earlier:
+        rows = [(f.path, f.name, f.size, f.table, f.modified) for f in files]
+        lake.write_log(spark, "claims", batch, rows, CLAIM_SCHEMA)
+    return files, gone
+
+
 def ingest_page(
     spark: SparkSession,
     lake: Lake,
@@ -171,9 +289,10 @@ def ingest_page(
     parallel_tables: int = 8,
 ) -> None:
     """Ingest one page of files under a batch key."""
-    if not files:
-        return
     started = time.monotonic()
+    files, gone = claim_page(spark, lake, batch, files)
+    if not files and not gone:
+        return
     by_table: dict[str | None, list[LandingFile]] = defaultdict(list)
     for file in files:
         by_table[file.table].append(file)
@@ -190,18 +309,17 @@ def ingest_page(
             running = {table: submit(job, table) for table in names}
             return {table: future.result() for table, future in running.items()}
 
-        known = submit(known_columns, spark, lake, batch, set(names))
+        known = submit(known_columns, spark, lake, set(names))
         aside = submit(quarantine_files, spark, lake, batch, None, unrouted, UNROUTABLE)
         schemas = for_each_table(lambda table: infer_schema(spark, by_table[table]))
-        columns = merge_page_schemas(spark, lake, batch, schemas, known.result())
+        columns = merge_page_schemas(spark, lake, batch, schemas, known.result(), by_table)
 
         def write(table: str) -> dict[str, tuple[int, int]]:
-            schema = schemas[table]
-            if schema is None or not columns[table]:
-                blank = schema is not None and not schema.fields
-                reason = MALFORMED if blank else UNREADABLE
-                return quarantine_files(spark, lake, batch, table, by_table[table], reason)
-            return write_table(spark, lake, batch, table, by_table[table], schema, columns[table])
+            if not schemas[table].fields and not columns[table]:
+                return quarantine_files(spark, lake, batch, table, by_table[table], MALFORMED)
+            return write_table(
+                spark, lake, batch, table, by_table[table], schemas[table], columns[table]
+            )
 
         counts = for_each_table(write)
         counts[None] = aside.result()
@@ -211,68 +329,117 @@ def ingest_page(
     for file in files:
         done, bad = counts[file.table].get(file.name, (0, 0))
         status = "bad" if file.table is None or (bad and not done) else "done"
-        audit.append((file.table, file.name, status, file.size, done, bad, seconds))
+        landed = (file.path, file.modified)
+        audit.append((file.table, file.name, status, file.size, done, bad, seconds, *landed))
+    for file in gone:
+        landed = (file.path, file.modified)
+        audit.append((file.table, file.name, MISSING, file.size, 0, 0, seconds, *landed))
     lake.write_log(spark, "audit", batch, audit, AUDIT_SCHEMA)
 
 
-def infer_schema(spark: SparkSession, files: list[LandingFile]) -> StructType | None:
-    """Schema of a table's files, without fields if no line is a JSON object; None if two
-    columns differ only in case. A field with a name the lake keeps for itself stays in the
-    schema, so that the lines that have it can be told."""
-    try:
-        found = spark.read.json([literal_path(f.path) for f in files]).schema
-    except AnalysisException as error:
-        if error.getCondition() == "COLUMN_ALREADY_EXISTS":
-            return None
-        raise
+def infer_schema(spark: SparkSession, files: list[LandingFile]) -> StructType:
+    """Schema of a table's files, every spelling of a name a field of its own; without fields
+    if no line is a JSON object that has some."""
+    exact = spark.newSession()
+    exact.conf.set("spark.sql.caseSensitive", True)
+    found = exact.read.json([literal_path(f.path) for f in files]).schema
     return StructType([f for f in found.fields if f.name != CORRUPT])
 
 
+def common_type(types: list[DataType]) -> DataType:
+    """The type of a new column whose spellings were seen with these types."""
+    kept = types[0]
+    for other in types[1:]:
+        if type(other) is type(kept):
+            kept = grown(kept, other)
+        elif {type(kept), type(other)} <= {LongType, DoubleType}:
+            kept = DoubleType()
+        else:
+            kept = StringType()
+    return kept
+
+
 def merge_page_schemas(
     spark: SparkSession,
     lake: Lake,
     batch: str,
-    schemas: dict[str, StructType | None],
+    schemas: dict[str, StructType],
     known: list[tuple[str, str, str]],
+    files: dict[str, list[LandingFile]],
 ) -> dict[str, list[TableColumn]]:
-    """Merge all inferred schemas of a page into the registry and plan each table's
-    columns. A column that differs from a registered one only in case is that column."""
+    """Merge all inferred schemas of a page into the registry and plan each table's columns.
+    Names that differ only in case are one column, spelled as in the registry."""
     spelling = {(table, name.lower()): name for table, name, _ in known}
-    source: dict[tuple[str, str], str] = {}
-    found = []
+    types = {(table, name): type_from_name(data_type) for table, name, data_type in known}
+    sources: dict[tuple[str, str], list[Source]] = defaultdict(list)
+    dated = set()
     for table, schema in schemas.items():
-        for field in schema.fields if schema else []:
-            if field.name.lower() in (lake.date_column.lower(), BATCH):
-                continue
-            name = spelling.get((table, field.name.lower()), field.name)
-            source[table, name] = field.name
-            found.append((table, name, type_text(field.dataType)))
+        for field in schema.fields:
+            if field.name.lower() == lake.date_column.lower():
+                dated.add(table)
+            elif field.name.lower() != BATCH:
+                name = spelling.setdefault((table, field.name.lower()), field.name)
+                sources[table, name].append(Source(field.name, field.dataType))
+
+    found, mixed = [], {}
+    for (table, name), seen in sources.items():
+        common = common_type([s.data_type for s in seen])
+        # The first batch to name a nested column may spell its fields in several ways.
+        old = types.get((table, name), grown(common, common))
+        if isinstance(old, (ArrayType, StructType)) and any(
+            widened(old, s.data_type) is None for s in seen
+        ):
+            if (table, name) in types:
+                mixed[table, name] = type_text(common)
+            fitting = fitting_type(spark, files[table], [s.name for s in seen], old)
+            common = grown(old, fitting)
+        found.append((table, name, type_text(common)))
+    with_columns = {table for table, _, _ in [*found, *known]}
+    found += [(table, lake.date_column, "date") for table in dated - with_columns]
 
     columns: dict[str, list[TableColumn]] = {table: [] for table in schemas}
-    for r in record_schemas(spark, lake, batch, found, known):
-        conflict = r.status == "conflict"
-        columns[r.table_name].append(
-            TableColumn(
-                r.column_name,
-                r.data_type,
-                source.get((r.table_name, r.column_name)),
-                r.new_type if conflict else r.data_type,
-                not conflict or castable(spark, r.new_type, r.old_type),
-            )
-        )
+    for c in record_schemas(spark, lake, batch, found, known, mixed):
+        if c.column_name != lake.date_column:
+            seen = sources.get((c.table_name, c.column_name), [])
+            columns[c.table_name].append(TableColumn(c.column_name, c.data_type, seen))
     return columns
 
 
-def read_schema(schema: StructType, columns: list[TableColumn]) -> StructType:
-    """The inferred schema with the types the columns are read as."""
-    types = {c.source: type_from_name(c.source_type) for c in columns if c.source}
-    return StructType(
-        [StructField(f.name, types.get(f.name, f.dataType), True) for f in schema.fields]
-    )
+def fitting_type(
+    spark: SparkSession, files: list[LandingFile], names: list[str], old: DataType
+) -> DataType:
+    """Type of a nested column's values in those that fit the old type as far as it goes. A
+    pass of its own, made only where other values do not fit."""
+    schema = StructType([StructField(name, StringType(), True) for name in names])
+    records = parse_lines(read_lines(spark, files), schema)
+    texts = F.array(*[F.col("record").getField(f"f{i}") for i in range(len(names))])
+    values = records.select(F.explode(texts).alias("text"))
+    _, fits = nested_in_text(F.col("text"), old)
+    found = values.where(fits).agg(F.schema_of_variant_agg(F.try_parse_json("text")).alias("t"))
+    return type_of_variant(found.first()["t"])
+
+
+def column_value(
+    spark: SparkSession, seen: DataType, wanted: DataType
+) -> tuple[DataType, Callable[[Column], tuple[Column, Column | None]]]:
+    """The type to read a field as, and what makes of it the column's value and a flag for
+    the values that do not fit. It is decided value by value: others of the page do not count,
+    but that a double column takes any number as soon as the page has a fraction in it."""
+    text, found = type_text(wanted), type_text(seen)
+    if isinstance(wanted, StringType) or widened(wanted, seen) == wanted:
+        return wanted, lambda value: (value, None)
+    if isinstance(wanted, (ArrayType, StructType)):
+        return StringType(), lambda value: nested_from_text(value, wanted)
+    if isinstance(wanted, IntegralType):
+        return StringType(), lambda value: whole_from_text(value, text)
+    if isinstance(seen, NumericType) and castable(spark, found, text):
+        return seen, lambda value: repaired(value, found, text)
+    return StringType(), lambda value: repaired(value, "string", text)
 
 
 def parse_lines(lines: DataFrame, schema: StructType) -> DataFrame:
-    """Records of JSON lines in a struct ``record``, NULL for a malformed line.
+    """Records of JSON lines in a struct ``record``, NULL for a malformed line. Its fields are
+    ``f0``, ``f1``, ... in the schema's order, so that spellings of a name stay apart.
 
     A line is read as the element of an array, so a second object glued to the first, with
     a comma or without, makes it malformed instead of being dropped. A line that is an array
@@ -281,47 +448,70 @@ def parse_lines(lines: DataFrame, schema: StructType) -> DataFrame:
     line = F.col("line")
     is_array = F.ltrim(line).startswith("[")
     text = F.when(is_array, line).otherwise(F.concat(F.lit("["), line, F.lit("]")))
-    records = F.from_json(text, ArrayType(schema))
+    numbered = [StructField(f"f{i}", f.dataType) for i, f in enumerate(schema.fields)]
+    records = F.from_json(text, ArrayType(schema)).cast(ArrayType(StructType(numbered)))
     records = F.when(is_array | (F.size(records) <= 1), records)
     return lines.where(F.trim(line) != "").withColumn("record", F.explode_outer(records))
 
 
 def checked_rows(
-    parsed: DataFrame, schema: StructType, columns: list[TableColumn], date_column: str
+    spark: SparkSession,
+    lines: DataFrame,
+    schema: StructType,
+    columns: list[TableColumn],
+    date_column: str,
 ) -> DataFrame:
     """``file``, ``line``, the ``reason`` to set the line aside or NULL, and ``row``: the
-    table's columns in a struct, cast to the registry's types."""
-    values, conflicts = [], []
+    table's columns in a struct, of the registry's types.
+
+    A line is unreadable if it has a value under two spellings of one name, or under a name
+    that the lake keeps for itself.
+    """
+    read = {f.name: f.dataType for f in schema.fields}
+    position = {f.name: f"f{i}" for i, f in enumerate(schema.fields)}
+
+    def field(name: str) -> Column:
+        return F.col("record").getField(position[name])
+
+    values, conflicts, unreadable = [], [], []
     for column in columns:
-        if column.source is None:
-            value = F.lit(None).cast(column.data_type)
-        else:
-            found = F.col("record").getField(column.source)
-            if column.source_type == column.data_type:
-                value = found
-            elif column.castable:
-                value, lost = repaired(found, column.source_type, column.data_type)
+        wanted = type_from_name(column.data_type)
+        options = []
+        for source in column.sources:
+            read[source.name], convert = column_value(spark, source.data_type, wanted)
+            value, lost = convert(field(source.name))
+            options.append(value)
+            if lost is not None:
                 conflicts.append((column.name, lost))
-            else:
-                value = F.lit(None).cast(column.data_type)
-                conflicts.append((column.name, found.isNotNull()))
+        value = F.coalesce(*options) if options else F.lit(None).cast(wanted)
         values.append(value.alias(column.name))
+        unreadable.append([s.name for s in column.sources])
 
-    day, raw_day = F.lit(None).cast("date"), None
-    for field in schema.fields:
-        if field.name.lower() == date_column.lower():
-            raw_day = F.col("record").getField(field.name).cast("string")
-            day = iso_date(raw_day)
+    day = F.lit(None).cast("date")
+    days = [name for name in read if name.lower() == date_column.lower()]
+    unreadable.append(days)
+    bad_day = F.lit(False)
+    if days:
+        raw_day = F.coalesce(*[field(name).cast("string") for name in days])
+        day, bad_day = iso_date(raw_day), is_bad_date(raw_day)
 
     reason = F.when(F.col("record").isNull(), MALFORMED)
-    if raw_day is not None:
-        reason = reason.when(is_bad_date(raw_day), BAD_DATE)
-    for field in schema.fields:
-        if field.name.lower() == BATCH:
-            reason = reason.when(F.col("record").getField(field.name).isNotNull(), UNREADABLE)
+    for name in read:
+        if name.lower() == BATCH:
+            reason = reason.when(field(name).isNotNull(), UNREADABLE)
+    for names in unreadable:
+        if len(names) > 1:
+            given = sum((field(name).isNotNull().cast("int") for name in names), F.lit(0))
+            reason = reason.when(given > 1, UNREADABLE)
+    reason = reason.when(bad_day, BAD_DATE)
     for name, lost in conflicts:
         reason = reason.when(lost, TYPE_CONFLICT + name)
+
+    # Parquet needs a column besides the partitions'; a table may have dates only.
+    values = values or [F.lit(None).cast("boolean").alias("_no_column")]
     row = F.struct(*values, day.alias(date_column)).alias("row")
+    fields = [StructField(name, data_type, True) for name, data_type in read.items()]
+    parsed = parse_lines(lines, StructType(fields or [StructField(CORRUPT, StringType())]))
     return parsed.select("file", "line", reason.alias("reason"), row)
 
 
@@ -353,8 +543,7 @@ def write_table(
     The parsed page is kept on the executors for its three uses. If it is lost it is
     parsed again from the landing files.
     """
-    parsed = parse_lines(read_lines(spark, files), read_schema(schema, columns))
-    rows = checked_rows(parsed, schema, columns, lake.date_column)
+    rows = checked_rows(spark, read_lines(spark, files), schema, columns, lake.date_column)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good, bad = F.col("reason").isNull(), F.col("reason").isNotNull()
@@ -426,6 +615,7 @@ def audit_summary(spark: SparkSession, lake: Lake, *by: str) -> DataFrame:
             F.count(F.lit(1)).alias("found_files"),
             F.count_if(F.col("status") == "done").alias("done_files"),
             F.count_if(F.col("status") == "bad").alias("bad_files"),
+            F.count_if(F.col("status") == MISSING).alias("missing_files"),
             F.coalesce(F.sum("rows_done"), F.lit(0)).alias("rows_done"),
             F.coalesce(F.sum("rows_bad"), F.lit(0)).alias("rows_bad"),
             F.max("process_seconds").alias("longest_page_seconds"),

@@ -7,6 +7,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from telemetry_lake.operators import compact
+from telemetry_lake.plans import schemas
 from telemetry_lake.plans.lake import BATCH, Lake
 from telemetry_lake.streaming import ingest
 
@@ -111,12 +112,12 @@ def test_faulty_files_leave_other_tables_alone(spark, landing, lake):
     put(landing, "skip_1_0.txt", {"a": 6})
     run(spark, landing, lake)
     assert rows(spark, lake, "good", "a") == [(1,)]
+    assert [str(r[0]) for r in rows(spark, lake, "onlydate")] == ["2024-01-01"]
     assert quarantined(spark, lake) == [
         ("bad", "bad_1_0.json", "malformed_json", "nonsense"),
         ("bad", "bad_1_0.json", "malformed_json", '{"a"'),
         ("clash", "clash_1_0.json", "unreadable_schema", '{"a":1,"A":2}'),
         ("good", "good_1_0.json", "malformed_json", '{"a":'),
-        ("onlydate", "onlydate_1_0.json", "unreadable_schema", '{"report_date":"2024-01-01"}'),
         ("reserved", "reserved_1_0.json", "unreadable_schema", '{"_batch_id":1}'),
         (None, "nomatch.json", "unroutable_name", '{"a": 5}'),
     ]
@@ -125,7 +126,7 @@ def test_faulty_files_leave_other_tables_alone(spark, landing, lake):
         "bad_1_0.json": ("bad", 0, 2),
         "clash_1_0.json": ("bad", 0, 1),
         "reserved_1_0.json": ("bad", 0, 1),
-        "onlydate_1_0.json": ("bad", 0, 1),
+        "onlydate_1_0.json": ("done", 1, 0),
         "nomatch.json": ("bad", 0, 1),
     }
 
@@ -188,8 +189,8 @@ def test_nested_types_without_a_cast_are_set_aside(spark, landing, lake):
     run(spark, landing, lake)
     put(landing, "t_2_0.json", {"a": 2, "s": {"x": [1], "y": 2}}, {"a": 3}, {"a": 4, "s": {"y": 2}})
     run(spark, landing, lake)
-    assert rows(spark, lake, "t", "a") == [(1,), (3,)]
-    assert [q[2] for q in quarantined(spark, lake)] == ["type_conflict:s"] * 2
+    assert rows(spark, lake, "t", "a") == [(1,), (3,), (4,)]
+    assert [q[2] for q in quarantined(spark, lake)] == ["type_conflict:s"]
     assert [r.column_name for r in lake.drift(spark).collect()] == ["s"]
 
 
@@ -233,7 +234,6 @@ def test_pages_hold_at_most_the_given_files(spark, landing, lake):
     assert sorted(p.found_files for p in pages) == [1, 3, 3]
     assert rows(spark, lake, "t", "a") == [(i,) for i in range(7)]
 
-
     cycle = ingest.audit_summary(spark, lake).first()
     assert (cycle.found_files, cycle.done_files, cycle.bad_files, cycle.rows_done) == (7, 7, 0, 7)
 
@@ -267,15 +267,145 @@ def test_replayed_page_changes_nothing(spark, landing, lake):
         assert lake.registry(spark).count() == 1 and lake.audit(spark).count() == 1
 
 
+MIXED = [
+    {"Mac": 1},
+    {"mac": 2},
+    {"mac": 3, "report_date": "2024-01-02"},
+    '{"Mac":4,"mac":5}',
+    '{"Mac":6},{"b":7}',
+    '{"Mac":8,"_batch_id":9}',
+    {"report_date": "2024-01-01"},
+    {"s": {"x": 1}},
+    {"s": "oops"},
+    {"s": {"x": "no", "y": 1}},
+    {"s": {"y": 2, "l": [{"p": 1}]}},
+    {"s": {"X": 3}},
+    {"s": {"x": 4, "l": [{"P": 1}]}},
+    {"n": 9007199254740993},
+    {"n": 2.5},
+    {"n": 3.0},
+    {"n": "4"},
+    {"t": 1.50},
+    {"t": {"deep": [1, 2]}},
+    {},
+]
+
+
+@pytest.mark.parametrize("page_files", [1, 100])
+def test_lines_are_judged_one_by_one_at_every_page_size(spark, landing, lake, page_files):
+    put(landing, "t_0_0.json", {"Mac": 0, "s": {"x": 0, "l": [{"p": 0}]}, "n": 0, "t": "a"})
+    run(spark, landing, lake)
+    for i, record in enumerate(MIXED, 1):
+        put(landing, f"t_{i}_0.json", record)
+    run(spark, landing, lake, page_files=page_files)
+    assert {q[3].replace(" ", ""): q[2] for q in quarantined(spark, lake)} == {
+        '{"Mac":4,"mac":5}': "unreadable_schema",
+        '{"Mac":6},{"b":7}': "malformed_json",
+        '{"Mac":8,"_batch_id":9}': "unreadable_schema",
+        '{"s":"oops"}': "type_conflict:s",
+        '{"s":{"x":"no","y":1}}': "type_conflict:s",
+        '{"s":{"X":3}}': "type_conflict:s",
+        '{"s":{"x":4,"l":[{"P":1}]}}': "type_conflict:s",
+        '{"n":2.5}': "type_conflict:n",
+    }
+    table = lake.open(spark).read("t")
+    got = [{k: v for k, v in r.asDict(True).items() if v is not None} for r in table.collect()]
+    plain = [{k: str(v) if k == "report_date" else v for k, v in row.items()} for row in got]
+
+    def without_nulls(value):
+        return {k: v for k, v in value.items() if v is not None} if isinstance(value, dict) else value
+
+    plain = [{k: without_nulls(v) for k, v in row.items()} for row in plain]
+    expected = [
+        {"Mac": 0, "s": {"x": 0, "l": [{"p": 0}]}, "n": 0, "t": "a"},
+        {"Mac": 1},
+        {"Mac": 2},
+        {"Mac": 3, "report_date": "2024-01-02"},
+        {"report_date": "2024-01-01"},
+        {"s": {"x": 1}},
+        {"s": {"y": 2, "l": [{"p": 1}]}},
+        {"n": 9007199254740993},
+        {"n": 3},
+        {"n": 4},
+        {"t": "1.5"},
+        {"t": '{"deep":[1,2]}'},
+        {},
+    ]
+
+    def ordered(rows):
+        return sorted(json.dumps(row, sort_keys=True) for row in rows)
+
+    assert ordered(plain) == ordered(expected)
+
+
+def test_new_checkpoint_takes_no_finished_file_again(spark, landing, lake):
+    put(landing, "t_1_0.json", {"a": 1})
+    run(spark, landing, lake, "first")
+    put(landing, "t_2_0.json", {"a": 2})
+    run(spark, landing, lake, "second")
+    assert rows(spark, lake, "t", "a") == [(1,), (2,)]
+    assert len(audited(spark, lake)) == 2
+
+
+def test_name_used_again_is_ingested_again(spark, landing, lake):
+    put(landing, "t_1_0.json", {"a": 1})
+    put(landing, "t_2_0.json", {"a": 2})
+    run(spark, landing, lake)
+    assert ingest.ingest_again(spark, str(landing), lake) == 0
+    (landing / "t_1_0.json").unlink()
+    put(landing, "t_1_0.json", {"a": 3}, {"a": 4})
+    run(spark, landing, lake)
+    assert rows(spark, lake, "t", "a") == [(1,), (2,)]
+    assert ingest.ingest_again(spark, str(landing), lake) == 1
+    assert ingest.ingest_again(spark, str(landing), lake) == 0
+    assert rows(spark, lake, "t", "a") == [(1,), (2,), (3,), (4,)]
+    assert lake.audit(spark).count() == 3
+
+
+def test_page_cut_off_is_done_again_under_its_key(spark, landing, lake, monkeypatch):
+    put(landing, "t_1_0.json", {"a": 1})
+    put(landing, "t_2_0.json", {"a": 2})
+    real = Lake.write_log
+    with monkeypatch.context() as patch:
+        patch.setattr(
+            Lake, "write_log",
+            lambda self, s, kind, *rest, **more: 1 / 0 if kind == "audit" else real(self, s, kind, *rest, **more),
+        )
+        with pytest.raises(ZeroDivisionError):
+            ingest.ingest_again(spark, str(landing), lake)
+    assert ingest.ingest_again(spark, str(landing), lake, page_files=1) == 1
+    assert rows(spark, lake, "t", "a") == [(1,), (2,)]
+
+
+def test_replay_without_a_file_leaves_none_of_its_rows(spark, landing, lake):
+    one = put(landing, "t_1_0.json", {"a": 1, "report_date": "2024-01-01"}, "{")
+    two = put(landing, "t_2_0.json", {"a": 2, "report_date": "2024-01-02"})
+    files = [ingest.LandingFile(str(p), p.name, p.stat().st_size, "t") for p in (one, two)]
+    ingest.ingest_page(spark, lake, "run-0000000001", files)
+    one.unlink()
+    ingest.ingest_page(spark, lake, "run-0000000001", files[1:])
+    assert rows(spark, lake, "t", "a") == [(2,)] and quarantined(spark, lake) == []
+    assert audited(spark, lake) == {"t_1_0.json": ("missing", 0, 0), "t_2_0.json": ("done", 1, 0)}
+
+
+def test_first_type_of_a_column_stays(spark, lake):
+    for batch, n, s in [("z", "bigint", "struct<x:bigint>"), ("a", "decimal(30,10)", "struct<y:string>"), ("m", "int", "struct<x:double,z:int>")]:
+        schemas.record_schemas(spark, lake, batch, [("t", "n", n), ("t", "s", s)], known=[])
+    assert {r.column_name: r.data_type for r in lake.registry(spark).collect()} == {
+        "n": "bigint",
+        "s": "struct<x:bigint,y:string,z:int>",
+    }
+
+
 def test_failed_cycle_is_started_again(spark, landing, lake, monkeypatch):
     put(landing, "t_1_0.json", {"a": 1})
     real, calls = Lake.write_log, []
 
-    def failing(self, session, kind, *rest):
+    def failing(self, session, kind, *rest, **more):
         calls.append(kind)
         if kind == "audit" and calls.count("audit") == 1:
             raise RuntimeError("executor lost")
-        real(self, session, kind, *rest)
+        real(self, session, kind, *rest, **more)
 
     monkeypatch.setattr(Lake, "write_log", failing)
     ingest.keep_ingesting(
