@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetry_lake.operators.sinks import balanced
-from telemetry_lake.plans.lake import BATCH, PUBLISHED_SCHEMA, Lake
+from telemetry_lake.plans.lake import BATCH, PUBLISHED_SCHEMA, VERSION, Lake, up_to
 from telemetry_lake.session import child_folders, literal_path, remove_folder
 
+# Fixed value: the partition folder of rows without a date.
+UNDATED = "__HIVE_DEFAULT_PARTITION__"
+
 
 def compact_folder(df: DataFrame, target: str, date_column: str) -> int:
     """Rewrite a table into a new folder and return its row count.
@@ -32,28 +36,41 @@ def compact_folder(df: DataFrame, target: str, date_column: str) -> int:
 
 
 def compact_table(spark: SparkSession, lake: Lake, name: str) -> str:
-    """Fold a lake table's finished batches into a new published version.
+    """Fold a lake table's finished batches into a new version of the dates they touch.
 
-    Only batches the audit knows are folded, so one that is still being written stays
-    out. Readers switch when the version row appears; older folders stay in place.
+    Other dates keep their files. Only batches up to the last one the audit knows of each
+    stream are folded, so one that is still being written stays out. Readers switch when
+    the version's rows appear; older folders stay in place.
     """
-    done = lake.audit(spark).where(F.col("table_name") == name).select(BATCH).distinct()
-    finished = {row[BATCH] for row in done.collect()}
+    number = F.substring_index(BATCH, "-", -1)
+    audited = lake.audit(spark).where(number.rlike("^[0-9]{10,}$")).select(BATCH, number.alias("n"))
+    stream = F.expr(f"left({BATCH}, length({BATCH}) - length(n))")
+    marks = [r.mark for r in audited.groupBy(stream).agg(F.max(BATCH).alias("mark")).collect()]
     opened = lake.open(spark)
     current = opened.published(name)
-    folded = set(current.folded) if current else set()
     version = current.version + 1 if current else 1
 
-    batches = opened.batches(name)
-    rows = batches.where(F.col(BATCH).isin(sorted(finished - folded))).drop(BATCH)
+    rows = opened.batches(name).where(up_to(marks))
+    if current:
+        rows = rows.where(~up_to(current.marks))
+    rows = rows.drop(BATCH)
+    day = F.coalesce(F.col(lake.date_column).cast("string"), F.lit(UNDATED))
+    touched = [r.day for r in rows.select(day.alias("day")).distinct().collect()]
     if current:
-        folder = literal_path(current.location)
-        rows = rows.unionByName(spark.read.schema(opened.columns(name)).parquet(folder))
+        again = [d for d in touched if d in current.folders]
+        rows = rows.unionByName(opened.snapshot(name, again))
     # A name of its own, so that a crashed attempt cannot block the next one.
     key = uuid.uuid4().hex
-    location = lake.path("snapshots", name, f"v{version}-{key}.parquet")
-    count = compact_folder(rows, location, lake.date_column)
-    pointer = [(name, version, location, count, sorted(folded | finished))]
+    folder = f"{VERSION}=v{version}-{key}"
+    location = lake.path("snapshots", name, folder)
+    pointer = []
+    if touched:
+        compact_folder(rows, location, lake.date_column)
+        written = spark.read.schema(opened.columns(name)).parquet(literal_path(location))
+        for r in written.groupBy(day.alias("day")).count().collect():
+            place = f"{folder}/{lake.date_column}={r.day}"
+            pointer.append((name, version, r.day, place, r["count"], None))
+    pointer.append((name, version, None, None, None, sorted(marks)))
     lake.write_log(spark, "published", key, pointer, PUBLISHED_SCHEMA)
     return location
 
@@ -70,21 +87,23 @@ def compact_all(spark: SparkSession, lake: Lake) -> tuple[list[str], list[tuple[
     return good, bad
 
 
-
-def drop_superseded(spark: SparkSession, lake: Lake, name: str) -> int:
-    """Remove what the published version of a table replaced: folded batches, older
-    versions and crashed attempts. Call it while no compaction runs and no query reads
-    them any more; returns the number of folders removed."""
+def drop_superseded(spark: SparkSession, lake: Lake, name: str, at_once: int = 16) -> int:
+    """Remove what the published version of a table replaced: folded batches, older versions
+    of dates and crashed attempts. Call it while no compaction runs and no query reads them
+    any more; returns the number of date folders removed."""
     current = lake.open(spark).published(name)
     if current is None:
         return 0
-    folded = set(current.folded)
     table = literal_path(lake.table_path(name))
-    batches = child_folders(spark, table, f"{lake.date_column}=*/{BATCH}=*")
-    old = [path for path in batches if path.rpartition("=")[2] in folded]
-    kept = current.location.rpartition("/")[2]
-    snapshots = child_folders(spark, literal_path(lake.path("snapshots", name)), "v*")
-    old += [path for path in snapshots if path.rpartition("/")[2] != kept]
-    for path in old:
-        remove_folder(spark, path)
+    old = []
+    for mark in current.marks:
+        stream, _, number = mark.rpartition("-")
+        some = f"{lake.date_column}=*/{BATCH}={literal_path(stream)}-{'?' * len(number)}"
+        old += [p for p in child_folders(spark, table, some) if p.rpartition("=")[2] <= mark]
+    kept = set(current.folders.values())
+    snapshots = literal_path(lake.path("snapshots", name))
+    dates = child_folders(spark, snapshots, f"{VERSION}=*/{lake.date_column}=*")
+    old += [path for path in dates if "/".join(path.split("/")[-2:]) not in kept]
+    with ThreadPoolExecutor(at_once) as pool:
+        list(pool.map(lambda path: remove_folder(spark, path), old))
     return len(old)

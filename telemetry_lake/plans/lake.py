@@ -6,15 +6,18 @@
 ``drift``                  type conflicts seen, per batch
 ``quarantine``             lines that were set aside, per batch and table
 ``audit``                  one row per landing file, per batch; written last
-``snapshots``              compacted versions; ``published`` says which one is current
+``snapshots``              compacted dates by version; ``published`` says which are current
 """
 
 from __future__ import annotations
 
+import operator
+from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
@@ -37,9 +40,12 @@ AUDIT_SCHEMA = (
 )
 CLAIM_SCHEMA = "path string, file_name string, bytes bigint, table_name string, modified bigint"
 ENTRY_SCHEMA = f"{REGISTRY_SCHEMA}, entered double"
+# One row per date a compaction rewrote, and one without a folder that holds the marks: the
+# last folded batch of every stream.
 PUBLISHED_SCHEMA = (
-    "table_name string, version int, location string, rows bigint, folded array<string>"
+    "table_name string, version int, day string, folder string, rows bigint, marks array<string>"
 )
+VERSION = "_version"
 
 
 @dataclass(frozen=True)
@@ -118,6 +124,28 @@ class Lake:
             raise
 
 
+@dataclass(frozen=True)
+class Published:
+    """The compacted part of a table: the folder of each date, below ``snapshots``."""
+
+    version: int
+    rows: int
+    folders: dict[str, str]
+    marks: list[str]
+
+
+def up_to(marks: list[str]) -> Column:
+    """Whether a batch is one of those the marks stand for. Batches of a stream end in a number
+    of fixed length, so each stream is a range of its partition names."""
+    batch = F.col(BATCH)
+    ranges = [
+        batch.between(f"{mark.rpartition('-')[0]}-{'0' * len(mark.rpartition('-')[2])}", mark)
+        & (F.length(batch) == len(mark))
+        for mark in marks
+    ]
+    return reduce(operator.or_, ranges, F.lit(False))
+
+
 class OpenLake:
     """The tables of a lake as its registry and published versions stood on opening."""
 
@@ -132,9 +160,20 @@ class OpenLake:
             if row.column_name != lake.date_column:
                 columns[row.column_name] = row.data_type
         self._columns = {name: struct_from_registry(t) for name, t in types.items()}
-        versions = lake.log(spark, "published", PUBLISHED_SCHEMA).groupBy("table_name")
-        latest = versions.agg(F.max_by(F.struct("*"), "version").alias("v"))
-        self._published = {row.table_name: row.v for row in latest.collect()}
+        versions = lake.log(spark, "published", PUBLISHED_SCHEMA).groupBy(
+            "table_name", F.col("folder").isNull(), "day"
+        )
+        latest = versions.agg(F.max_by(F.struct("*"), "version").alias("v")).select("v.*").collect()
+        self._published = {}
+        for mark in latest:
+            if mark.folder is None:
+                days = [r for r in latest if r.folder and r.table_name == mark.table_name]
+                self._published[mark.table_name] = Published(
+                    mark.version,
+                    sum(r.rows for r in days),
+                    {r.day: r.folder for r in days},
+                    list(mark.marks),
+                )
 
     @property
     def tables(self) -> list[str]:
@@ -145,8 +184,8 @@ class OpenLake:
         date = StructField(self.lake.date_column, DateType(), True)
         return StructType([*self._columns[name].fields, date])
 
-    def published(self, name: str) -> Row | None:
-        """The current compacted version of a table."""
+    def published(self, name: str) -> Published | None:
+        """The compacted part of a table."""
         return self._published.get(name)
 
     def batches(self, name: str) -> DataFrame:
@@ -156,17 +195,26 @@ class OpenLake:
         schema = StructType([*self.columns(name).fields, batch])
         return self.lake._read(self.spark, self.lake.table_path(name), schema)
 
+    def snapshot(self, name: str, days: Iterable[str]) -> DataFrame:
+        """Compacted rows of some dates, by the text of their partitions."""
+        current = self.published(name)
+        root = literal_path(self.lake.path("snapshots", name))
+        paths = [f"{root}/{literal_path(current.folders[day])}" for day in days]
+        version = StructField(VERSION, StringType(), True)
+        schema = StructType([*self.columns(name).fields, version])
+        if not paths:
+            return self.lake._read(self.spark, root + "/none", schema).drop(VERSION)
+        reader = self.spark.read.schema(schema).option("basePath", root)
+        return reader.parquet(*paths).drop(VERSION)
+
     def read(self, name: str) -> DataFrame:
-        """A table: its compacted version and the batches ingested since."""
+        """A table: its compacted dates and the batches ingested since."""
         rows = self.batches(name)
         current = self.published(name)
         if current is None:
             return rows.drop(BATCH)
-        snapshot = self.spark.read.schema(self.columns(name)).parquet(
-            literal_path(current.location)
-        )
-        newer = rows.where(~F.col(BATCH).isin(list(current.folded)))
-        return snapshot.unionByName(newer.drop(BATCH))
+        newer = rows.where(~up_to(current.marks)).drop(BATCH)
+        return self.snapshot(name, current.folders).unionByName(newer)
 
     def register(self) -> list[str]:
         """Temp views over all tables, named after them."""

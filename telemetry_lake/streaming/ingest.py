@@ -10,7 +10,6 @@ page claims its files before it writes; files another batch has finished are lef
 from __future__ import annotations
 
 import time
-import uuid
 from collections import defaultdict
 from collections.abc import Callable
 from concurrent.futures import Future, ThreadPoolExecutor
@@ -236,7 +235,7 @@ def ingest_again(
         files = [landing_file(r) for r in page.collect()]
         if not files:
             return pages
-        ingest_page(spark, lake, f"{AGAIN}{uuid.uuid4().hex}", files, parallel_tables)
+        ingest_page(spark, lake, f"{AGAIN}{time.time_ns():020d}", files, parallel_tables)
         done = lake.audit(spark).select("path", F.col("bytes").alias("length"), "modified")
         pages += 1
 
