@@ -22,6 +22,7 @@ from telemetry_lake.functions import joblog, routing, text  # noqa: E402
 from telemetry_lake.operators import quality, reports, sinks  # noqa: E402
 from telemetry_lake.operators.compact import compact_table as compact_lake_table  # noqa: E402
 from telemetry_lake.plans.daily_report import run_report  # noqa: E402
+from telemetry_lake.plans import schemas  # noqa: E402
 from telemetry_lake.plans.lake import Lake  # noqa: E402
 from telemetry_lake.session import small_frame, work_dir  # noqa: E402
 from telemetry_lake.sources import scans  # noqa: E402
@@ -55,6 +56,17 @@ LINE = (
 )
 LANDED = f"case when event_id % 10 = 0 then substring({LINE}, 1, 20) else {LINE} end"
 UNROUTED = "event_id % 50 = 7"
+# Good lines, and lines with another spelling, glued records, a reserved name, a text in place
+# of a struct, a date only, and two spellings at once.
+MIXED_LINE = """case event_id % 9
+    when 0 then concat('{"Event_ID":', event_id, '}')
+    when 1 then concat('{"event_id":', event_id, '},{"event_id":1}')
+    when 2 then concat('{"event_id":', event_id, ',"_batch_id":1}')
+    when 3 then concat('{"event_id":', event_id, ',"s":"oops"}')
+    when 4 then concat('{"report_date":"', cast(cast(ts as date) as string), '"}')
+    when 5 then concat('{"event_id":', event_id, ',"EVENT_ID":1}')
+    else concat('{"event_id":', event_id, ',"s":{"x":', user_id,
+        '},"report_date":"', cast(cast(ts as date) as string), '"}') end"""
 DRIFTED = "case when event_id % 7 = 0 then 'n/a' else cast(user_id as string) end"
 NAME = (
     "concat(event_type, '_data_', event_id, '_', user_id,"
@@ -416,6 +428,23 @@ def ingest_audit(spark, sf_dir):
     )
 
 
+def ingest_mixed_lines(spark, sf_dir):
+    """Lines of one page with every kind of fault beside good ones: stored rows and set-aside
+    lines together."""
+    lake = new_lake(spark, "mixed")
+    rows = table(spark, sf_dir, "events").select(
+        F.lit("mixed_data").alias("table_name"), F.expr(MIXED_LINE).alias("value"), "event_id"
+    )
+    land_and_ingest(spark, rows.where("event_id % 9 >= 6").drop("event_id"), lake, 1)
+    land_and_ingest(spark, rows.where("event_id % 9 < 6").drop("event_id"), lake, 2)
+    text_null = F.lit(None).cast("string")
+    stored = lake.open(spark).read("mixed_data").select(
+        text_null.alias("reason"), "event_id", "s.x", shown_date(), text_null.alias("record")
+    )
+    aside = lake.quarantine(spark).select("reason", "record")
+    return stored.unionByName(aside, allowMissingColumns=True)
+
+
 # Projections, filters, joins, aggregates
 
 
@@ -529,6 +558,18 @@ def schema_drift(spark, sf_dir):
     return quality.merge_schema(registry, found)
 
 
+def schema_files(spark, sf_dir):
+    """The registry of one lake, out to schema files and into the registry of another."""
+    folder = work_dir(spark, "schema-files")
+    first, second = new_lake(spark, "schemas-out"), new_lake(spark, "schemas-in")
+    schemas.check_tables(
+        spark, first, "check", {name: table(spark, sf_dir, name) for name in TABLES}
+    )
+    schemas.store_schema_files(spark, first, folder)
+    schemas.load_schema_files(spark, second, "load", folder)
+    return second.registry(spark)
+
+
 def repair_types(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select("event_id", F.expr(DRIFTED).alias("user_id"))
     return quality.repair_types(rows, {"user_id": "bigint"})
@@ -604,11 +645,11 @@ QUERIES = [
     json_array_explode, ingest_partitioned, ingest_missing_date, write_multi_partition,
     compact_table, report_csv_roundtrip, report_history, export_csv,
     export_csv_documents, to_json_rows,
-    ingest_quarantine, stream_fanout, stream_archive, ingest_audit, filter_since,
+    ingest_quarantine, stream_fanout, stream_archive, ingest_audit, ingest_mixed_lines, filter_since,
     filter_on_date, project_columns, project_nested, filter_lines_by_table,
     table_name_of_line, key_lines, devices_per_configuration, join_inner_star, count_total,
     count_since, count_by_fw_version, count_by_hardware, count_column, word_count,
-    report_summary, table_stats, schema_discover, schema_drift, repair_types, sql_query,
+    report_summary, table_stats, schema_discover, schema_drift, schema_files, repair_types, sql_query,
     sql_query_cached, first_n, stream_count_by_table, parse_job_log,
 ]
 
@@ -715,6 +756,14 @@ def own_oracle_sql() -> dict[str, str]:
             event_type as report_table, event_id, user_id, value, {DAY} as report_date
             from events where {GOOD_LINE}""",
         "stream_archive": f"select {LANDED} as value from events",
+        "ingest_mixed_lines": f"""select case event_id % 9 when 1 then 'malformed_json'
+                when 3 then 'type_conflict:s' when 2 then 'unreadable_schema'
+                when 5 then 'unreadable_schema' end as reason,
+            case when event_id % 9 in (0, 6, 7, 8) then event_id end as event_id,
+            case when event_id % 9 >= 6 then user_id end as x,
+            case when event_id % 9 in (4, 6, 7, 8) then {DAY} end as report_date,
+            case when event_id % 9 in (1, 2, 3, 5) then {MIXED_LINE} end as record
+            from events""",
         "ingest_audit": f"""select case when {UNROUTED} then null
             else concat(event_type, '_data') end as table_name,
             count(*) filter (where {GOOD_LINE}) as rows_done,
@@ -753,6 +802,7 @@ def own_oracle_sql() -> dict[str, str]:
             from events""",
         "table_stats": f"{stats} union all select 'no_such_table', -1, ''",
         "schema_discover": described,
+        "schema_files": described,
         "schema_drift": f"""with before as (select column_name, {SQL_TYPES} as old_type
                 from (describe select event_id, user_id, value, props from events)),
             after as (select column_name, {SQL_TYPES} as new_type

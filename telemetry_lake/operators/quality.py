@@ -23,6 +23,9 @@ LEGACY_TYPES = {
     "LongType": "bigint",
     "StringType": "string",
 }
+LEGACY_NAMES = {"bigint": "LongType", "string": "StringType", "date": "DateType"}
+# Spark's own type texts, which a stored schema file may use as well.
+TYPE_TEXT = r"^(bigint|boolean|date|double|float|smallint|tinyint|binary|timestamp_ntz|(decimal[(]|array<|map<|struct<).*)$"
 
 
 def quoted(name: str) -> str:
@@ -55,17 +58,29 @@ def discover(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def registry_from_json(df: DataFrame, table: str, text: str) -> DataFrame:
-    """Registry rows from stored schema files, ``{"column": "type name"}`` per table."""
+    """Registry rows from stored schema files, ``{"column": "type name"}`` per table. A name
+    that is neither a known one nor a type text of Spark means string."""
     pairs = F.explode(F.from_json(text, "map<string,string>")).alias("column_name", "type_name")
     known = F.create_map(*[F.lit(v) for pair in LEGACY_TYPES.items() for v in pair])
     named = df.select(F.col(table).alias("table_name"), pairs)
+    type_name = F.col("type_name")
+    own = F.when(type_name.rlike(TYPE_TEXT), type_name)
     return named.select(
         "table_name",
         "column_name",
-        F.coalesce(F.try_element_at(known, F.col("type_name")), F.lit("string")).alias("data_type"),
+        F.coalesce(F.try_element_at(known, type_name), own, F.lit("string")).alias("data_type"),
     )
 
 
+def registry_to_json(registry: DataFrame) -> DataFrame:
+    """One stored schema file's text per table, as ``registry_from_json`` reads it."""
+    names = F.create_map(*[F.lit(v) for pair in LEGACY_NAMES.items() for v in pair])
+    type_name = F.coalesce(F.try_element_at(names, F.col("data_type")), F.col("data_type"))
+    columns = F.collect_list(F.struct("column_name", type_name.alias("type_name")))
+    text = F.to_json(F.map_from_entries(F.array_sort(columns)))
+    return registry.groupBy("table_name").agg(text.alias("value"))
+
+
 def type_from_name(name: str) -> DataType:
     """Type for a registry entry: a legacy name, or a Spark type text."""
     try:

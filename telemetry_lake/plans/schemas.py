@@ -12,12 +12,15 @@ from pyspark.sql import functions as F
 
 from telemetry_lake.operators.quality import (
     grown,
+    registry_from_json,
+    registry_to_json,
     schema_rows,
     type_from_name,
     type_text,
     widened,
 )
 from telemetry_lake.plans.lake import DRIFT_SCHEMA, ENTRY_SCHEMA, Lake
+from telemetry_lake.session import literal_path
 
 
 @dataclass(frozen=True)
@@ -120,3 +123,18 @@ def check_tables(
         else c
         for c in checks
     ]
+
+
+def store_schema_files(spark: SparkSession, lake: Lake, folder: str) -> None:
+    """Write the registry as one JSON text ``{"column": "type name"}`` per table, each in a
+    folder ``table_name=<table>``."""
+    texts = registry_to_json(lake.registry(spark)).select("value", "table_name")
+    texts.write.mode("overwrite").partitionBy("table_name").text(folder)
+
+
+def load_schema_files(spark: SparkSession, lake: Lake, batch: str, folder: str) -> list[ColumnCheck]:
+    """Merge the schema files of a folder into the registry, as ``store_schema_files`` lays
+    them out. Columns the registry has keep their type."""
+    files = spark.read.schema("value string, table_name string").option("wholetext", True)
+    rows = registry_from_json(files.text(literal_path(folder)), "table_name", "value")
+    return record_schemas(spark, lake, batch, [tuple(row) for row in rows.collect()])
