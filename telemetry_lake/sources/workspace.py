@@ -101,9 +101,10 @@ class Workspaces:
             views[view] = df
         return views
 
-    def query(self, tables: Mapping[str, str] | Iterable[str], sql: str, cache: bool = False) -> DataFrame:
-        """Register the tables, then run SQL on them. No row is an empty DataFrame."""
-        self.register(tables, cache=cache)
+    def query(self, tables: Mapping[str, str] | Iterable[str], sql: str) -> DataFrame:
+        """Register the tables, then run SQL on them. No row is an empty DataFrame. To cache,
+        ``register`` the columns and rows wanted first and use ``query_registered``."""
+        self.register(tables)
         return self.spark.sql(sql)
 
     def query_registered(self, sql: str) -> DataFrame:
