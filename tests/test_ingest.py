@@ -467,7 +467,7 @@ def test_running_ingest_picks_up_later_files(spark, landing, lake):
 def test_intake_does_not_read_content(spark, landing):
     put(landing, "t_1_0.json", {"a": 1})
     plan = ingest.discover_landing(spark, str(landing))._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<path:string,length:bigint>" in plan
+    assert "ReadSchema: struct<path:string,modificationTime:timestamp,length:bigint>" in plan
 
 
 @pytest.fixture
