@@ -149,12 +149,8 @@ def near_duplicates(
     )
 
 
-def keep_one_per_group(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` without all but one of each group of near duplicates."""
-    kept = stored(
-        near_duplicates(docs, radius=radius).where("kept").select("doc_id", "text_key").distinct(),
-        "simhash-kept",
-    )
+def rows_of(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id and text key are in ``kept``, one of each."""
     key = fresh_name(docs, "text_key")
     keyed = docs.withColumn(key, text_key("text"))
     match = keyed["doc_id"].eqNullSafe(kept["doc_id"]) & (keyed[key] == kept["text_key"])
@@ -165,6 +161,15 @@ def keep_one_per_group(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     )
 
 
+def keep_one_per_group(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs`` without all but one of each group of near duplicates."""
+    kept = stored(
+        near_duplicates(docs, radius=radius).where("kept").select("doc_id", "text_key").distinct(),
+        "simhash-kept",
+    )
+    return rows_of(docs, kept)
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
