@@ -8,7 +8,8 @@ reliable each labeler is and how likely each pattern is personal data. Those est
 the final span classifier, a logistic regression on the votes and on the span's form.
 
 What the strict forms accept is always reported; the classifier adds the candidates that it
-believes in. Both counts and training data are tables of patterns, whose number is fixed.
+believes in, of other forms and of those that the strict forms refuse (as ``card_other`` and
+so on, so that base kinds keep their meaning). Both counts and training data are tables of patterns, whose number is fixed.
 """
 
 from __future__ import annotations
@@ -25,12 +26,15 @@ from pyspark.sql import functions as F
 from telemetry_lake.llm.tables import stored, table
 
 KINDS = ("email", "ip", "card", "phone")
-ADDED = ("phone_local", "email_masked", "national_id")
+#: Besides other forms, the candidates of base kinds that their strict form refuses.
+ADDED = ("phone_local", "email_masked", "national_id", "ip_other", "card_other", "phone_other")
 ALL_KINDS = KINDS + ADDED
 #: Belief from which the classifier adds a span.
 SURE = 0.9
 #: Share of candidates that EM takes as personal before it has seen any vote.
 PRIOR = 0.5
+#: Weight of the starting rates next to what is counted, as a share of it: the same for any size.
+HOLD = 0.2
 BEFORE = 40
 
 LOCAL = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -56,7 +60,20 @@ _WORDS = {
     "national_id": re.compile(r"(?i)\b(?:ssn|social security|national id|tax id)\b"),
 }
 _NOT = re.compile(r"(?i)\b(?:version|release|section|isbn|chapter|order|invoice|page|doi|sku|part)\b[ .:#]{0,3}$")
-_TOPIC = {"phone_local": "phone", "email_masked": "email"}
+_TOPIC = {"phone_local": "phone", "email_masked": "email", "ip_other": "ip", "card_other": "card", "phone_other": "phone"}
+# Forms of the added kinds: what the numbering plans allow, and how such data is written.
+_FORMS = {
+    "phone_local": re.compile(r"\(?[2-9](?!11)[0-9]{2}\)?[ .-][2-9](?!11)[0-9]{2}[ .-][0-9]{4}"),
+    "email_masked": re.compile(r"(?i)[a-z0-9]+(?:[._-][a-z0-9]+)* ?(?:\[at\]|\(at\)) ?[a-z0-9]+(?:-[a-z0-9]+)*(?: ?(?:\[dot\]|\(dot\)|\.) ?[a-z]{2,24})+"),
+    "national_id": re.compile(r"(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}"),
+    "ip_other": re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"),
+    "card_other": re.compile(r"[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5}|[0-9]{13,16}"),
+    "phone_other": re.compile(r"\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{1,4}\)?)+"),
+}
+# Area codes that no person has: kept for expansion, free or paid services.
+_SERVICES = re.compile(r"[0-9]9[0-9]|37[0-9]|96[0-9]|8(?:00|22|33|44|55|66|77|88)|900|[01]|[0-9]11")
+# Numbers that are known from advertisements and examples, and those of one digit.
+_SPECIMENS = re.compile(r"078-05-1120|219-09-9999|123-45-6789|987-65-432[0-9]|([0-9])\1\1-\1\1-\1{4}")
 
 
 @dataclass(frozen=True)
@@ -103,13 +120,16 @@ def _candidates(text: str) -> Iterator[tuple[str, int, int, bool]]:
         for m in _EMAIL_MASKED.finditer(text):
             yield "email_masked", m.start(), m.end(), False
     for m in _IP.finditer(text):
-        yield "ip", m.start(), m.end(), all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m.group().split("."))
+        strict = all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m.group().split("."))
+        yield "ip" if strict else "ip_other", m.start(), m.end(), strict
     for m in _CARD.finditer(text):
         digits = m.group().replace(" ", "").replace("-", "")
         if 12 <= len(digits) <= 19:
-            yield "card", m.start(), m.end(), luhn(digits)
+            strict = luhn(digits)
+            yield "card" if strict else "card_other", m.start(), m.end(), strict
     for m in _PHONE.finditer(text):
-        yield "phone", m.start(), m.end(), 9 <= len(_DIGITS.sub("", m.group())) <= 15
+        strict = 9 <= len(_DIGITS.sub("", m.group())) <= 15
+        yield "phone" if strict else "phone_other", m.start(), m.end(), strict
     for m in _PHONE_LOCAL.finditer(text):
         yield "phone_local", m.start(), m.end(), False
     for m in _NATIONAL.finditer(text):
@@ -118,16 +138,19 @@ def _candidates(text: str) -> Iterator[tuple[str, int, int, bool]]:
 
 def _gazetteer(kind: str, found: str) -> int:
     if kind in ("email", "email_masked"):
-        return 1 if re.split(r"[^A-Za-z]+", found)[-1].lower() in _DOMAINS else 0
-    if kind == "ip":
-        return -1 if found.startswith(("0.", "127.", "255.")) else 0
-    if kind == "card":
+        last = re.split(r"[^A-Za-z]+", found)[-1].lower()
+        # Every two letters may be a country's.
+        return 1 if last in _DOMAINS else (-1 if kind == "email_masked" and len(last) > 2 else 0)
+    if kind in ("ip", "ip_other"):
+        return -1 if found.startswith(("0.", "127.", "255.")) else int(kind == "ip_other" and found[0] in "123456789")
+    if kind in ("card", "card_other"):
         return 1 if _CARDS.match(found) else -1
-    if kind == "phone":
+    if kind in ("phone", "phone_other"):
         return 1 if _CALLING.match(found) else -1
-    if kind == "national_id":
-        return -1 if found[:3] in ("000", "666") or found[0] == "9" else 0
-    return 0
+    if kind == "phone_local":
+        return -1 if _SERVICES.match(found.lstrip("(")) else 1
+    # 772 is the last area that was given out in order; later ones are drawn.
+    return -1 if _SPECIMENS.fullmatch(found) else int("001" <= found[:3] <= "772")
 
 
 def _context(kind: str, before: str) -> int:
@@ -141,7 +164,7 @@ def spans(text: str) -> list[Span]:
     out = []
     for kind, start, end, strict in _candidates(text):
         found, before = text[start:end], text[max(0, start - BEFORE) : start]
-        form = 1 if strict else (-1 if kind in KINDS else 0)
+        form = 1 if strict or _FORMS[kind].fullmatch(found) else -1
         after = text[end : end + 1]
         joined = (bool(before) and before[-1].isalnum()) + 2 * after.isalnum()
         digits = sum(c.isdigit() for c in found)
@@ -203,19 +226,19 @@ def estimate(parts: np.ndarray, counts: np.ndarray, rounds: int = 50) -> np.ndar
     beliefs = np.full(len(parts), PRIOR)
     for kind in np.unique(parts[:, 0]):
         rows = np.flatnonzero(parts[:, 0] == kind)
-        votes, n = parts[rows, 2:5], counts[rows].astype(float)
+        votes, n = parts[rows, 2:5], counts[rows] / counts[rows].sum()
         share = PRIOR
         rates = np.tile([[0.1, 0.3, 0.6], [0.6, 0.3, 0.1]], (votes.shape[1], 1, 1))
         for _ in range(rounds):
             yes, no = (np.prod([rates[j, k][votes[:, j]] for j in range(votes.shape[1])], axis=0) for k in (0, 1))
             belief = share * yes / (share * yes + (1 - share) * no)
-            share = (n @ belief + 1) / (n.sum() + 2)
+            share = (n @ belief + HOLD * PRIOR) / (1 + HOLD)
             for j in range(votes.shape[1]):
                 for k, weight in ((0, n * belief), (1, n * (1 - belief))):
-                    # The starting rates stay as some counts, so that no labeler is turned round.
+                    # The starting rates stay as a share, so that no labeler is turned round.
                     start = np.array([0.1, 0.3, 0.6] if k == 0 else [0.6, 0.3, 0.1])
                     seen = np.bincount(votes[:, j], weights=weight, minlength=3)
-                    rates[j, k] = (seen + 20 * start) / (seen.sum() + 20)
+                    rates[j, k] = (seen + HOLD * start) / (seen.sum() + HOLD)
         beliefs[rows] = belief
     return beliefs
 
@@ -237,7 +260,9 @@ def _features(parts: np.ndarray) -> np.ndarray:
 def train_classifier(parts: np.ndarray, counts: np.ndarray, beliefs: np.ndarray, steps: int = 300) -> np.ndarray:
     """Weights of a logistic regression on the patterns, with beliefs as soft labels."""
     x = _features(parts)
-    weight = np.sqrt(counts)[:, None] / np.sqrt(counts).sum()
+    # Shares of all, so that a repeated corpus gives the same weights to the last bit.
+    weight = np.sqrt(counts / counts.sum())[:, None]
+    weight = weight / weight.sum()
     w = np.zeros((x.shape[1], 1))
     first, second = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, steps + 1):
@@ -258,12 +283,19 @@ def accepted_patterns(found: DataFrame) -> tuple[list[int], dict[int, float]]:
     if not rows:
         return [], {}
     numbers, counts = np.array([r.p for r in rows]), np.array([r["count"] for r in rows])
+    sure, beliefs = judged(numbers, counts)
+    return numbers[sure].tolist(), dict(zip(numbers.tolist(), beliefs.tolist(), strict=True))
+
+
+def judged(numbers: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which patterns of the added kinds the classifier adds, and its belief in each pattern.
+
+    Only the shares of the patterns matter, not how large the corpus is.
+    """
     parts = pattern_parts(numbers)
     weights = train_classifier(parts, counts, estimate(parts, counts))
     beliefs = 1 / (1 + np.exp(-_features(parts) @ weights))
-    # A base kind that its strict form refuses is never added.
-    sure = (beliefs >= SURE) & (parts[:, 0] >= len(KINDS))
-    return numbers[sure].tolist(), dict(zip(numbers.tolist(), beliefs.tolist(), strict=True))
+    return (beliefs >= SURE) & (parts[:, 0] >= len(KINDS)), beliefs
 
 
 def personal_data(docs: DataFrame) -> DataFrame:

@@ -79,3 +79,30 @@ def test_pattern_numbers_round_trip():
         for s in op.spans(text):
             parts = op.pattern_parts(np.array([op.pattern_number(s)]))[0]
             assert tuple(parts) == (op.ALL_KINDS.index(s.kind), int(s.base), *(v + 1 for v in s.votes), *s.form)
+
+
+def mixed_texts():
+    lead = ["call ", "it was ", "ssn ", "see ", "card ", "order ", "mail ", "tel "]
+    spans = ["743-555-3824", "(212) 867-5309", "199-234-5678", "800-234-5678", "123-45-6789", "219-45-7788", "000-12-3456", "9999 9999 9999 9999",
+             "4111 1111 1111 1112", "jo [at] example [dot] com", "jo(at)example.zzzz", "256.1.1.1", "+1 23"]
+    return [a + b for a in lead for b in spans]
+
+
+def test_every_added_kind_has_three_labelers():
+    voted = {}
+    for text in mixed_texts():
+        for s in op.spans(text):
+            for k, v in enumerate(s.votes):
+                voted.setdefault((s.kind, k), set()).add(v)
+    for kind in op.ADDED:
+        assert all(voted[kind, k] - {0} for k in range(3)), kind
+    assert voted["phone_local", 0] == {1, -1} and voted["phone_local", 1] == {1, -1}
+
+
+def test_a_repeated_corpus_adds_the_same_spans():
+    numbers, counts = np.unique([op.pattern_number(s) for t in mixed_texts() for s in op.spans(t)], return_counts=True)
+    sure, beliefs = op.judged(numbers, counts)
+    assert sure.any() and not sure[op.pattern_parts(numbers)[:, 0] >= len(op.KINDS)].all()
+    for times in (100, 10_000):
+        again, other = op.judged(numbers, counts * times)
+        assert (again == sure).all() and (other == beliefs).all()
