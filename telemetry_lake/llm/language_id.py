@@ -164,6 +164,19 @@ def train(docs: DataFrame) -> Model | None:
     )
 
 
+def predictions(texts: list[str | None], model: Model | None) -> tuple[list[str], list[float], list[bool]]:
+    """Language, score and ambiguity of each text."""
+    names, scores, unclear = [UNKNOWN] * len(texts), [0.0] * len(texts), [False] * len(texts)
+    known = [i for i, t in enumerate(texts) if model is not None and has_letter(t)]
+    for part in (known[k : k + 256] for k in range(0, len(known), 256)):
+        beliefs = model.beliefs(np.array([features(texts[i]) for i in part]))
+        for i, row in zip(part, beliefs, strict=True):
+            best = int(row.argmax())
+            names[i], scores[i] = model.languages[best], float(row[best])
+            unclear[i] = scores[i] < CLEAR
+    return names, scores, unclear
+
+
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     """``docs`` rows as (doc_id, held_out, lang_pred, score, ambiguous), one per row.
 
@@ -178,15 +191,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            names, scores, unclear = [UNKNOWN] * len(texts), [0.0] * len(texts), [False] * len(texts)
-            known = [i for i, t in enumerate(texts) if model is not None and has_letter(t)]
-            for part in (known[k : k + 256] for k in range(0, len(known), 256)):
-                beliefs = model.beliefs(np.array([features(texts[i]) for i in part]))
-                for i, row in zip(part, beliefs, strict=True):
-                    best = int(row.argmax())
-                    names[i], scores[i] = model.languages[best], float(row[best])
-                    unclear[i] = scores[i] < CLEAR
+            names, scores, unclear = predictions(batch.column("text").to_pylist(), model)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(unclear, pa.bool_())],
                 ["doc_id", "held_out", "lang_pred", "score", "ambiguous"],
@@ -200,8 +205,10 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are in some language.
 
-    Rejected are texts that are null or have no letter. Ambiguous ones stay. A null ``lang``
-    is filled with the prediction; a given one is left alone.
+    Every row is predicted as in ``identify`` and rejected if the result is ``und``: its text is
+    null or has no letter. A low score or ambiguity rejects nothing, as short clean texts have
+    them too. Without a model only the letters count. A null ``lang`` is filled with the
+    prediction; a given one is left alone.
     """
     model = train(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -210,11 +217,10 @@ def keep_identified(docs: DataFrame) -> DataFrame:
         model = shared.value
         for batch in batches:
             texts, langs = batch.column("text").to_pylist(), batch.column("lang").to_pylist()
-            keep = [has_letter(t) for t in texts]
-            if model is not None:
-                for i, text in enumerate(texts):
-                    if keep[i] and langs[i] is None:
-                        langs[i] = model.languages[int(model.beliefs(features(text)[None, :])[0].argmax())]
+            names, _, _ = predictions(texts, model)
+            # Without a model everything is und, which says nothing about a text.
+            keep = [has_letter(t) if model is None else n != UNKNOWN for t, n in zip(texts, names, strict=True)]
+            langs = [n if lang is None and n != UNKNOWN else lang for lang, n in zip(langs, names, strict=True)]
             at = batch.schema.get_field_index("lang")
             filled = batch.set_column(at, batch.schema.field(at), pa.array(langs, batch.schema.field(at).type))
             yield filled.filter(pa.array(keep, pa.bool_()))

@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -88,3 +89,19 @@ def test_accuracy_on_held_out_documents(spark):
     docs = spark.read.parquet(SF)
     got = op.identify(docs, op.train(docs)).where("held_out").join(docs.select("doc_id", "lang"), "doc_id").collect()
     assert sum(r.lang == r.lang_pred for r in got) / len(got) > 0.97
+
+
+def test_pipeline_decides_by_the_prediction(documents, monkeypatch):
+    """Rows with a given lang are predicted too: what the operator calls und goes."""
+    plain = op.predictions
+
+    def said(texts, model):
+        names, *more = plain(texts, model)
+        return [op.UNKNOWN if t == "ka to mi" else n for n, t in zip(names, texts, strict=True)], *more
+
+    rows = made(60) + [(700, "ka to mi", "xa")]
+    source = documents(rows)
+    monkeypatch.setattr(op, "predictions", said)
+    monkeypatch.setattr(type(source), "mapInArrow", lambda df, f, schema: df.sparkSession.createDataFrame(pa.Table.from_batches(list(f(iter(df.toArrow().to_batches()))))))
+    monkeypatch.setattr(op, "train", lambda docs: op.fit(np.array([op.features(t) for _, t, _ in rows]), [lang for *_, lang in rows]))
+    assert {r.doc_id for r in op.keep_identified(source).collect()} == {r[0] for r in rows} - {700}
