@@ -12,6 +12,7 @@ from telemetry_lake.llm import (
     secret_scan,
     simhash_dedup,
     suffix_dedup,
+    token_alignment,
     warc,
 )
 
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_pii": pii.op8_pii,
     "op9_language_id": language_id.op9_language_id,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
+    "op11_token_alignment": token_alignment.op11_token_alignment,
 }
 ORACLE_SQL = {
     "op1_secret_scan": secret_scan.ORACLE_SQL,
