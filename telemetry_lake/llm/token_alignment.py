@@ -4,8 +4,8 @@ Both token lists cover the same bytes, so a place where tokens of both end is a
 tokens between two borders are a group. Every token points to the token of the other list
 that overlaps it and reaches farthest right; one that ends at a border points to itself, or to
 its partner that does. Doubling the pointers takes every token to the last one of its group,
-which is the group's label. All texts of a chunk are labelled together: their bytes lie end
-to end, and the end of a text is a border.
+which is the group's label. Many texts are labelled together: their bytes lie end to end, and
+the end of a text is a border.
 
 How often two ids overlap is counted over the whole corpus. Tokens are encoded once and
 stored; links are never stored, they are made again from the tokens where they are needed.
@@ -19,9 +19,11 @@ import hashlib
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +35,14 @@ from telemetry_lake.llm.tables import stored, table
 
 VOCABULARY_A = "byte_bpe_50k.json"
 VOCABULARY_B = "piece_bpe_32k.model"
-#: Bytes of text that are encoded together; longer texts are cut where both tokenizers end a token.
+#: Characters of text that are taken together.
 CHUNK = 1 << 20
-#: Tokens whose links are held at once.
-TOKENS = 1 << 20
+#: Characters of distinct parts of texts that a task remembers.
+REMEMBERED = 1 << 22
+#: Parts that are encoded as one text.
+TOGETHER = 64
+#: Tokens whose links are held at once, unless one text has more.
+TOKENS = 1 << 19
 #: The most id pairs that are sent to the tasks: 16 MB of numbers.
 HOT_PAIRS = 1 << 20
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
@@ -75,48 +81,123 @@ class Tokenizers:
                 self.a_bytes[i] = bytes(alphabet[c] for c in entry)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [piece_bytes(p, self.b.is_byte(i)) for i, p in enumerate(pieces)]
+        self.a_sizes, self.b_sizes = _lengths(self.a_bytes), _lengths(self.b_bytes)
         # Only then does a space between other characters always begin a token.
         self.can_cut = not any(re.search("[^▁]▁", p) for p in pieces)
 
-    def parts(self, text: str, size: int) -> list[str]:
-        """Parts of a text that encode on their own as they do in it, a space before each."""
-        out, begin = [], 0
-        while self.can_cut and len(text) - begin > size:
-            cut = _SINGLE_SPACE.search(text, begin + size)
-            if cut is None:
-                break
-            out.append(text[begin : cut.start()])
-            begin = cut.end()
-        return [*out, text[begin:]]
-
-    def encode(self, texts: list[str], size: int = CHUNK) -> list[tuple[list[int], list[int]]]:
+    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
         """Ids of both tokenizers per text, none where their bytes are not those of the text."""
-        out = []
-        for group in _chunks(texts, size):
-            parts = [self.parts(text, size) if text else [] for text in group]
-            flat = [p for some in parts for p in some]
-            if len(group) == 1:  # a long text goes on part by part
-                pairs = [self._encoded([p])[0] for p in flat]
-            else:
-                pairs = self._encoded(flat)
-            found = iter(pairs)
-            for some in parts:
-                mine = [next(found) for _ in some]
-                if any(pair is None for pair in mine):
-                    mine = []
-                out.append(([i for a, _ in mine for i in a], [i for _, b in mine for i in b]))
-        return out
-
-    def _encoded(self, texts: list[str]) -> list[tuple[list[int], list[int]] | None]:
         spaced = [" " + t for t in texts]
         of_a = [e.ids for e in self.a.encode_batch(spaced, add_special_tokens=False)]
         of_b = self.b.encode(texts, num_threads=1)
-        out: list[tuple[list[int], list[int]] | None] = []
+        out: list[tuple[list[int], list[int]]] = []
         for text, a, b in zip(spaced, of_a, of_b, strict=True):
             data = text.encode()
             same = b"".join(map(self.a_bytes.__getitem__, a)) == data
             same = same and b"".join(map(self.b_bytes.__getitem__, b)) == data
-            out.append((a, b) if same else None)
+            out.append((a, b) if same else ([], []))
+        return out
+
+
+def _joined(lists: list[list[int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(lists), dtype=np.int64)
+
+
+class Words:
+    """Encoded and aligned parts of texts, each distinct one done once.
+
+    A part is what lies between two single spaces that have other characters on both sides.
+    Such a space begins a token of both tokenizers, so parts encode on their own as they do in
+    their text, and borders lie between them. The parts are forgotten when there are many.
+    """
+
+    def __init__(self, both: Tokenizers, most: int = REMEMBERED) -> None:
+        self.both, self.most = both, most
+        self.writer = GroupText(len(both.a_bytes), len(both.b_bytes))
+        self.forget()
+
+    def forget(self) -> None:
+        self.index: dict[str, int] = {}
+        self.held = 0
+        self.ids = [array("i"), array("i")]
+        self.ends = [array("q", [0]), array("q", [0])]
+        self.groups = array("q")
+        self.written: list[str] = []
+
+    def split(self, text: str) -> list[str]:
+        if not text:
+            return []
+        return _SINGLE_SPACE.split(text) if self.both.can_cut else [text]
+
+    def learn(self, parts: list[list[str]]) -> None:
+        new = dict.fromkeys(w for some in parts for w in some if w not in self.index)
+        for some in _chunks(list(new), CHUNK):
+            # Many parts make one text to encode, unless one of them does not come back.
+            together = [some[i : i + TOGETHER] for i in range(0, len(some), TOGETHER)]
+            alone, known, lists = [], [], ([], [])
+            for words, (a, b) in zip(together, self._encoded(together), strict=True):
+                if a:
+                    known += words
+                    lists[0].append(a)
+                    lists[1].append(b)
+                else:
+                    alone += words
+            for word, (a, b) in zip(alone, self.both.encode(alone), strict=True):
+                if a:
+                    known.append(word)
+                    lists[0].append(a)
+                    lists[1].append(b)
+                else:
+                    self._add([word], np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
+            self._add(known, _joined(lists[0]), _joined(lists[1]))
+            self.held += sum(len(w) for w in some)
+
+    def _encoded(self, together: list[list[str]]) -> list[tuple[list[int], list[int]]]:
+        if not self.both.can_cut:
+            return [([], [])] * len(together)
+        return self.both.encode([" ".join(words) for words in together])
+
+    def _add(self, words: list[str], a: np.ndarray, b: np.ndarray) -> None:
+        """Take in parts and the tokens that they have together."""
+        found = align(self.both.a_sizes[a], self.both.b_sizes[b])
+        # A part and the space before it end where tokens of both end; none at all has no place.
+        ends = np.cumsum([len(w.encode()) + 1 for w in words] if len(a) else [0] * len(words))
+        cut_a = np.searchsorted(np.cumsum(self.both.a_sizes[a]), ends, "right")
+        cut_b = np.searchsorted(np.cumsum(self.both.b_sizes[b]), ends, "right")
+        spelled = self.writer.sequence(a, b, found).tolist()
+        spelled = list(map(self.writer.words.__getitem__, spelled))
+        groups = np.cumsum(np.concatenate([[0], found.group_a == np.arange(len(a))]))[cut_a]
+        self.index.update(zip(words, range(len(self.written), len(self.written) + len(words)), strict=True))
+        cuts = [0, *(cut_a + cut_b).tolist()]
+        # The last separator is put back where parts are joined.
+        self.written += ["".join(spelled[x:y])[:-1] for x, y in zip(cuts, cuts[1:], strict=False)]
+        for side, (ids, cut) in enumerate(((a, cut_a), (b, cut_b))):
+            self.ends[side].extend((cut + self.ends[side][-1]).tolist())
+            self.ids[side].extend(ids.tolist())
+        self.groups.extend(np.diff(groups, prepend=0).tolist())
+
+    def texts(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], list[int], list[str]]:
+        """Per text its A ids, B ids, number of groups and digest."""
+        if self.held > self.most:
+            self.forget()
+        parts = [self.split(t) for t in texts]
+        self.learn(parts)
+        ids = [np.array(x, dtype=np.int32) for x in self.ids]
+        ends = [np.array(x, dtype=np.int64) for x in self.ends]
+        groups = np.array(self.groups, dtype=np.int64)
+        out: tuple = ([], [], [], [])
+        for some in parts:
+            which = np.fromiter(map(self.index.__getitem__, some), dtype=np.int64, count=len(some))
+            sizes = [e[which + 1] - e[which] for e in ends]
+            if (sizes[0] == 0).any():
+                which, sizes = which[:0], [x[:0] for x in sizes]
+            for side in (0, 1):
+                n = sizes[side]
+                place = np.arange(n.sum()) + np.repeat(ends[side][which] - (np.cumsum(n) - n), n)
+                out[side].append(ids[side][place])
+            out[2].append(int(groups[which].sum()))
+            written = ";".join(map(self.written.__getitem__, which.tolist()))
+            out[3].append(hashlib.sha256(written.encode()).hexdigest() if written else "")
         return out
 
 
@@ -195,16 +276,10 @@ class GroupText:
         out[np.arange(len(b)) + found.group_b + 1] = b + np.where(last_b, self.shift[3], self.shift[2])
         return out
 
-    def digest(self, words: np.ndarray) -> str:
-        """Of the words of one text."""
-        if len(words) == 0:
-            return ""
-        return hashlib.sha256("".join(map(self.words.__getitem__, words.tolist()))[:-1].encode()).hexdigest()
-
 
 @lru_cache(maxsize=2)
-def _group_text(ids_a: int, ids_b: int) -> GroupText:
-    return GroupText(ids_a, ids_b)
+def _words(path_a: str, path_b: str) -> Words:
+    return Words(_tokenizers(path_a, path_b))
 
 
 def _listed(lists: list[np.ndarray]) -> pa.ListArray:
@@ -223,29 +298,17 @@ def tokens(docs: DataFrame, vocabulary_a: str = VOCABULARY_A, vocabulary_b: str
     id_type = source.schema["doc_id"].dataType.simpleString()
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = _tokenizers(local_path(vocabulary_a), local_path(vocabulary_b))
-        size_a, size_b = _lengths(both.a_bytes), _lengths(both.b_bytes)
-        writer = _group_text(len(size_a), len(size_b))
+        words = _words(local_path(vocabulary_a), local_path(vocabulary_b))
         for batch in batches:
             begin = 0
             for texts in _chunks(batch.column("text").to_pylist(), CHUNK):
-                pairs = both.encode(texts)
-                lists_a = [np.array(a, dtype=np.int64) for a, _ in pairs]
-                lists_b = [np.array(b, dtype=np.int64) for _, b in pairs]
-                a, b = np.concatenate(lists_a), np.concatenate(lists_b)
-                found = align(size_a[a], size_b[b])
-                words = writer.sequence(a, b, found)
-                ends_a, ends_b = (np.cumsum([len(x) for x in lists]) for lists in (lists_a, lists_b))
-                starts = np.concatenate([[0], (ends_a + ends_b)[:-1]])
-                groups = np.cumsum(np.concatenate([[0], found.group_a == np.arange(len(a))]))
-                counts = groups[ends_a] - groups[np.concatenate([[0], ends_a[:-1]])]
-                digests = [writer.digest(words[x:y]) for x, y in zip(starts, ends_a + ends_b, strict=True)]
+                a, b, groups, digests = words.texts(texts)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(begin, len(texts)),
-                        _listed(lists_a),
-                        _listed(lists_b),
-                        pa.array(counts, pa.int64()),
+                        _listed(a),
+                        _listed(b),
+                        pa.array(groups, pa.int64()),
                         pa.array(digests, pa.string()),
                     ],
                     ["doc_id", "a", "b", "n_groups", "groups_sha256"],
@@ -277,7 +340,7 @@ def _token_slices(batch: pa.RecordBatch, most: int = 0) -> Iterator[tuple[pa.Rec
 
 def _pairs(ids: list[np.ndarray], both: Tokenizers) -> tuple[np.ndarray, np.ndarray, Alignment]:
     """A token and packed id pair of every link of a slice."""
-    found = align(_lengths(both.a_bytes)[ids[0]], _lengths(both.b_bytes)[ids[1]])
+    found = align(both.a_sizes[ids[0]], both.b_sizes[ids[1]])
     a, b = found.links()
     return a, ids[0][a] << 32 | ids[1][b], found
 
@@ -365,7 +428,7 @@ def aligned(
     ties included; ``count_sum`` adds up the counts of all links. Rows are counted as they
     are: a repeated row, or one without an id, counts like any other. Texts that are null,
     empty, or not given back by both tokenizers have no tokens: zeros and an empty digest. Very long texts
-    are encoded part by part. An empty table gives no rows; other columns of ``docs`` play no part.
+    are encoded part by part, between single spaces. An empty table gives no rows; other columns of ``docs`` play no part.
     """
     spark = docs.sparkSession
     found = stored(tokens(docs, vocabulary_a, vocabulary_b), "aligned-tokens")

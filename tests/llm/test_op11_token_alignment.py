@@ -110,14 +110,17 @@ def test_hot_table_is_bounded(spark):
     assert op.hot_level(counts, 1000) == 0
 
 
-def test_long_texts_encode_as_a_whole(both, texts):
+def test_parts_encode_as_in_their_text(both, texts):
     made = op.Tokenizers(P.path(op.VOCABULARY_A), P.path(op.VOCABULARY_B))
     assert made.can_cut and made.a_bytes[50256] == b""
     long = " ".join(t for t in texts if t and "▁" not in t) * 40
+    words = op.Words(made, most=100)
     for text in [*texts[:50], long]:
-        whole = made.encode([text], size=1 << 30)
-        assert made.encode([text], size=17) == whole == [(both[0].encode(" " + text, add_special_tokens=False).ids, both[1].encode(text))]
-    assert len(made.parts(long, 100)) > 50
+        a, b, _, _ = words.texts([text, ""])
+        assert a[0].tolist() == both[0].encode(" " + text, add_special_tokens=False).ids
+        assert b[0].tolist() == both[1].encode(text)
+        assert len(a[1]) == len(b[1]) == 0
+    assert len(words.split(long)) > 50 and words.split("a  b\n c d") == ["a  b\n c", "d"]
 
 
 def test_alphabet():
