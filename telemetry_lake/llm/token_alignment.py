@@ -31,18 +31,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetry_lake.llm.byte_bpe import local_path
-from telemetry_lake.llm.tables import stored, table
+from telemetry_lake.llm.tables import arrow_rows, stored, table
 
 VOCABULARY_A = "byte_bpe_50k.json"
 VOCABULARY_B = "piece_bpe_32k.model"
 #: Characters of text that are taken together.
 CHUNK = 1 << 20
 #: Characters of distinct parts of texts that a task remembers.
-REMEMBERED = 1 << 22
+REMEMBERED = 1 << 21
 #: Parts that are encoded as one text.
 TOGETHER = 64
 #: Tokens whose links are held at once, unless one text has more.
 TOKENS = 1 << 19
+#: Texts that a task is handed at once.
+ROWS = 500
 #: The most id pairs that are sent to the tasks: 16 MB of numbers.
 HOT_PAIRS = 1 << 20
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
@@ -131,7 +133,7 @@ class Words:
 
     def learn(self, parts: list[list[str]]) -> None:
         new = dict.fromkeys(w for some in parts for w in some if w not in self.index)
-        for some in _chunks(list(new), CHUNK):
+        for some in _chunks(list(new), CHUNK // 4):
             # Many parts make one text to encode, unless one of them does not come back.
             together = [some[i : i + TOGETHER] for i in range(0, len(some), TOGETHER)]
             alone, known, lists = [], [], ([], [])
@@ -431,8 +433,9 @@ def aligned(
     are encoded part by part, between single spaces. An empty table gives no rows; other columns of ``docs`` play no part.
     """
     spark = docs.sparkSession
-    found = stored(tokens(docs, vocabulary_a, vocabulary_b), "aligned-tokens")
-    counts = stored(pair_counts(found, vocabulary_a, vocabulary_b), "aligned-counts")
+    with arrow_rows(spark, ROWS):
+        found = stored(tokens(docs, vocabulary_a, vocabulary_b), "aligned-tokens")
+        counts = stored(pair_counts(found, vocabulary_a, vocabulary_b), "aligned-counts")
     judged = stored(with_best(counts).withColumn("level", level("n")), "aligned-pairs")
     least = hot_level(counts, hot_pairs)
     # At most ``hot_pairs`` rows.
@@ -481,7 +484,8 @@ def aligned(
         " count_sum bigint, groups_sha256 string, rest array<bigint>"
     )
     columns = found.select("row", "doc_id", "a", "b", "n_groups", "groups_sha256")
-    looked_up = stored(columns.mapInArrow(of, ddl), "aligned-known")
+    with arrow_rows(spark, ROWS):
+        looked_up = stored(columns.mapInArrow(of, ddl), "aligned-known")
     rare = looked_up.select("row", F.explode("rest").alias("pair")).groupBy("row", "pair").agg(F.count("*").alias("times"))
     later = (
         rare.join(judged.where(F.col("level") < least), "pair")
