@@ -9,6 +9,7 @@ from telemetry_lake.llm import (
     language_id,
     lm_scoring,
     pii,
+    prefix_trie,
     secret_scan,
     simhash_dedup,
     suffix_dedup,
@@ -28,9 +29,11 @@ QUERIES = {
     "op9_language_id": language_id.op9_language_id,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
     "op11_token_alignment": token_alignment.op11_token_alignment,
+    "op12_prefix_trie": prefix_trie.op12_prefix_trie,
 }
 ORACLE_SQL = {
     "op1_secret_scan": secret_scan.ORACLE_SQL,
     "op4_decontaminate": decontaminate.ORACLE_SQL,
     "op5_warc": warc.ORACLE_SQL,
+    "op12_prefix_trie": prefix_trie.ORACLE_SQL,
 }
