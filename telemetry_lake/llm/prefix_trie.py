@@ -575,9 +575,9 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _CRC = """list_reduce(list_prepend(4294967295, list_transform(range(1, len(cast(conv_id as varchar)) + 1),
-        i -> cast(ascii(cast(conv_id as varchar)[i]) as bigint))),
-    (c, b) -> list_reduce(list_prepend(xor(c, b), range(8)),
-        (x, r) -> case when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end))"""
+        lambda i: cast(ascii(cast(conv_id as varchar)[i]) as bigint))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+        lambda x, r: case when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end))"""
 ORACLE_SQL = f"""with turns as (
     select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
     where conv_id is not null),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from telemetry_lake.llm import (
     byte_bpe,
     decontaminate,
+    embedding_dedup,
     fingerprints,
     language_id,
     lm_scoring,
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
     "op11_token_alignment": token_alignment.op11_token_alignment,
     "op12_prefix_trie": prefix_trie.op12_prefix_trie,
+    "op13_embedding_dedup": embedding_dedup.op13_embedding_dedup,
 }
 ORACLE_SQL = {
     "op1_secret_scan": secret_scan.ORACLE_SQL,
