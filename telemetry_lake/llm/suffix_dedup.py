@@ -39,8 +39,8 @@ GRAM = 32
 GRID = 8
 #: Bytes of a text that are hashed at once.
 BLOCK = 1 << 16
-#: Low bits of a place: the tag of a row's text, which keeps apart rows of one id.
-TAG_BITS, SIZE_BITS = 20, 7
+#: Low bits of a place: the number of windows from there on.
+SIZE_BITS = 7
 #: Below this many rows a bucket's part is sorted directly.
 SMALL = 4096
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -200,27 +200,32 @@ def _record(**columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], list(columns))
 
 
-_ANCHOR = "gram bigint, whole bigint, doc bigint, at bigint"
-_WINDOW = "one bigint, two bigint, doc bigint, at bigint"
+_ANCHOR = "gram bigint, whole bigint, doc bigint, at bigint, tag bigint"
+_WINDOW = "one bigint, two bigint, doc bigint, at bigint, tag bigint"
 
 
 def _packed_rows(found: Iterator[tuple], doc: int, tag: int) -> Iterator[tuple]:
     for key, whole, first, count in found:
-        at = (first << SIZE_BITS | count) << TAG_BITS | tag
-        yield key, whole, np.full(len(at), doc), at
+        at = first << SIZE_BITS | count
+        yield key, whole, np.full(len(at), doc), at, np.full(len(at), tag)
 
 
-def _grouped(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+def _grouped(rows: Iterator[tuple], keys: tuple[str, str] = ("gram", "whole")) -> Iterator[pa.RecordBatch]:
     """Key rows in batches of some size."""
     held, size = [], 0
+
+    def joined() -> pa.RecordBatch:
+        columns = map(np.concatenate, zip(*held, strict=True))
+        return _record(**dict(zip((*keys, "doc", "at", "tag"), columns, strict=True)))
+
     for row in rows:
         held.append(row)
         size += len(row[0])
         if size > 100_000:
-            yield _record(**dict(zip(("gram", "whole", "doc", "at"), map(np.concatenate, zip(*held, strict=True)), strict=True)))
+            yield joined()
             held, size = [], 0
     if held:
-        yield _record(**dict(zip(("gram", "whole", "doc", "at"), map(np.concatenate, zip(*held, strict=True)), strict=True)))
+        yield joined()
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,7 +243,7 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.
     for batch in batches:
         for doc, tag, text, places in zip(*(batch.column(n) for n in ("doc", "tag", "data", "places")), strict=True):
             data = np.frombuffer(unpack.decompress(text.as_buffer()), dtype=np.uint8)
-            at = np.sort(places.values.to_numpy(zero_copy_only=False)) >> TAG_BITS
+            at = np.sort(places.values.to_numpy(zero_copy_only=False))
             yield doc.as_py(), tag.as_py(), data, at >> SIZE_BITS, at & ((1 << SIZE_BITS) - 1)
 
 
@@ -251,15 +256,15 @@ def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sorted_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    columns = _gathered(batches, ["gram", "whole", "doc", "at"])
-    order = multikey_order(columns)
+    columns = _gathered(batches, ["gram", "whole", "doc", "at", "tag"])
+    order = multikey_order(columns[:4])
     if len(order) == 0:
         return
-    gram, whole, doc, at = (c[order] for c in columns)
+    gram, whole, doc, at, tag = (c[order] for c in columns)
     new_gram, new_class = _new_run(gram), _new_run(gram, whole)
     # The earliest of its class; copies of a row start at the same place and are as early.
     lead = np.flatnonzero(new_class)[np.cumsum(new_class) - 1]
-    start = at >> (TAG_BITS + SIZE_BITS)
+    start = at >> SIZE_BITS
     later = (doc != doc[lead]) | (start != start[lead])
     run = np.cumsum(new_gram) - 1
     classes = np.bincount(run, weights=new_class)
@@ -267,41 +272,38 @@ def _sorted_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     open_run = (run == 0) | (run == run[-1])
     apart = ~later & ((classes[run] > 1) | open_run)
     picked = later | apart
-    yield _record(doc=doc[picked], at=at[picked], apart=apart[picked])
+    yield _record(doc=doc[picked], at=at[picked], tag=tag[picked], apart=apart[picked])
 
 
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held, size = [], 0
-    for doc, tag, data, first, count in _unpacked(batches):
-        for some in np.array_split(np.arange(len(first)), len(first) // 2000 + 1):
-            n = count[some]
-            begin = np.cumsum(n) - n
-            starts = np.unique(np.repeat(first[some] - begin, n) + np.arange(int(n.sum())))
-            held.append((*windows(data, starts), np.full(len(starts), doc), (starts << SIZE_BITS | 1) << TAG_BITS | tag))
-            size += len(starts)
-            if size > 100_000:
-                yield _record(**dict(zip(("one", "two", "doc", "at"), map(np.concatenate, zip(*held, strict=True)), strict=True)))
-                held, size = [], 0
-    if held:
-        yield _record(**dict(zip(("one", "two", "doc", "at"), map(np.concatenate, zip(*held, strict=True)), strict=True)))
+    def rows() -> Iterator[tuple]:
+        for doc, tag, data, first, count in _unpacked(batches):
+            for some in np.array_split(np.arange(len(first)), len(first) // 2000 + 1):
+                n = count[some]
+                begin = np.cumsum(n) - n
+                starts = np.unique(np.repeat(first[some] - begin, n) + np.arange(int(n.sum())))
+                places = np.full(len(starts), doc), starts << SIZE_BITS | 1, np.full(len(starts), tag)
+                yield (*windows(data, starts), *places)
+
+    yield from _grouped(rows(), ("one", "two"))
 
 
 def _sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    columns = _gathered(batches, ["one", "two", "doc", "at", "bucket"])
+    columns = _gathered(batches, ["one", "two", "doc", "at", "tag", "bucket"])
     order = multikey_order(columns[:4])
     if len(order) == 0:
         return
-    one, two, doc, at, bucket = (c[order] for c in columns)
+    one, two, doc, at, tag, bucket = (c[order] for c in columns)
     fresh = _new_run(one, two)
     lead = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
-    start = at >> (TAG_BITS + SIZE_BITS)
+    start = at >> SIZE_BITS
     repeat = (doc != doc[lead]) | (start != start[lead])
     # The leads of the first run, which the bucket before may have begun, and the last row.
     ends = (lead == 0) & ~repeat
     ends[-1] = True
     picked = repeat | ends
     yield _record(
-        doc=doc[picked], at=at[picked], repeat=repeat[picked], end=ends[picked], first=(lead == 0)[picked],
+        doc=doc[picked], at=at[picked], tag=tag[picked], repeat=repeat[picked], end=ends[picked], first=(lead == 0)[picked],
         one=one[picked], two=two[picked], bucket=bucket[picked].astype(np.int32),
     )
 
@@ -321,7 +323,7 @@ def _across(found: DataFrame) -> DataFrame:
         head, last = row["head"], row["last"]
         same = opened is not None and opened[:2] == (head["one"], head["two"])
         if same:
-            begun.append((row["bucket"], opened[2], opened[3] >> (TAG_BITS + SIZE_BITS)))
+            begun.append((row["bucket"], opened[2], opened[3] >> SIZE_BITS))
         if (last["one"], last["two"]) != (head["one"], head["two"]):
             # Where the last run begins within the bucket does not matter: it is earlier.
             opened = (last["one"], last["two"], None, 0)
@@ -329,22 +331,22 @@ def _across(found: DataFrame) -> DataFrame:
             opened = (head["one"], head["two"], head["doc"], head["at"])
     spark = found.sparkSession
     known = spark.createDataFrame(begun, "bucket int, lead_doc bigint, lead_start bigint")
-    start = F.shiftright("at", TAG_BITS + SIZE_BITS)
+    start = F.shiftright("at", SIZE_BITS)
     same_place = (F.col("doc") == F.col("lead_doc")) & (start == F.col("lead_start"))
     return (
         ends.where("first and not repeat")
         .join(known, "bucket")
         .where(~F.coalesce(same_place, F.lit(False)))
-        .select("doc", "at")
+        .select("doc", "at", "tag")
     )
 
 
 def _keyed(docs: DataFrame, packed: bool) -> DataFrame:
-    """(doc, tag, data): a null id sorts before all others."""
+    """(doc, tag, data): a null id sorts before all others; the tag keeps apart the texts of one id."""
     data = text_bytes("text")
     keyed = docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))).alias("doc"),
-        F.pmod(text_key("text"), F.lit(1 << TAG_BITS)).alias("tag"),
+        text_key("text").alias("tag"),
         data.alias("data"),
         F.col("doc_id"),
     )
@@ -363,18 +365,19 @@ def _keyed(docs: DataFrame, packed: bool) -> DataFrame:
 
 
 def _by_row(spans: DataFrame) -> DataFrame:
-    tag = F.pmod("at", F.lit(1 << TAG_BITS))
-    return spans.groupBy(F.col("doc").alias("of_doc"), tag.alias("of_tag")).agg(F.collect_list("at").alias("places"))
+    return spans.groupBy(F.col("doc").alias("of_doc"), F.col("tag").alias("of_tag")).agg(
+        F.collect_list("at").alias("places")
+    )
 
 
 _SAME = "doc = of_doc and tag = of_tag"
 
 
 def _sorted_out(rows: DataFrame, width: int, label: str) -> DataFrame:
-    """(doc, at, apart): repeats as a whole, and rows to be taken apart."""
+    """(doc, at, tag, apart): repeats as a whole, and rows to be taken apart."""
     return stored(
         rows.repartitionByRange(width, "gram", "whole", "doc", "at").mapInArrow(
-            _sorted_anchors, "doc bigint, at bigint, apart boolean"
+            _sorted_anchors, "doc bigint, at bigint, tag bigint, apart boolean"
         ),
         label,
     )
@@ -387,10 +390,10 @@ def _with_texts(docs: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """(doc, at): windows that also start earlier, as runs of neighbouring windows.
+    """(doc, at, tag): windows that also start earlier, as runs of neighbouring windows.
 
-    ``doc`` is the id as a long, ``at`` holds the first window, the number of windows and the
-    tag of the row's text. Texts shorter than a window have none.
+    ``doc`` is the id as a long, ``at`` holds the first window and the number of windows, ``tag`` is
+    a hash of the whole text, for ids that repeat. Texts shorter than a window have none.
     """
     width = shuffle_width(docs.sparkSession)
     rows = _keyed(docs, packed=False).where(F.octet_length("data") >= LENGTH)
@@ -403,15 +406,15 @@ def repeated(docs: DataFrame) -> DataFrame:
         .withColumn("bucket", F.spark_partition_id())
         .mapInArrow(
             _sorted_windows,
-            "doc bigint, at bigint, repeat boolean, end boolean, first boolean, one bigint, two bigint, bucket int",
+            "doc bigint, at bigint, tag bigint, repeat boolean, end boolean, first boolean, one bigint, two bigint, bucket int",
         ),
         "window-repeats",
     )
     return (
         first.unionByName(finer)
         .where("not apart")
-        .select("doc", "at")
-        .unionByName(second.where("repeat").select("doc", "at"))
+        .select("doc", "at", "tag")
+        .unionByName(second.where("repeat").select("doc", "at", "tag"))
         .unionByName(_across(second))
     )
 
@@ -419,8 +422,7 @@ def repeated(docs: DataFrame) -> DataFrame:
 def _cut(data: bytes, places: np.ndarray) -> tuple[bytes, int]:
     """What is left of a text, and how many runs of bytes were taken out."""
     change = np.zeros(len(data) + 1, dtype=np.int32)
-    at = places >> TAG_BITS
-    first, count = at >> SIZE_BITS, at & ((1 << SIZE_BITS) - 1)
+    first, count = places >> SIZE_BITS, places & ((1 << SIZE_BITS) - 1)
     np.add.at(change, first, 1)
     np.add.at(change, first + count + LENGTH - 1, -1)
     gone = np.cumsum(change[:-1]) > 0

@@ -86,6 +86,24 @@ def test_test_table(spark, documents):
     check(documents, rows)
 
 
+@pytest.mark.parametrize("doc", [None, 5])
+def test_thousands_of_texts_of_one_id(documents, shared, doc):
+    dice = random.Random(7)
+    passages = [t[:130] for _, t in shared[:4] if len(t) > 130]
+    texts = [f"{i} " + "".join(dice.choices("abcdef ", k=60)) + dice.choice(["", *passages]) for i in range(4000)]
+    # Texts of one id are one document: what starts at the same place in them is equally early.
+    check(documents, [(doc, t) for t in texts] + [(9, texts[0]), (9, "x" + texts[1])])
+
+
+def test_clashing_columns(documents, shared):
+    rows = shared[:20] + [(None, shared[0][1])]
+    df = documents(rows)
+    for name in ("doc", "tag", "at", "data", "places", "of_doc", "of_tag", "gram", "bucket"):
+        df = df.withColumn(name, op.F.lit("mine"))
+    expected = sorted(map(tuple, op.remove_repeats(documents(rows)).collect()), key=str)
+    assert sorted(map(tuple, op.remove_repeats(df).collect()), key=str) == expected
+
+
 def test_blocks_have_every_window_once(monkeypatch):
     data = np.frombuffer(bytes(random.Random(2).choices(b"ab", k=3000)), dtype=np.uint8)
 
