@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from telemetry_lake.llm.components import connected_components
-from telemetry_lake.llm.tables import fresh_name, stored, table, text_bytes, text_key
+from telemetry_lake.llm.tables import fresh_name, orderable, stored, table, text_bytes, text_key
+from telemetry_lake.operators.quality import quoted
 
 SHINGLE_WORDS = 3
 RADIUS = 2
@@ -150,15 +151,21 @@ def near_duplicates(
 
 
 def rows_of(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id and text key are in ``kept``, one of each."""
-    key = fresh_name(docs, "text_key")
+    """The rows of ``docs`` whose id and text key are in ``kept``, one of each: that which comes first by
+    its other columns, null first, so that the order of the input does not matter."""
+    key, rest = fresh_name(docs, "text_key"), fresh_name(docs, "rest")
     keyed = docs.withColumn(key, text_key("text"))
     match = keyed["doc_id"].eqNullSafe(kept["doc_id"]) & (keyed[key] == kept["text_key"])
-    return (
+    named = {f"c{i}": c for i, c in enumerate(docs.columns)}
+    # A type without an order counts by its text.
+    sortable = [F.col(quoted(c)) if orderable(docs.schema[c].dataType) else F.col(quoted(c)).cast("string") for c in docs.columns]
+    whole = F.struct(*[F.col(quoted(c)).alias(n) for n, c in named.items()])
+    first = (
         keyed.join(kept, match, "left_semi")
-        .dropDuplicates(["doc_id", key])
-        .select(*docs.columns)
+        .groupBy("doc_id", key)
+        .agg(F.min_by(whole, F.struct(*sortable)).alias(rest))
     )
+    return first.select(*[F.col(rest).getField(n).alias(c) for n, c in named.items()])
 
 
 def keep_one_per_group(docs: DataFrame, radius: int = RADIUS) -> DataFrame:

@@ -7,6 +7,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from telemetry_lake.session import work_dir
 
@@ -71,3 +72,12 @@ def fresh_name(df: DataFrame, base: str) -> str:
     while base.lower() in taken:
         base += "_"
     return base
+
+
+def orderable(data_type: DataType) -> bool:
+    """Whether values of a type can be compared."""
+    if isinstance(data_type, ArrayType):
+        return orderable(data_type.elementType)
+    if isinstance(data_type, StructType):
+        return all(orderable(f.dataType) for f in data_type.fields)
+    return not isinstance(data_type, (MapType, VariantType))

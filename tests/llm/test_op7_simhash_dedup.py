@@ -107,3 +107,13 @@ def test_null_ids_repeats_and_empty_table(spark, documents):
     assert sorted((str(r.doc_id), str(r.text), r.text_key) for r in kept.collect()) == [
         ("4", "None", "mine"), ("4", "a b c", "mine"), ("None", "z", "mine"),
     ]
+
+
+def test_ties_do_not_depend_on_the_order_of_rows(spark):
+    rows = [(1, "a b c", "de", "s2", 5), (1, "a b c", None, "s1", 5), (1, "a b c", "de", "s1", 5), (2, "z", "en", None, 1)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    for order in (rows, rows[::-1], rows[1:] + rows[:1]):
+        df = spark.createDataFrame(order, schema).withColumn("text.key", F.create_map(F.lit("k"), F.col("lang")))
+        kept = op.keep_one_per_group(df)
+        assert kept.columns == df.columns
+        assert sorted(tuple(r)[:5] for r in kept.collect()) == [rows[1], rows[3]]
