@@ -5,7 +5,7 @@ columns of ``documents``; the last one encodes what is left:
 
 1. language_id: texts that are null or have no letter are rejected.
 2. near_duplicates: one document of each group of near copies stays; a pair is near if its
-   five-word shingles have a Jaccard similarity of at least 0.8.
+   fingerprints of three-word shingles differ in at most two bits.
 3. decontaminate: documents that overlap an item of ``benchmark`` go.
 4. secrets: secrets are masked in the text.
 5. tokens: texts are encoded to BPE ids and decoded again.
@@ -20,7 +20,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from telemetry_lake.llm import byte_bpe, decontaminate, language_id, minhash_dedup, secret_scan
+from telemetry_lake.llm import byte_bpe, decontaminate, language_id, secret_scan, simhash_dedup
 from telemetry_lake.llm.tables import stored, table
 
 
@@ -29,7 +29,7 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash_dedup.keep_one_per_group(docs)
+    return simhash_dedup.keep_one_per_group(docs)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
