@@ -6,7 +6,7 @@ each bit's loss weighted by how well its classifier did on training rows it had
 A text whose two best codewords are nearly as good as each other is flagged ambiguous.
 
 Only the classifiers are fitted on a bounded sample: ``PER_LANGUAGE`` training rows of each
-language, ``MOST_ROWS`` in all, taken by a hash of the id. Feature vectors of fixed size,
+language, ``MOST_ROWS`` in all, taken by a hash of id and text. Feature vectors of fixed size,
 not texts, reach the driver.
 """
 
@@ -135,14 +135,16 @@ def fit(rows: np.ndarray, languages: list[str], steps: int = 150, rate: float =
 
 
 def training_sample(docs: DataFrame) -> DataFrame:
-    """(doc_id, lang, text) of the bounded sample; never a held-out row or one without letters."""
+    """(doc_id, lang, text, order): training rows of which every language has some more than it needs;
+    never a held-out row or one without letters. Rows are drawn by a hash of id and text, at a share that
+    follows from the number of rows of their language, so no task gathers a language's rows."""
     usable = docs.where((id_crc("doc_id") % 3 != 1) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    keyed = usable.select("doc_id", "lang", F.xxhash64(F.col("doc_id"), F.lit(9)).alias("order"))
-    turn = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
-    picked = stored(keyed.withColumn("turn", turn).where(F.col("turn") <= PER_LANGUAGE), "langid-sample")
-    # At most MOST_ROWS rows: fewer of each where there are many languages.
-    picked = picked.orderBy("turn", "order").limit(MOST_ROWS).select("doc_id", "lang").distinct()
-    return usable.select("doc_id", "lang", "text").join(F.broadcast(picked), ["doc_id", "lang"], "left_semi")
+    keyed = usable.select("doc_id", "lang", "text", F.xxhash64("doc_id", "text", F.lit(9)).alias("order"))
+    rows = keyed.groupBy("lang").agg(F.count("*").alias("rows"))
+    share = F.shiftrightunsigned("order", 11) / float(1 << 53)
+    # So many that fewer than PER_LANGUAGE of a larger language are next to impossible.
+    drawn = keyed.join(rows, "lang").where(share * F.col("rows") < 1.5 * PER_LANGUAGE + 100)
+    return drawn.select("doc_id", "lang", "text", "order")
 
 
 def train(docs: DataFrame) -> Model | None:
@@ -151,11 +153,15 @@ def train(docs: DataFrame) -> Model | None:
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [features(t.as_py()).astype(np.float16).tobytes() for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.string()), batch.column("lang"), pa.array(rows, pa.binary())], ["doc_id", "lang", "v"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("order"), batch.column("lang"), pa.array(rows, pa.binary())], ["order", "lang", "v"]
+            )
 
-    sample = training_sample(docs).mapInArrow(vectors, "doc_id string, lang string, v binary")
-    # Repeated ids can bring more rows than were picked; the bound holds for them too.
-    rows = sample.orderBy("doc_id", "lang", "v").limit(MOST_ROWS).collect()
+    sample = stored(training_sample(docs).mapInArrow(vectors, "order bigint, lang string, v binary"), "langid-sample")
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy("order", "v"))
+    # At most MOST_ROWS rows: fewer of each where there are many languages.
+    picked = sample.withColumn("turn", turn).where(F.col("turn") <= PER_LANGUAGE)
+    rows = picked.orderBy("turn", "order", "lang", "v").limit(MOST_ROWS).orderBy("lang", "order", "v").collect()
     if not rows:
         return None
     return fit(

@@ -44,10 +44,18 @@ def test_lang_of_held_out_rows_is_not_used(documents):
     assert a == b
 
 
-def test_sample_is_bounded(documents, monkeypatch):
-    monkeypatch.setattr(op, "PER_LANGUAGE", 7)
-    counts = dict(op.training_sample(documents(made(300))).groupBy("lang").count().collect())
-    assert counts == {"xa": 7, "xb": 7, "xc": 7}
+def test_sample_is_bounded_and_drawn_evenly(documents):
+    rows = [(i, f"text {i}", "xa" if i % 3 else "xb") for i in range(12_000)]
+    counts = dict(op.training_sample(documents(rows)).groupBy("lang").count().collect())
+    for lang, size in (("xa", 8000), ("xb", 4000)):
+        trained = sum(zlib.crc32(str(i).encode()) % 3 != 1 for i, _, x in rows if x == lang)
+        assert trained > size / 2 and min(op.PER_LANGUAGE, trained) <= counts[lang] <= 2 * op.PER_LANGUAGE
+
+
+def test_table_of_null_ids_learns(documents):
+    rows = [(None, t, lang) for _, t, lang in made(90)]
+    got = op.identify(documents(rows), op.train(documents(rows))).collect()
+    assert {r.lang_pred for r in got} == {"xa", "xb", "xc"} and not any(r.held_out for r in got)
 
 
 def test_no_rows_to_learn_from(documents):
