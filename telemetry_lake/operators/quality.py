@@ -9,7 +9,14 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    DayTimeIntervalType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from telemetry_lake.session import small_frame
 
@@ -130,17 +137,34 @@ def grown(old: DataType, new: DataType) -> DataType:
 
 
 def type_of_variant(text: str) -> DataType:
-    """The type a JSON reader would give to values with this variant schema."""
+    """The type of values with this variant schema: a fraction is a double, as is a whole number of up
+    to 20 digits among them; whole numbers of more digits are exact decimals."""
     names = {"OBJECT<>": "STRING", "OBJECT<": "STRUCT<", "VARIANT": "STRING", "VOID": "STRING"}
 
     def renamed(match: re.Match) -> str:
         token = match[0]
-        return "DOUBLE" if token.startswith("DECIMAL") else names.get(token, token)
+        if not token.startswith("DECIMAL"):
+            return names.get(token, token)
+        digits, scale = (int(n) for n in re.findall(r"\d+", token))
+        return "DECIMAL(38,0)" if scale == 0 and digits > 20 else "DOUBLE"
 
     tokens = r"`(?:[^`]|``)*`|OBJECT<>?|(?:VARIANT|VOID|DECIMAL\(\d+, ?\d+\))(?!:)"
     return type_from_name(re.sub(tokens, renamed, text))
 
 
+def fields_of_variant(text: str) -> list[StructField]:
+    """The fields of an object's variant schema that have some value in them."""
+    # A field that holds nothing but nulls or empty objects gets a type that no JSON value has.
+    marked = re.sub(r"`(?:[^`]|``)*`|(?<=: )(?:VOID|OBJECT<>)", lambda m: m[0] if m[0][0] == "`" else "INTERVAL DAY", text)
+    empty = {f.name for f in _object_fields(marked) if isinstance(f.dataType, DayTimeIntervalType)}
+    return [f for f in _object_fields(text) if f.name not in empty]
+
+
+def _object_fields(text: str) -> list[StructField]:
+    found = type_of_variant(text)
+    return found.fields if isinstance(found, StructType) else []
+
+
 def merge_schema(registry: DataFrame, discovered: DataFrame) -> DataFrame:
     """Registry and discovered schema side by side, and the type to keep.
 
@@ -193,6 +217,20 @@ def whole_from_text(text: Column, wanted: str) -> tuple[Column, Column]:
     return result, text.isNotNull() & F.coalesce(result != number, F.lit(True))
 
 
+def number_from_text(text: Column, wanted: str) -> tuple[Column, Column]:
+    """A number of a type with fractions from its text, and a flag for texts that are none or that the
+    type would round: a number has to read back from the result as it was written."""
+    result = text.try_cast(wanted)
+    whole = text.rlike(r"^\s*[+-]?[0-9]+\s*$")
+    back = result.cast("string")
+    exact = F.when(whole, text.try_cast("decimal(38,0)") == back.try_cast("decimal(38,0)")).when(
+        ~text.rlike("[eE]"), text.try_cast("decimal(38,18)") == back.try_cast("decimal(38,18)")
+    )
+    # With an exponent the text is a double already.
+    exact = F.coalesce(exact, text.rlike("[eE]") & ~F.isnan(result.cast("double")))
+    return result, text.isNotNull() & (result.isNull() | ~exact)
+
+
 def nested_in_text(text: Column, wanted: DataType) -> tuple[Column, Column]:
     """A nested value read from JSON text, and whether all it shares with the type fits."""
     corrupt = "_corrupt_record"

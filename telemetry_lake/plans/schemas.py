@@ -69,7 +69,7 @@ def record_schemas(
         (c.table_name, c.column_name, c.data_type, now) for c in checks if c.data_type != c.old_type
     ]
     drifted = [
-        (c.table_name, c.column_name, c.old_type, c.new_type)
+        (c.table_name, c.column_name, c.old_type or c.data_type, c.new_type)
         for c in checks
         if c.status == "conflict"
     ]

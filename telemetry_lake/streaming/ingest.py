@@ -23,10 +23,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import (
     ArrayType,
     DataType,
-    DoubleType,
+    FractionalType,
     IntegralType,
-    LongType,
-    NumericType,
     StringType,
     StructField,
     StructType,
@@ -39,10 +37,11 @@ from telemetry_lake.functions.routing import (
     table_of_name,
 )
 from telemetry_lake.operators.quality import (
-    castable,
+    fields_of_variant,
     grown,
     nested_from_text,
     nested_in_text,
+    number_from_text,
     repaired,
     type_from_name,
     type_of_variant,
@@ -67,6 +66,8 @@ UNREADABLE = "unreadable_schema"
 BAD_DATE = "bad_date"
 TYPE_CONFLICT = "type_conflict:"
 
+# The type of a field that is read but makes no column: the date, and names the lake keeps for itself.
+SPECIAL = "special"
 MISSING = "missing"
 AGAIN = "again-"
 
@@ -309,18 +310,24 @@ def ingest_page(
             return {table: future.result() for table, future in running.items()}
 
         known = submit(known_columns, spark, lake, set(names))
-        aside = submit(quarantine_files, spark, lake, batch, None, unrouted, UNROUTABLE)
-        schemas = for_each_table(lambda table: infer_schema(spark, by_table[table]))
-        columns = merge_page_schemas(spark, lake, batch, schemas, known.result(), by_table)
-
-        def write(table: str) -> dict[str, tuple[int, int]]:
-            if not schemas[table].fields and not columns[table]:
-                return quarantine_files(spark, lake, batch, table, by_table[table], MALFORMED)
-            return write_table(
-                spark, lake, batch, table, by_table[table], schemas[table], columns[table]
-            )
-
-        counts = for_each_table(write)
+        aside = submit(quarantine_files, spark, lake, batch, unrouted, UNROUTABLE)
+        # Read once, for the schemas and for all tables.
+        lines = page_lines(spark, [f for table in names for f in by_table[table]])
+        lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            found = file_schemas(lines)
+            schemas = {t: [(f.name, found[f.name]) for f in in_order(by_table[t]) if f.name in found] for t in names}
+            columns = merge_page_schemas(lake, batch, spark, schemas, known.result(), lines)
+
+            def write(table: str) -> dict[str, tuple[int, int]]:
+                own = lines.where(F.col("table_name") == table).select("file", "line")
+                if not schemas[table] and table not in columns:
+                    return quarantine_lines(own, lake, batch, table, MALFORMED)
+                return write_table(lake, batch, table, own, columns[table])
+
+            counts = for_each_table(write)
+        finally:
+            lines.unpersist()
         counts[None] = aside.result()
 
     seconds = time.monotonic() - started
@@ -336,103 +343,123 @@ def ingest_page(
     lake.write_log(spark, "audit", batch, audit, AUDIT_SCHEMA)
 
 
-def infer_schema(spark: SparkSession, files: list[LandingFile]) -> StructType:
-    """Schema of a table's files, every spelling of a name a field of its own; without fields
-    if no line is a JSON object that has some."""
-    exact = spark.newSession()
-    exact.conf.set("spark.sql.caseSensitive", True)
-    found = exact.read.json([literal_path(f.path) for f in files]).schema
-    return StructType([f for f in found.fields if f.name != CORRUPT])
+def in_order(files: list[LandingFile]) -> list[LandingFile]:
+    """Files as the stream takes them, the oldest first, however many make a page."""
+    return sorted(files, key=lambda f: (f.modified, f.path))
+
+
+def page_lines(spark: SparkSession, files: list[LandingFile]) -> DataFrame:
+    """(table_name, file, line) of the files of a page."""
+    tables = small_frame(spark, [(f.name, f.table) for f in files], "name string, table_name string")
+    # A page's file names at most.
+    named = read_lines(spark, files).withColumn("name", decoded_name(F.col("file")))
+    return named.join(F.broadcast(tables.distinct()), "name").select("table_name", "file", "line")
 
 
-def common_type(types: list[DataType]) -> DataType:
-    """The type of a new column whose spellings were seen with these types."""
-    kept = types[0]
-    for other in types[1:]:
-        if type(other) is type(kept):
-            kept = grown(kept, other)
-        elif {type(kept), type(other)} <= {LongType, DoubleType}:
-            kept = DoubleType()
-        else:
-            kept = StringType()
-    return kept
+def file_schemas(lines: DataFrame) -> dict[str, list[StructField]]:
+    """Fields of the JSON objects of each file that has any, every spelling of a name a field of its own."""
+    items = F.when(is_array_line(), F.from_json("line", "array<string>")).otherwise(F.array("line"))
+    objects = lines.select("file", F.explode(items).alias("text")).where(F.ltrim("text").startswith("{"))
+    value = F.try_parse_json("text")
+    found = objects.where(value.isNotNull()).groupBy("file").agg(F.schema_of_variant_agg(value).alias("t"))
+    named = found.select(decoded_name(F.col("file")).alias("file"), "t")
+    return {r.file: fields_of_variant(r.t) for r in named.collect()}
+
+
+def is_array_line() -> Column:
+    return F.ltrim("line").startswith("[")
 
 
 def merge_page_schemas(
-    spark: SparkSession,
     lake: Lake,
     batch: str,
-    schemas: dict[str, StructType],
+    spark: SparkSession,
+    schemas: dict[str, list[tuple[str, list[StructField]]]],
     known: list[tuple[str, str, str]],
-    files: dict[str, list[LandingFile]],
+    lines: DataFrame,
 ) -> dict[str, list[TableColumn]]:
-    """Merge all inferred schemas of a page into the registry and plan each table's columns.
-    Names that differ only in case are one column, spelled as in the registry."""
+    """Merge the fields of a page's files, given in their order, into the registry and plan the columns of
+    each table that has any record. Names that differ only in case are one column, spelled as in the registry.
+
+    The type of a new column is that of the first file with a value in it, so it does not depend
+    on how many files make a page.
+    """
     spelling = {(table, name.lower()): name for table, name, _ in known}
     types = {(table, name): type_from_name(data_type) for table, name, data_type in known}
-    sources: dict[tuple[str, str], list[Source]] = defaultdict(list)
-    dated = set()
-    for table, schema in schemas.items():
-        for field in schema.fields:
-            if field.name.lower() == lake.date_column.lower():
-                dated.add(table)
-            elif field.name.lower() != BATCH:
-                name = spelling.setdefault((table, field.name.lower()), field.name)
-                sources[table, name].append(Source(field.name, field.dataType))
+    # The types of each spelling of a column, with their file.
+    seen: dict[tuple[str, str], list[tuple[str, Source]]] = defaultdict(list)
+    special: dict[str, dict[str, Source]] = defaultdict(dict)
+    for table, files in schemas.items():
+        for file, fields in files:
+            for field in fields:
+                if field.name.lower() in (lake.date_column.lower(), BATCH):
+                    special[table][field.name] = Source(field.name, StringType())
+                else:
+                    name = spelling.setdefault((table, field.name.lower()), field.name)
+                    seen[table, name].append((file, Source(field.name, field.dataType)))
 
     found, mixed = [], {}
-    for (table, name), seen in sources.items():
-        common = common_type([s.data_type for s in seen])
-        # The first batch to name a nested column may spell its fields in several ways.
-        old = types.get((table, name), grown(common, common))
-        if isinstance(old, (ArrayType, StructType)) and any(
-            widened(old, s.data_type) is None for s in seen
-        ):
-            if (table, name) in types:
-                mixed[table, name] = type_text(common)
-            fitting = fitting_type(spark, files[table], [s.name for s in seen], old)
-            common = grown(old, fitting)
-        found.append((table, name, type_text(common)))
+    for (table, name), values in seen.items():
+        first = values[0][1].data_type
+        kept = types.get((table, name), grown(first, first))
+        nested = isinstance(kept, (ArrayType, StructType))
+        others = [s.data_type for _, s in values if widened(kept, s.data_type) is None]
+        if others:
+            mixed[table, name] = type_text(others[0])
+        fitting = {}
+        if nested and others:
+            fitting = fitting_types(lines.where(F.col("table_name") == table), values, kept)
+        for file, source in values if nested else []:
+            more = widened(kept, source.data_type)
+            kept = grown(kept, fitting.get((file, source.name), kept)) if more is None else more
+        found.append((table, name, type_text(kept)))
+    # A table without columns so far is known by its date.
     with_columns = {table for table, _, _ in [*found, *known]}
-    found += [(table, lake.date_column, "date") for table in dated - with_columns]
+    found += [(table, lake.date_column, "date") for table, files in schemas.items() if files and table not in with_columns]
 
-    columns: dict[str, list[TableColumn]] = {table: [] for table in schemas}
+    tables = {table for table, files in schemas.items() if files} | {table for table, _, _ in known}
+    columns: dict[str, list[TableColumn]] = {table: [] for table in tables}
+    for table in tables:
+        columns[table] += [TableColumn(s.name, SPECIAL, [s]) for s in special[table].values()]
     for c in record_schemas(spark, lake, batch, found, known, mixed):
         if c.column_name != lake.date_column:
-            seen = sources.get((c.table_name, c.column_name), [])
-            columns[c.table_name].append(TableColumn(c.column_name, c.data_type, seen))
+            sources: dict[str, Source] = {}
+            for _, s in seen.get((c.table_name, c.column_name), []):
+                same = sources.setdefault(s.name, s)
+                if same.data_type != s.data_type:
+                    sources[s.name] = Source(s.name, StringType())
+            columns[c.table_name].append(TableColumn(c.column_name, c.data_type, list(sources.values())))
     return columns
 
 
-def fitting_type(
-    spark: SparkSession, files: list[LandingFile], names: list[str], old: DataType
-) -> DataType:
-    """Type of a nested column's values in those that fit the old type as far as it goes. A
-    pass of its own, made only where other values do not fit."""
-    schema = StructType([StructField(name, StringType(), True) for name in names])
-    records = parse_lines(read_lines(spark, files), schema)
-    texts = F.array(*[F.col("record").getField(f"f{i}") for i in range(len(names))])
-    values = records.select(F.explode(texts).alias("text"))
+def fitting_types(
+    lines: DataFrame, values: list[tuple[str, Source]], old: DataType
+) -> dict[tuple[str, str], DataType]:
+    """Per file and spelling, the type of a nested column's values in those that fit the old type as far
+    as it goes. A pass of its own over the stored lines, made only where other values do not fit."""
+    names = sorted({s.name for _, s in values})
+    records = parse_lines(lines, StructType([StructField(name, StringType(), True) for name in names]))
+    texts = F.array(*[F.struct(F.lit(n).alias("name"), F.col("record").getField(f"f{i}").alias("text")) for i, n in enumerate(names)])
+    cells = records.select("file", F.explode(texts).alias("c")).select(decoded_name(F.col("file")).alias("file"), "c.name", "c.text")
     _, fits = nested_in_text(F.col("text"), old)
-    found = values.where(fits).agg(F.schema_of_variant_agg(F.try_parse_json("text")).alias("t"))
-    return type_of_variant(found.first()["t"])
+    found = cells.where(fits).groupBy("file", "name").agg(F.schema_of_variant_agg(F.try_parse_json("text")).alias("t"))
+    return {(r.file, r["name"]): type_of_variant(r.t) for r in found.collect()}
 
 
 def column_value(
-    spark: SparkSession, seen: DataType, wanted: DataType
+    seen: DataType, wanted: DataType
 ) -> tuple[DataType, Callable[[Column], tuple[Column, Column | None]]]:
     """The type to read a field as, and what makes of it the column's value and a flag for
-    the values that do not fit. It is decided value by value: others of the page do not count,
-    but that a double column takes any number as soon as the page has a fraction in it."""
-    text, found = type_text(wanted), type_text(seen)
+    the values that do not fit. It is decided value by value: others of the page do not count."""
+    text = type_text(wanted)
+    if isinstance(wanted, FractionalType):
+        return StringType(), lambda value: number_from_text(value, text)
     if isinstance(wanted, StringType) or widened(wanted, seen) == wanted:
         return wanted, lambda value: (value, None)
     if isinstance(wanted, (ArrayType, StructType)):
         return StringType(), lambda value: nested_from_text(value, wanted)
     if isinstance(wanted, IntegralType):
         return StringType(), lambda value: whole_from_text(value, text)
-    if isinstance(seen, NumericType) and castable(spark, found, text):
-        return seen, lambda value: repaired(value, found, text)
     return StringType(), lambda value: repaired(value, "string", text)
 
 
@@ -444,30 +471,26 @@ def parse_lines(lines: DataFrame, schema: StructType) -> DataFrame:
     a comma or without, makes it malformed instead of being dropped. A line that is an array
     gives its items.
     """
-    line = F.col("line")
-    is_array = F.ltrim(line).startswith("[")
+    line, is_array = F.col("line"), is_array_line()
     text = F.when(is_array, line).otherwise(F.concat(F.lit("["), line, F.lit("]")))
     numbered = [StructField(f"f{i}", f.dataType) for i, f in enumerate(schema.fields)]
     records = F.from_json(text, ArrayType(schema)).cast(ArrayType(StructType(numbered)))
-    records = F.when(is_array | (F.size(records) <= 1), records)
+    # What has no variant, as a name given twice, would lose something.
+    whole = F.try_parse_json(line).isNotNull()
+    records = F.when(whole & (is_array | (F.size(records) <= 1)), records)
     return lines.where(F.trim(line) != "").withColumn("record", F.explode_outer(records))
 
 
-def checked_rows(
-    spark: SparkSession,
-    lines: DataFrame,
-    schema: StructType,
-    columns: list[TableColumn],
-    date_column: str,
-) -> DataFrame:
+def checked_rows(lines: DataFrame, columns: list[TableColumn], date_column: str) -> DataFrame:
     """``file``, ``line``, the ``reason`` to set the line aside or NULL, and ``row``: the
     table's columns in a struct, of the registry's types.
 
     A line is unreadable if it has a value under two spellings of one name, or under a name
     that the lake keeps for itself.
     """
-    read = {f.name: f.dataType for f in schema.fields}
-    position = {f.name: f"f{i}" for i, f in enumerate(schema.fields)}
+    read = {s.name: s.data_type for column in columns for s in column.sources}
+    position = {name: f"f{i}" for i, name in enumerate(read)}
+    columns = [c for c in columns if c.data_type != SPECIAL]
 
     def field(name: str) -> Column:
         return F.col("record").getField(position[name])
@@ -477,7 +500,7 @@ def checked_rows(
         wanted = type_from_name(column.data_type)
         options = []
         for source in column.sources:
-            read[source.name], convert = column_value(spark, source.data_type, wanted)
+            read[source.name], convert = column_value(source.data_type, wanted)
             value, lost = convert(field(source.name))
             options.append(value)
             if lost is not None:
@@ -529,21 +552,14 @@ def counts_by_file(rows: DataFrame, good: Column, bad: Column) -> dict[str, tupl
 
 
 def write_table(
-    spark: SparkSession,
-    lake: Lake,
-    batch: str,
-    table: str,
-    files: list[LandingFile],
-    schema: StructType,
-    columns: list[TableColumn],
+    lake: Lake, batch: str, table: str, lines: DataFrame, columns: list[TableColumn]
 ) -> dict[str, tuple[int, int]]:
     """Write a table's part of a page; (good, bad) row counts by file name.
 
     The parsed page is kept on the executors for its three uses. If it is lost it is
     parsed again from the landing files.
     """
-    rows = checked_rows(spark, read_lines(spark, files), schema, columns, lake.date_column)
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = checked_rows(lines, columns, lake.date_column).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good, bad = F.col("reason").isNull(), F.col("reason").isNotNull()
         counts = counts_by_file(rows, good, bad)
@@ -568,17 +584,16 @@ def write_batch(df: DataFrame, path: str, batch: str, date_column: str) -> None:
 
 
 def quarantine_files(
-    spark: SparkSession,
-    lake: Lake,
-    batch: str,
-    table: str | None,
-    files: list[LandingFile],
-    reason: str,
+    spark: SparkSession, lake: Lake, batch: str, files: list[LandingFile], reason: str
 ) -> dict[str, tuple[int, int]]:
     """Set whole files aside, line by line; (0, lines) by file name."""
-    if not files:
-        return {}
-    lines = read_lines(spark, files).where(F.trim("line") != "")
+    return quarantine_lines(read_lines(spark, files), lake, batch, None, reason) if files else {}
+
+
+def quarantine_lines(
+    lines: DataFrame, lake: Lake, batch: str, table: str | None, reason: str
+) -> dict[str, tuple[int, int]]:
+    lines = lines.where(F.trim("line") != "")
     counts = counts_by_file(lines, F.lit(False), F.lit(True))
     if counts:
         set_aside(lines, lake, batch, table, F.lit(reason))
