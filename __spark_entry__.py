@@ -26,7 +26,7 @@ from telemetry_lake.plans import schemas  # noqa: E402
 from telemetry_lake.plans.lake import Lake  # noqa: E402
 from telemetry_lake.session import small_frame, work_dir  # noqa: E402
 from telemetry_lake.sources import scans  # noqa: E402
-from telemetry_lake.sources.workspace import Workspace, Workspaces  # noqa: E402
+from telemetry_lake.sources.workspace import Workspace, Workspaces, folder_tables  # noqa: E402
 from telemetry_lake.streaming import ingest, lines  # noqa: E402
 
 try:  # the training-data operators and their pipeline are optional
@@ -68,6 +68,14 @@ MIXED_LINE = """case event_id % 9
     else concat('{"event_id":', event_id, ',"s":{"x":', user_id,
         '},"report_date":"', cast(cast(ts as date) as string), '"}') end"""
 DRIFTED = "case when event_id % 7 = 0 then 'n/a' else cast(user_id as string) end"
+# Numbers as JSON writes them, and the order in which files of them land.
+JSON_NUMBER = "concat('{{\"v\":', {}, '}}')"
+NUMBERS = {
+    "fraction": "concat(event_id, '.5')",
+    "whole": "cast(event_id as string)",
+    "big": "cast(9007199254740993 + event_id as string)",
+}
+LANDED_NUMBERS = {"num_a": ["fraction", "big", "whole"], "num_b": ["whole", "fraction", "big"]}
 NAME = (
     "concat(event_type, '_data_', event_id, '_', user_id,"
     " case when event_id % 7 = 0 then concat('_', event_id % 3) else '' end,"
@@ -428,6 +436,54 @@ def ingest_audit(spark, sf_dir):
     )
 
 
+def ingest_cycles(spark, sf_dir):
+    """Two runs over a landing folder, the first in several pages."""
+    lake = new_lake(spark, "cycles")
+    landing, rows = lake.path("landing"), lines_with_faults(spark, sf_dir)
+    late = F.col("table_name").isNull()
+    for number, some in enumerate([rows.where(~late), rows.where(late)], 1):
+        land(some, landing, number)
+        size = _third_of_files(spark, landing)
+        ingest.start_ingest(
+            spark, landing, lake, lake.path("checkpoint"), page_files=size, glob="*.json*"
+        ).awaitTermination()
+    cycles = ingest.cycle_summary(spark, lake)
+    return cycles.select(
+        "rows_done",
+        "rows_bad",
+        (F.col("found_files") == F.col("done_files") + F.col("bad_files")).alias("balanced"),
+        (F.col("file_chunks") > 1).alias("several_pages"),
+        (F.col("process_seconds") > 0).alias("timed"),
+    )
+
+
+def ingest_exact_numbers(spark, sf_dir):
+    """Fractions, whole numbers and whole numbers beyond 2^53 in files one after the other: what is
+    stored and what is set aside, with one file a page and with all files in one."""
+    events = table(spark, sf_dir, "events").select("event_id")
+    kinds = {k: events.select(F.expr(JSON_NUMBER.format(e)).alias("value")) for k, e in NUMBERS.items()}
+    result = None
+    for pages, size in (("one", 1), ("all", 1000)):
+        lake = new_lake(spark, f"numbers-{pages}")
+        landing = lake.path("landing")
+        for name, order in LANDED_NUMBERS.items():
+            for number, kind in enumerate(order, 1):
+                land(kinds[kind].coalesce(1).withColumn("table_name", F.lit(name)), landing, number)
+        ingest.start_ingest(
+            spark, landing, lake, lake.path("checkpoint"), page_files=size, glob="*.json*"
+        ).awaitTermination()
+        opened = lake.open(spark)
+        none = F.lit(None).cast("string")
+        aside = lake.quarantine(spark).select("table_name", "reason", "record", none.alias("stored"))
+        for name in LANDED_NUMBERS:
+            number = F.col("v").cast("decimal(30,1)").cast("string")
+            kept = opened.read(name).select(F.lit(name).alias("table_name"), none.alias("reason"), none.alias("record"), number.alias("stored"))
+            aside = aside.unionByName(kept)
+        part = aside.withColumn("pages", F.lit(pages))
+        result = part if result is None else result.unionByName(part)
+    return result
+
+
 def ingest_mixed_lines(spark, sf_dir):
     """Lines of one page with every kind of fault beside good ones: stored rows and set-aside
     lines together."""
@@ -534,13 +590,17 @@ def report_summary(spark, sf_dir):
 
 
 def table_stats(spark, sf_dir):
-    paths = {name: f"{sf_dir}/{name}.parquet" for name in [*TABLES, "no_such_table"]}
-    stats = quality.table_stats(spark, paths)
+    """All tables of a folder, one that is not there and one whose file is no Parquet."""
+    broken = work_dir(spark, "broken")
+    table(spark, sf_dir, "region").select("r_name").write.text(f"{broken}/bad_footer.parquet")
+    paths = {**folder_tables(spark, sf_dir), "no_such_table": f"{sf_dir}/no_such_table.parquet"}
+    stats = quality.table_stats(spark, {**paths, **folder_tables(spark, broken)})
     return stats.select("table_name", "count", F.array_join("columns", ",").alias("columns"))
 
 
 def schema_discover(spark, sf_dir):
-    return quality.discover(spark, {name: table(spark, sf_dir, name) for name in TABLES})
+    folder = folder_tables(spark, sf_dir)
+    return quality.discover(spark, {name: spark.read.parquet(path) for name, path in folder.items()})
 
 
 def schema_drift(spark, sf_dir):
@@ -645,7 +705,8 @@ QUERIES = [
     json_array_explode, ingest_partitioned, ingest_missing_date, write_multi_partition,
     compact_table, report_csv_roundtrip, report_history, export_csv,
     export_csv_documents, to_json_rows,
-    ingest_quarantine, stream_fanout, stream_archive, ingest_audit, ingest_mixed_lines, filter_since,
+    ingest_quarantine, stream_fanout, stream_archive, ingest_audit, ingest_cycles,
+    ingest_exact_numbers, ingest_mixed_lines, filter_since,
     filter_on_date, project_columns, project_nested, filter_lines_by_table,
     table_name_of_line, key_lines, devices_per_configuration, join_inner_star, count_total,
     count_since, count_by_fw_version, count_by_hardware, count_column, word_count,
@@ -684,6 +745,27 @@ def oracle_sql() -> dict[str, str]:
     return {**own_oracle_sql(), **llm_queries.ORACLE_SQL, **piped}
 
 
+def exact_numbers_sql() -> str:
+    """The first file of a table decides on whole numbers or doubles; what does not fit is set aside."""
+    written = {k: e.replace("as string", "as varchar") for k, e in NUMBERS.items()}
+    parts = []
+    for name, order in LANDED_NUMBERS.items():
+        for kind in order:
+            text = written[kind]
+            lost = {
+                ("num_a", "big"): "(9007199254740993 + event_id) % 2 = 1",
+                ("num_b", "fraction"): "true",
+            }.get((name, kind), "false")
+            shown = text if kind == "fraction" else f"concat({text}, '.0')"
+            parts.append(
+                f"""select '{name}' as table_name, case when {lost} then 'type_conflict:v' end as reason,
+                case when {lost} then {JSON_NUMBER.format(text)} end as record,
+                case when not ({lost}) then {shown} end as stored from events"""
+            )
+    rows = " union all ".join(parts)
+    return f"select * from ({rows}), (values ('one'), ('all')) as sizes(pages)"
+
+
 def own_oracle_sql() -> dict[str, str]:
     described = " union all ".join(
         f"select '{t}' as table_name, column_name, {SQL_TYPES} as data_type from (describe {t})"
@@ -756,6 +838,11 @@ def own_oracle_sql() -> dict[str, str]:
             event_type as report_table, event_id, user_id, value, {DAY} as report_date
             from events where {GOOD_LINE}""",
         "stream_archive": f"select {LANDED} as value from events",
+        "ingest_cycles": f"""select count(*) filter (where {GOOD_LINE}) as rows_done,
+            count(*) filter (where not ({GOOD_LINE})) as rows_bad, true as balanced,
+            not ({UNROUTED}) as several_pages, true as timed
+            from events group by {UNROUTED}""",
+        "ingest_exact_numbers": exact_numbers_sql(),
         "ingest_mixed_lines": f"""select case event_id % 9 when 1 then 'malformed_json'
                 when 3 then 'type_conflict:s' when 2 then 'unreadable_schema'
                 when 5 then 'unreadable_schema' end as reason,
@@ -800,7 +887,7 @@ def own_oracle_sql() -> dict[str, str]:
         "report_summary": """select count(*) as total_reports_count,
             count(*) filter (where cast(ts as date) >= date '2024-01-29') as last_reports_count
             from events""",
-        "table_stats": f"{stats} union all select 'no_such_table', -1, ''",
+        "table_stats": f"{stats} union all select name, -1, '' from (values ('no_such_table'), ('bad_footer')) as bad(name)",
         "schema_discover": described,
         "schema_files": described,
         "schema_drift": f"""with before as (select column_name, {SQL_TYPES} as old_type

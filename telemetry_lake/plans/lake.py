@@ -36,7 +36,7 @@ QUARANTINE_SCHEMA = "file_name string, reason string, record string, table_name
 DRIFT_SCHEMA = "table_name string, column_name string, old_type string, new_type string"
 AUDIT_SCHEMA = (
     "table_name string, file_name string, status string, bytes bigint,"
-    " rows_done bigint, rows_bad bigint, process_seconds double, path string, modified bigint"
+    " rows_done bigint, rows_bad bigint, process_seconds double, path string, modified bigint, cycle string"
 )
 CLAIM_SCHEMA = "path string, file_name string, bytes bigint, table_name string, modified bigint"
 ENTRY_SCHEMA = f"{REGISTRY_SCHEMA}, entered double"

@@ -170,11 +170,14 @@ def start_ingest(
     def page(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         run = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        # A stream that runs on has a cycle a trigger; one over what is there is a cycle as a whole.
+        started = session.sparkContext.getLocalProperty("spark.jobGroup.id")
+        cycle = started if interval is None else f"{started}-{batch_id:010d}"
         routed = batch.withColumn("table_name", table_of_name(F.col("name"), pattern))
         # At most page_files rows, and only names and sizes.
         files = {r.path: landing_file(r) for r in routed.collect()}
         ingest_page(
-            session, lake, f"{run}-{batch_id:010d}", list(files.values()), parallel_tables
+            session, lake, f"{run}-{batch_id:010d}", list(files.values()), parallel_tables, cycle
         )
 
     writer = (
@@ -220,13 +223,13 @@ def ingest_again(
     """
     claims = lake.log(spark, "claims", CLAIM_SCHEMA).where(F.col(BATCH).startswith(AGAIN))
     cut_off = claims.join(lake.audit(spark).select(BATCH).distinct(), BATCH, "left_anti")
-    pages = 0
+    pages, cycle = 0, f"{AGAIN}{time.time_ns():020d}"
     for key in [r[BATCH] for r in cut_off.select(BATCH).distinct().collect()]:
         claimed = cut_off.where(F.col(BATCH) == key).select("path", "bytes", "modified")
         there = discover_landing(spark, landing, glob, pattern).join(
             claimed.withColumnRenamed("bytes", "length"), ["path", "length", "modified"], "left_semi"
         )
-        ingest_page(spark, lake, key, [landing_file(r) for r in there.collect()], parallel_tables)
+        ingest_page(spark, lake, key, [landing_file(r) for r in there.collect()], parallel_tables, cycle)
         pages += 1
     done = lake.audit(spark).select("path", F.col("bytes").alias("length"), "modified")
     while True:
@@ -236,7 +239,7 @@ def ingest_again(
         files = [landing_file(r) for r in page.collect()]
         if not files:
             return pages
-        ingest_page(spark, lake, f"{AGAIN}{time.time_ns():020d}", files, parallel_tables)
+        ingest_page(spark, lake, f"{AGAIN}{time.time_ns():020d}", files, parallel_tables, cycle)
         done = lake.audit(spark).select("path", F.col("bytes").alias("length"), "modified")
         pages += 1
 
@@ -287,8 +290,9 @@ def ingest_page(
     batch: str,
     files: list[LandingFile],
     parallel_tables: int = 8,
+    cycle: str | None = None,
 ) -> None:
-    """Ingest one page of files under a batch key."""
+    """Ingest one page of files under a batch key; ``cycle`` names the run it is part of."""
     started = time.monotonic()
     files, gone = claim_page(spark, lake, batch, files)
     if not files and not gone:
@@ -336,10 +340,10 @@ def ingest_page(
         done, bad = counts[file.table].get(file.name, (0, 0))
         status = "bad" if file.table is None or (bad and not done) else "done"
         landed = (file.path, file.modified)
-        audit.append((file.table, file.name, status, file.size, done, bad, seconds, *landed))
+        audit.append((file.table, file.name, status, file.size, done, bad, seconds, *landed, cycle))
     for file in gone:
         landed = (file.path, file.modified)
-        audit.append((file.table, file.name, MISSING, file.size, 0, 0, seconds, *landed))
+        audit.append((file.table, file.name, MISSING, file.size, 0, 0, seconds, *landed, cycle))
     lake.write_log(spark, "audit", batch, audit, AUDIT_SCHEMA)
 
 
@@ -635,3 +639,27 @@ def audit_summary(spark: SparkSession, lake: Lake, *by: str) -> DataFrame:
             F.max("process_seconds").alias("longest_page_seconds"),
         )
     )
+
+
+def cycle_summary(spark: SparkSession, lake: Lake) -> DataFrame:
+    """One row per ingest cycle: found files, the pages they were taken in, done, bad and missing files,
+    rows, and the seconds its pages took together.
+
+    A cycle is one run over what had landed, one trigger of a stream that runs on, or one call of
+    ``ingest_again``. A run that found nothing new has no row; a page done again after a failure
+    belongs to the run that finished it.
+    """
+    pages = lake.audit(spark).groupBy("cycle", BATCH).agg(
+        F.count(F.lit(1)).alias("found_files"),
+        F.count_if(F.col("status") == "done").alias("done_files"),
+        F.count_if(F.col("status") == "bad").alias("bad_files"),
+        F.count_if(F.col("status") == MISSING).alias("missing_files"),
+        F.sum("rows_done").alias("rows_done"),
+        F.sum("rows_bad").alias("rows_bad"),
+        # The same for all files of a page.
+        F.max("process_seconds").alias("process_seconds"),
+    )
+    numbers = ["found_files", "done_files", "bad_files", "missing_files", "rows_done", "rows_bad", "process_seconds"]
+    return pages.groupBy("cycle").agg(
+        F.count(F.lit(1)).alias("file_chunks"), *[F.sum(n).alias(n) for n in numbers]
+    )
