@@ -9,11 +9,13 @@ page claims its files before it writes; files another batch has finished are lef
 
 from __future__ import annotations
 
+import operator
 import time
 from collections import defaultdict
 from collections.abc import Callable
 from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.errors import AnalysisException
@@ -506,6 +508,10 @@ def checked_rows(lines: DataFrame, columns: list[TableColumn], date_column: str)
         for source in column.sources:
             read[source.name], convert = column_value(source.data_type, wanted)
             value, lost = convert(field(source.name))
+            if isinstance(wanted, StructType):
+                # An empty object is no value, as it is where the column is not known yet.
+                filled = [value.getField(f.name).isNotNull() for f in wanted.fields]
+                value = F.when(reduce(operator.or_, filled, F.lit(False)), value)
             options.append(value)
             if lost is not None:
                 conflicts.append((column.name, lost))

@@ -238,6 +238,86 @@ def test_pages_hold_at_most_the_given_files(spark, landing, lake):
     assert (cycle.found_files, cycle.done_files, cycle.bad_files, cycle.rows_done) == (7, 7, 0, 7)
 
 
+def test_result_does_not_depend_on_paging(spark, tmp_path):
+    """Rows, types, quarantine and drift of the same files, one a page, two a page, and all in one."""
+    files = {
+        "a_1_0.json": ['{"v":1.5,"n":null,"s":{}}', '{"v":null}'],
+        "a_2_0.json": ['{"v":9007199254740993,"n":1,"s":{"x":1}}', '{"v":9007199254740992}', '{"N":7}'],
+        "a_3_0.json": ['{"v":2,"n":2.5,"s":{"x":"no","y":2}}', '{"v":0.1,"s":{"x":2,"z":"new"}}', '{"v":1e300}', '{"v":"NaN"}'],
+        "b_4_0.json": ['{"v":1}'],
+        "b_5_0.json": ['{"v":2.5}', '{"v":2.0}', '{"v":123456789012345678901234567890}'],
+        "b_6_0.json": ['{"v":9007199254740993}', '{"v":true}', '{"v":"4"}', "{'v':5}", '{"v":6,"w":1,"w":2}', "[]", "7", '[{"v":8},{"v":9}]'],
+        "c_7_0.json": ["{}", '{"q":null}'],
+        "c_8_0.json": ['{"q":12345678901234567890123}'],
+        "c_9_0.json": ['{"q":12345678901234567890124}', '{"q":1}', '{"q":0.5}', '{"q":true}'],
+    }
+    results = []
+    for size in (1, 2, 100):
+        landing, own = tmp_path / f"landing-{size}", Lake(str(tmp_path / f"lake-{size}"))
+        landing.mkdir()
+        for i, (name, texts) in enumerate(files.items()):
+            path = put(landing, name, *texts)
+            os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+        run(spark, landing, own, page_files=size)
+        opened = own.open(spark)
+        drift = {(r.table_name, r.column_name) for r in own.drift(spark).collect()}
+        results.append(
+            (
+                {t: (opened.columns(t).simpleString(), rows(spark, own, t)) for t in opened.tables},
+                quarantined(spark, own),
+                drift,
+                audited(spark, own),
+            )
+        )
+    for other in results[1:]:
+        for one, two in zip(results[0], other, strict=True):
+            assert one == two
+    tables, aside, drift, _ = results[0]
+    assert tables["a"][0] == "struct<N:bigint,s:struct<x:bigint,z:string>,v:double,report_date:date>"
+    assert tables["b"] == ("struct<v:bigint,report_date:date>", sorted([(1, None), (2, None), (4, None), (8, None), (9, None), (9007199254740993, None)], key=repr))
+    assert tables["c"][0] == "struct<q:decimal(38,0),report_date:date>" and len(tables["c"][1]) == 5
+    reasons = {(t, record): reason for t, _, reason, record in aside}
+    assert reasons == {
+        ("a", files["a_2_0.json"][0]): "type_conflict:v",
+        ("a", files["a_3_0.json"][0]): "type_conflict:N",
+        ("a", '{"v":"NaN"}'): "type_conflict:v",
+        ("b", files["b_5_0.json"][0]): "type_conflict:v",
+        ("b", files["b_5_0.json"][2]): "type_conflict:v",
+        ("b", files["b_6_0.json"][1]): "type_conflict:v",
+        ("b", "{'v':5}"): "malformed_json",
+        ("b", '{"v":6,"w":1,"w":2}'): "malformed_json",
+        ("b", "[]"): "malformed_json",
+        ("b", "7"): "malformed_json",
+        ("c", '{"q":0.5}'): "type_conflict:q",
+        ("c", '{"q":true}'): "type_conflict:q",
+    }
+    assert ("a", "N") in drift and ("b", "v") in drift
+
+
+def test_cycles_add_up_their_pages(spark, landing, lake):
+    for i in range(5):
+        put(landing, f"t_{i}_0.json", {"a": i}, *(["broken"] if i == 3 else []))
+    run(spark, landing, lake, page_files=2)
+    put(landing, "t_9_0.json", "bad")
+    run(spark, landing, lake, page_files=2)
+    run(spark, landing, lake, page_files=2)
+    got = ingest.cycle_summary(spark, lake).collect()
+    numbers = sorted((r.file_chunks, r.found_files, r.done_files, r.bad_files, r.rows_done, r.rows_bad) for r in got)
+    assert numbers == [(1, 1, 0, 1, 0, 1), (3, 5, 5, 0, 5, 1)]
+    pages = ingest.audit_summary(spark, lake, BATCH).collect()
+    assert sum(r.process_seconds for r in got) == pytest.approx(sum(p.longest_page_seconds for p in pages))
+
+
+def test_page_reads_its_files_once(spark, landing, lake, monkeypatch):
+    for t in "abc":
+        put(landing, f"{t}_1_0.json", {"x": 1})
+    reads = []
+    plain = ingest.read_lines
+    monkeypatch.setattr(ingest, "read_lines", lambda spark, files: reads.append(len(files)) or plain(spark, files))
+    run(spark, landing, lake)
+    assert reads == [3]
+
+
 def test_restart_takes_only_new_files(spark, landing, lake):
     put(landing, "t_1_0.json", {"a": 1})
     run(spark, landing, lake)
