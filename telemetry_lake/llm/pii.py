@@ -8,13 +8,15 @@ reliable each labeler is and how likely each pattern is personal data. Those est
 the final span classifier, a logistic regression on the votes and on the span's form.
 
 What the strict forms accept is always reported; the classifier adds the candidates that it
-believes in, of other forms and of those that the strict forms refuse (as ``card_other`` and
-so on, so that base kinds keep their meaning). Both counts and training data are tables of patterns, whose number is fixed.
+believes in and that clearly more labelers vote for than against, of other forms and of those that
+the strict forms refuse (as ``card_other`` and so on, so that base kinds keep their meaning). None
+of them overlaps a span of a base kind. Both counts and training data are tables of patterns, whose number is fixed.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,6 +31,10 @@ KINDS = ("email", "ip", "card", "phone")
 #: Besides other forms, the candidates of base kinds that their strict form refuses.
 ADDED = ("phone_local", "email_masked", "national_id", "ip_other", "card_other", "phone_other")
 ALL_KINDS = KINDS + ADDED
+#: Kinds whose strict form has said no already, which counts as a vote against.
+REFUSED = ("ip_other", "card_other", "phone_other")
+#: How many more labelers must vote for an added span than against it.
+LEAD = 2
 #: Belief from which the classifier adds a span.
 SURE = 0.9
 #: Share of candidates that EM takes as personal before it has seen any vote.
@@ -176,7 +182,27 @@ def spans(text: str) -> list[Span]:
             )
         )
     out.sort(key=lambda s: (s.start, ALL_KINDS.index(s.kind)))
-    return out
+    return _outside_of_base(out)
+
+
+def _outside_of_base(found: list[Span]) -> list[Span]:
+    """Spans in order without the added kinds' that share characters with a span of a base kind: part
+    of what is reported already, or glued to it."""
+    starts, ends = [], []
+    for s in found:
+        if not s.base:
+            continue
+        if ends and s.start <= ends[-1]:
+            ends[-1] = max(ends[-1], s.end)
+        else:
+            starts.append(s.start)
+            ends.append(s.end)
+    kept = []
+    for s in found:
+        before = bisect_left(starts, s.end) - 1
+        if s.base or before < 0 or ends[before] <= s.start:
+            kept.append(s)
+    return kept
 
 
 _SPAN = "array<struct<kind:int,start:bigint,end:bigint,base:boolean,pattern:int>>"
@@ -295,14 +321,18 @@ def judged(numbers: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
     parts = pattern_parts(numbers)
     weights = train_classifier(parts, counts, estimate(parts, counts))
     beliefs = 1 / (1 + np.exp(-_features(parts) @ weights))
-    return (beliefs >= SURE) & (parts[:, 0] >= len(KINDS)), beliefs
+    # EM can take a labeler that says yes to nearly all of a kind for the truth. So the votes must agree as well.
+    refused = np.isin(parts[:, 0], [ALL_KINDS.index(k) for k in REFUSED])
+    agreed = (parts[:, 2:5] - 1).sum(axis=1) - refused >= LEAD
+    return (beliefs >= SURE) & (parts[:, 0] >= len(KINDS)) & agreed, beliefs
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
     """One row per document: counts of the base kinds, their digest, and all spans as text.
 
     Null and empty texts have no spans. Repeated rows and null ids are kept. Spans of
-    different kinds may overlap.
+    different base kinds may overlap. Very long texts are read as a whole; an empty table gives no
+    rows, and columns besides doc_id and text play no part, whatever their names.
     """
     found = stored(find_spans(docs), "pii")
     added, _ = accepted_patterns(found)

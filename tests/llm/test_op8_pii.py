@@ -106,3 +106,45 @@ def test_a_repeated_corpus_adds_the_same_spans():
     for times in (100, 10_000):
         again, other = op.judged(numbers, counts * times)
         assert (again == sure).all() and (other == beliefs).all()
+
+
+PLANTED = [  # (text, kinds that are to be added)
+    ("please call {} today", "743-555-3824", ["phone_local"]),
+    ("tel (212) 867-53{:02d}", None, ["phone_local"]),
+    ("ssn 219-45-77{:02d} on file", None, ["national_id"]),
+    ("mail jo{:02d} [at] example [dot] com", None, ["email_masked"]),
+    ("her card 4111 1111 1111 11{:02d} was refused", "bad luhn", ["card_other"]),
+    ("host 256.12.1.{:02d} is down", None, ["ip_other"]),
+    # No card word, an order number, parts of what is reported, and a phone glued to an address.
+    ("a run 4111 1111 1111 11{:02d} of digits", "bad luhn", []),
+    ("order 9999 9999 9999 99{:02d}", "bad luhn", []),
+    ("call +1 (212) 867-53{:02d}", None, []),
+    ("version 256.300.1.{:02d}", None, []),
+    ("section 123-45-67{:02d}", None, []),
+]
+
+
+def test_added_spans_of_planted_truth(documents):
+    rows, truth = [], []
+    for template, note, kinds in PLANTED:
+        for i in range(30):
+            text = template.format(note if template.count("{}") else i)
+            if note == "bad luhn" and op.luhn("".join(c for c in text if c.isdigit())):
+                continue
+            rows.append((len(rows), text))
+            truth.append(kinds)
+    df = documents(rows).withColumns({c: op.F.lit("mine") for c in ("found", "base", "spans", "kind", "pattern")})
+    got = {r.doc_id: [s.split(":")[0] for s in r.spans.split(",") if s.split(":")[0] in op.ADDED] for r in op.personal_data(df).collect()}
+    for kind in op.ADDED:
+        wanted = {i for i, kinds in enumerate(truth) if kind in kinds}
+        found = {i for i, kinds in got.items() if kind in kinds}
+        assert found <= wanted, (kind, [rows[i] for i in found - wanted][:3])
+        assert len(found) >= 0.9 * len(wanted), (kind, len(found), len(wanted))
+
+
+def test_no_added_span_inside_a_reported_one():
+    for text in ["+1 (212) 867-5309", "+49 30 1234567 10.0.0.1", "a@b.com 4111 1111 1111 1111", "x 10.0.0.1 256.1.1.1"]:
+        found = op.spans(text)
+        for s in found:
+            assert s.base or not any(b.base and b.start < s.end and s.start < b.end for b in found)
+    assert [s.kind for s in op.spans("+1 (212) 867-5309")] == ["phone"]
