@@ -140,7 +140,8 @@ def training_sample(docs: DataFrame) -> DataFrame:
     follows from the number of rows of their language, so no task gathers a language's rows."""
     usable = docs.where((id_crc("doc_id") % 3 != 1) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     keyed = usable.select("doc_id", "lang", "text", F.xxhash64("doc_id", "text", F.lit(9)).alias("order"))
-    rows = keyed.groupBy("lang").agg(F.count("*").alias("rows"))
+    # Stored, so that its size is known before the join is planned and the texts need not move.
+    rows = stored(keyed.groupBy("lang").agg(F.count("*").alias("rows")), "langid-rows")
     share = F.shiftrightunsigned("order", 11) / float(1 << 53)
     # So many that fewer than PER_LANGUAGE of a larger language are next to impossible.
     drawn = keyed.join(rows, "lang").where(share * F.col("rows") < 1.5 * PER_LANGUAGE + 100)
