@@ -21,6 +21,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from telemetry_lake.functions import joblog, routing, text  # noqa: E402
 from telemetry_lake.operators import quality, reports, sinks  # noqa: E402
 from telemetry_lake.operators.compact import compact_table as compact_lake_table  # noqa: E402
+from telemetry_lake.operators.compact import fold_logs  # noqa: E402
 from telemetry_lake.plans.daily_report import run_report  # noqa: E402
 from telemetry_lake.plans import schemas  # noqa: E402
 from telemetry_lake.plans.lake import Lake  # noqa: E402
@@ -67,6 +68,8 @@ MIXED_LINE = """case event_id % 9
     when 5 then concat('{"event_id":', event_id, ',"EVENT_ID":1}')
     else concat('{"event_id":', event_id, ',"s":{"x":', user_id,
         '},"report_date":"', cast(cast(ts as date) as string), '"}') end"""
+MIXED_ARRAY = """case when event_id % 5 = 0 then props when event_id % 5 = 1 then '[1,'
+    else concat('[', props, ',', event_id, ',"x",null,[', user_id, '],{"k":1.5}]') end"""
 DRIFTED = "case when event_id % 7 = 0 then 'n/a' else cast(user_id as string) end"
 # Numbers as JSON writes them, and the order in which files of them land.
 JSON_NUMBER = "concat('{{\"v\":', {}, '}}')"
@@ -286,6 +289,13 @@ def json_array_explode(spark, sf_dir):
     return text.explode_json_array(rows, "text", "struct<k:int>")
 
 
+def json_array_any(spark, sf_dir):
+    """Arrays of objects, numbers, texts, nulls and arrays, and texts that are no array."""
+    rows = table(spark, sf_dir, "events").select("event_id", F.expr(MIXED_ARRAY).alias("text"))
+    items = text.with_fields(text.explode_any_array(rows, "text"), "element", {"k": "int"})
+    return items.select("event_id", "position", F.to_json("element").alias("element"), "k")
+
+
 # Sinks and pipelines
 
 
@@ -338,6 +348,43 @@ def compact_table(spark, sf_dir):
     return lake.open(spark).read("events_data").select("event_id", "user_id", "value", shown_date())
 
 
+def count_from_metadata(spark, sf_dir):
+    """Totals of a table whose older dates are compacted, from published and footer counts."""
+    lake = new_lake(spark, "counts")
+    rows = table(spark, sf_dir, "events").select(
+        "value", F.lit("events_data").alias("table_name"), F.expr(LINE).alias("line")
+    )
+
+    def part(where):
+        return rows.where(where).select("table_name", F.col("line").alias("value"))
+
+    land_and_ingest(spark, part(BELOW_50), lake, 1)
+    compact_lake_table(spark, lake, "events_data")
+    land_and_ingest(spark, part(NOT_BELOW_50), lake, 2)
+    counts = lake.open(spark).counts_by_date("events_data")
+    return reports.summary_of_counts(counts, "report_date", AS_OF, days=5)
+
+
+def folded_logs(spark, sf_dir):
+    """Audit and quarantine of several pages, folded in between and after."""
+    lake = new_lake(spark, "folds")
+    rows = lines_with_faults(spark, sf_dir)
+    late = F.col("table_name").isNull()
+    for number, some in enumerate([rows.where(~late), rows.where(late)], 1):
+        landing = lake.path("landing")
+        land(some, landing, number)
+        size = _third_of_files(spark, landing)
+        ingest.start_ingest(
+            spark, landing, lake, lake.path("checkpoint"), page_files=size, glob="*.json*"
+        ).awaitTermination()
+        fold_logs(spark, lake)
+    audit = ingest.audit_summary(spark, lake, "table_name").select("table_name", "rows_done", "rows_bad")
+    aside = lake.quarantine(spark).groupBy("table_name").agg(F.count(F.lit(1)).alias("aside"))
+    return audit.join(aside, audit.table_name.eqNullSafe(aside.table_name), "left").select(
+        audit.table_name, "rows_done", "rows_bad", F.coalesce("aside", F.lit(0)).alias("aside")
+    )
+
+
 def report_csv_roundtrip(spark, sf_dir):
     out = work_dir(spark, "report")
     version = "case event_type when 'view' then null when 'click' then '' else event_type end"
@@ -702,7 +749,7 @@ def parse_job_log(spark, sf_dir):
 QUERIES = [
     scan_json, scan_parquet, append_unpartitioned, scan_with_schema, scan_delimited,
     workspace_read, route_by_filename, route_by_filename_strict, stream_paged_ingest,
-    json_array_explode, ingest_partitioned, ingest_missing_date, write_multi_partition,
+    json_array_explode, json_array_any, count_from_metadata, folded_logs, ingest_partitioned, ingest_missing_date, write_multi_partition,
     compact_table, report_csv_roundtrip, report_history, export_csv,
     export_csv_documents, to_json_rows,
     ingest_quarantine, stream_fanout, stream_archive, ingest_audit, ingest_cycles,
@@ -805,6 +852,19 @@ def own_oracle_sql() -> dict[str, str]:
             true as within_page, true as several_pages from events""",
         "json_array_explode": """select event_id, cast(json_extract_string(props, '$.k') as integer) as k
             from events, (values (1), (2)) as copies(n)""",
+        "json_array_any": """select event_id, position, case position when 0 then replace(props, ' ', '')
+            when 1 then cast(event_id as varchar) when 2 then '"x"' when 3 then 'null'
+            when 4 then concat('[', user_id, ']') else '{"k":1.5}' end as element,
+            case position when 0 then cast(json_extract_string(props, '$.k') as integer) end as k
+            from events, generate_series(0, 5) as places(position) where event_id % 5 > 1""",
+        "count_from_metadata": """select count(*) as total_reports_count,
+            count(*) filter (where cast(ts as date) >= date '2024-01-25') as last_reports_count
+            from events""",
+        "folded_logs": f"""select case when {UNROUTED} then null
+            else concat(event_type, '_data') end as table_name,
+            count(*) filter (where {GOOD_LINE}) as rows_done,
+            count(*) filter (where not ({GOOD_LINE})) as rows_bad,
+            count(*) filter (where not ({GOOD_LINE})) as aside from events group by 1""",
         "ingest_partitioned": f"""select concat(event_type, '_data') as table_name, event_id, user_id,
             value, {DAY} as report_date from events""",
         "ingest_missing_date": f"""select event_id, case when value < 50 then {DAY} end as report_date

@@ -1,4 +1,4 @@
-"""Compaction: many small files per date become few, in a new folder."""
+"""Compaction: many small files per date become few, in a new folder; so do the logs' files."""
 
 from __future__ import annotations
 
@@ -9,12 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetry_lake.operators.sinks import balanced
-from telemetry_lake.plans.lake import BATCH, PUBLISHED_SCHEMA, VERSION, Lake, up_to
+from telemetry_lake.plans.lake import (
+    BATCH,
+    FOLDED,
+    POINTER_SCHEMA,
+    PUBLISHED_SCHEMA,
+    UNDATED,
+    VERSION,
+    Fold,
+    Lake,
+    behind,
+    up_to,
+)
 from telemetry_lake.session import child_folders, literal_path, remove_folder
 
-# Fixed value: the partition folder of rows without a date.
-UNDATED = "__HIVE_DEFAULT_PARTITION__"
-
 
 def compact_folder(df: DataFrame, target: str, date_column: str) -> int:
     """Rewrite a table into a new folder and return its row count.
@@ -35,6 +43,17 @@ def compact_folder(df: DataFrame, target: str, date_column: str) -> int:
     return written
 
 
+def _audited(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The finished batches of streams, once per file."""
+    number = F.substring_index(BATCH, "-", -1)
+    audited = lake.audit(spark).where(number.rlike("^[0-9]{10,}$")).select(BATCH, number.alias("n"))
+    return audited.withColumn("stream", F.expr(f"left({BATCH}, length({BATCH}) - length(n))"))
+
+
+def _by_stream(audited: DataFrame) -> DataFrame:
+    return audited.groupBy("stream").agg(F.max(BATCH).alias("mark"))
+
+
 def compact_table(spark: SparkSession, lake: Lake, name: str) -> str:
     """Fold a lake table's finished batches into a new version of the dates they touch.
 
@@ -42,10 +61,7 @@ def compact_table(spark: SparkSession, lake: Lake, name: str) -> str:
     stream are folded, so one that is still being written stays out. Readers switch when
     the version's rows appear; older folders stay in place.
     """
-    number = F.substring_index(BATCH, "-", -1)
-    audited = lake.audit(spark).where(number.rlike("^[0-9]{10,}$")).select(BATCH, number.alias("n"))
-    stream = F.expr(f"left({BATCH}, length({BATCH}) - length(n))")
-    marks = [r.mark for r in audited.groupBy(stream).agg(F.max(BATCH).alias("mark")).collect()]
+    marks = [r.mark for r in _by_stream(_audited(spark, lake)).collect()]
     opened = lake.open(spark)
     current = opened.published(name)
     version = current.version + 1 if current else 1
@@ -76,7 +92,8 @@ def compact_table(spark: SparkSession, lake: Lake, name: str) -> str:
 
 
 def compact_all(spark: SparkSession, lake: Lake) -> tuple[list[str], list[tuple[str, str]]]:
-    """Compact every table; one that fails is listed with its error and the rest go on."""
+    """Compact every table and fold the logs; a table that fails is listed with its error and
+    the rest go on."""
     good, bad = [], []
     for name in lake.open(spark).tables:
         try:
@@ -84,9 +101,69 @@ def compact_all(spark: SparkSession, lake: Lake) -> tuple[list[str], list[tuple[
             good.append(name)
         except Exception as error:
             bad.append((name, str(error)))
+    fold_logs(spark, lake)
     return good, bad
 
 
+def fold_logs(spark: SparkSession, lake: Lake) -> list[str]:
+    """Fold the finished batches of the lake's logs into segments of few files, and return the
+    last folded batch of every stream.
+
+    The newest batch of a stream stays out, as a restart may do it again. Segments that hold as
+    many folds as the new one are merged into it, so a log of n folds has about log n segments
+    and a row is rewritten about log n times. What the fold before this one replaced is removed
+    now, so a query has from one fold to the next to end. Call it from one place at a time.
+    """
+    audited = _audited(spark, lake)
+    older = audited.join(_by_stream(audited), "stream").where(F.col(BATCH) < F.col("mark"))
+    marks = sorted(r.mark for r in _by_stream(older.drop("mark")).collect())
+    for kind, schema in FOLDED.items():
+        _fold_log(spark, lake, kind, schema, marks)
+    # A claim says nothing more about a batch that is audited.
+    _remove_batches(spark, lake, "claims", marks)
+    return marks
+
+
+def _fold_log(spark: SparkSession, lake: Lake, kind: str, schema: str, marks: list[str]) -> None:
+    before = lake.fold(spark, kind) or Fold(0, [], [])
+    if marks == before.marks:
+        return
+    rows = lake.tail(spark, kind, schema).where(up_to(marks) & ~up_to(before.marks))
+    segments = list(before.segments)
+    if not rows.isEmpty():
+        folds, merged = 1, []
+        while segments and segments[-1][1] <= folds:
+            name, size = segments.pop()
+            merged.append(name)
+            folds += size
+        rows = rows.unionByName(lake.segments(spark, kind, schema, merged))
+        key = uuid.uuid4().hex
+        # Files of the audit cover a range of times each, so a page finds its files' rows by them.
+        spread = rows.repartitionByRange("modified", "path") if kind == "audit" else balanced(rows)
+        if kind == "audit":
+            spread = spread.sortWithinPartitions("modified")
+        spread.write.mode("errorifexists").parquet(lake.path("folds", kind, "segments", key))
+        segments.append((key, folds))
+    version = f"{before.version + 1:010d}-{uuid.uuid4().hex}"
+    pointer = [(name, folds, None) for name, folds in segments] + [(None, None, marks)]
+    lake.write_log(spark, f"folds/{kind}/pointers", version, pointer, POINTER_SCHEMA)
+
+    _remove_batches(spark, lake, kind, before.marks)
+    kept = {name for name, _ in [*segments, *before.segments]}
+    for path in child_folders(spark, literal_path(lake.path("folds", kind, "segments"))):
+        if path.rpartition("/")[2] not in kept:
+            remove_folder(spark, path)
+    for path in child_folders(spark, literal_path(lake.path("folds", kind, "pointers"))):
+        if path.rpartition("=")[2] < f"{before.version:010d}":
+            remove_folder(spark, path)
+
+
+def _remove_batches(spark: SparkSession, lake: Lake, kind: str, marks: list[str]) -> None:
+    for path in child_folders(spark, literal_path(lake.path(kind)), f"{BATCH}=*"):
+        if behind(path.rpartition("=")[2], marks):
+            remove_folder(spark, path)
+
+
 def drop_superseded(spark: SparkSession, lake: Lake, name: str, at_once: int = 16) -> int:
     """Remove what the published version of a table replaced: folded batches, older versions
     of dates and crashed attempts. Call it while no compaction runs and no query reads them

@@ -83,6 +83,18 @@ def report_summary(
     )
 
 
+def summary_of_counts(
+    counts: DataFrame, date_column: str, as_of: date | None = None, days: int = 1
+) -> DataFrame:
+    """``report_summary`` from the rows per date that a lake keeps of a table, without a look
+    at the rows themselves."""
+    recent = F.col(date_column) >= start_date(as_of, days)
+    return counts.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("total_reports_count"),
+        F.coalesce(F.sum(F.when(recent, F.col("rows"))), F.lit(0)).alias("last_reports_count"),
+    )
+
+
 def first_n(df: DataFrame, n: int, *order: str) -> DataFrame:
     """The first ``n`` rows in a stated order, kept per task before they are merged."""
     return df.orderBy(*order).limit(n)

@@ -7,6 +7,7 @@
 ``quarantine``             lines that were set aside, per batch and table
 ``audit``                  one row per landing file, per batch; written last
 ``snapshots``              compacted dates by version; ``published`` says which are current
+``folds``                  finished batches of the logs in few files, with a pointer per version
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from telemetry_lake.operators.quality import (
     type_from_name,
     type_text,
 )
-from telemetry_lake.session import literal_path, path_missing, small_frame
+from telemetry_lake.session import child_folders, literal_path, path_missing, small_frame
 
 BATCH = "_batch_id"
 QUARANTINE_SCHEMA = "file_name string, reason string, record string, table_name string"
@@ -46,6 +47,31 @@ PUBLISHED_SCHEMA = (
     "table_name string, version int, day string, folder string, rows bigint, marks array<string>"
 )
 VERSION = "_version"
+# Fixed value: the partition folder of rows without a date.
+UNDATED = "__HIVE_DEFAULT_PARTITION__"
+# The logs whose finished batches are folded together.
+FOLDED = {
+    "audit": AUDIT_SCHEMA,
+    "registry": ENTRY_SCHEMA,
+    "quarantine": QUARANTINE_SCHEMA,
+    "drift": DRIFT_SCHEMA,
+}
+# A pointer has one row per segment, and one without a segment that holds the marks.
+POINTER_SCHEMA = "segment string, folds int, marks array<string>"
+
+
+@dataclass(frozen=True)
+class Fold:
+    """The folded part of a log: its segments with the number of folds in each, and the last
+    folded batch of every stream."""
+
+    version: int
+    segments: list[tuple[str, int]]
+    marks: list[str]
+
+
+# Pointers by path; one that is written never changes.
+_READ_POINTERS: dict[str, Fold] = {}
 
 
 @dataclass(frozen=True)
@@ -60,9 +86,43 @@ class Lake:
         return self.path("tables", f"{name}.parquet")
 
     def log(self, spark: SparkSession, kind: str, schema: str) -> DataFrame:
-        """A per-batch dataset of the lake; empty before its first write."""
-        full = f"{schema}, {BATCH} string"
-        return self._read(spark, self.path(kind), StructType.fromDDL(full))
+        """A per-batch dataset of the lake; empty before its first write. Finished batches are
+        read from the folded segments, where there are any."""
+        # The folders are listed first: what is folded and dropped from then on is behind the marks.
+        rows = self.tail(spark, kind, schema)
+        fold = self.fold(spark, kind) if kind in FOLDED else None
+        if fold is None:
+            return rows
+        newer = rows.where(~up_to(fold.marks))
+        return self.segments(spark, kind, schema, [name for name, _ in fold.segments]).unionByName(newer)
+
+    def tail(self, spark: SparkSession, kind: str, schema: str) -> DataFrame:
+        """The folders per batch of a log."""
+        return self._read(spark, self.path(kind), StructType.fromDDL(f"{schema}, {BATCH} string"))
+
+    def segments(self, spark: SparkSession, kind: str, schema: str, names: list[str]) -> DataFrame:
+        full = StructType.fromDDL(f"{schema}, {BATCH} string")
+        paths = [literal_path(self.path("folds", kind, "segments", name)) for name in names]
+        if not paths:
+            return self._read(spark, self.path("folds", kind, "none"), full)
+        return spark.read.schema(full).parquet(*paths)
+
+    def fold(self, spark: SparkSession, kind: str) -> Fold | None:
+        """The current folded part of a log. A pointer counts once its file is in place."""
+        folder = literal_path(self.path("folds", kind, "pointers"))
+        pointers = child_folders(spark, folder, f"{BATCH}=*/part-*")
+        if not pointers:
+            return None
+        newest = max(pointers)
+        if newest not in _READ_POINTERS:
+            rows = spark.read.schema(POINTER_SCHEMA).parquet(literal_path(newest)).collect()
+            version = int(newest.split("/")[-2].partition("=")[2].partition("-")[0])
+            _READ_POINTERS[newest] = Fold(
+                version,
+                [(r.segment, r.folds) for r in rows if r.segment is not None],
+                [mark for r in rows if r.segment is None for mark in r.marks],
+            )
+        return _READ_POINTERS[newest]
 
     def write_log(
         self,
@@ -129,10 +189,14 @@ class Published:
     """The compacted part of a table: the folder of each date, below ``snapshots``."""
 
     version: int
-    rows: int
+    rows_by_day: dict[str, int]
     folders: dict[str, str]
     marks: list[str]
 
+    @property
+    def rows(self) -> int:
+        return sum(self.rows_by_day.values())
+
 
 def up_to(marks: list[str]) -> Column:
     """Whether a batch is one of those the marks stand for. Batches of a stream end in a number
@@ -146,12 +210,23 @@ def up_to(marks: list[str]) -> Column:
     return reduce(operator.or_, ranges, F.lit(False))
 
 
+def behind(batch: str, marks: Iterable[str]) -> bool:
+    """``up_to`` for the name of one batch."""
+    stream = batch.rpartition("-")[0]
+    return any(
+        stream == mark.rpartition("-")[0] and len(batch) == len(mark) and batch <= mark
+        for mark in marks
+    )
+
+
 class OpenLake:
-    """The tables of a lake as its registry and published versions stood on opening."""
+    """The tables of a lake as its registry, published versions and finished pages stood on opening."""
 
     def __init__(self, spark: SparkSession, lake: Lake):
         self.spark = spark
         self.lake = lake
+        # The files of the audit are listed now, so pages that finish later stay out of all tables.
+        self._finished = lake.audit(spark).select(BATCH).distinct()
         known = sorted(lake.registry(spark).collect())
         types: dict[str, dict[str, str]] = {}
         for row in known:
@@ -170,7 +245,7 @@ class OpenLake:
                 days = [r for r in latest if r.folder and r.table_name == mark.table_name]
                 self._published[mark.table_name] = Published(
                     mark.version,
-                    sum(r.rows for r in days),
+                    {r.day: r.rows for r in days},
                     {r.day: r.folder for r in days},
                     list(mark.marks),
                 )
@@ -207,14 +282,39 @@ class OpenLake:
         reader = self.spark.read.schema(schema).option("basePath", root)
         return reader.parquet(*paths).drop(VERSION)
 
+    def newer(self, name: str) -> DataFrame:
+        """Rows of the finished batches that no compaction has folded. A page that was not audited
+        on opening is left out of every table as a whole."""
+        # Listed first: a page that claims its files after that has no rows in the list.
+        rows = self.batches(name)
+        # Names only, and only of pages since the last fold of the logs.
+        folders = child_folders(self.spark, literal_path(self.lake.path("claims")), f"{BATCH}=*")
+        claimed = small_frame(self.spark, [(f.rpartition("=")[2],) for f in folders], f"{BATCH} string")
+        # As many as there are pages under way or cut off. Their folders are pruned.
+        under_way = claimed.join(self._finished, BATCH, "left_anti").collect() if folders else []
+        if under_way:
+            rows = rows.where(~F.col(BATCH).isin([r[BATCH] for r in under_way]))
+        current = self.published(name)
+        return rows if current is None else rows.where(~up_to(current.marks))
+
     def read(self, name: str) -> DataFrame:
         """A table: its compacted dates and the batches ingested since."""
-        rows = self.batches(name)
+        newer = self.newer(name).drop(BATCH)
+        current = self.published(name)
+        return newer if current is None else self.snapshot(name, current.folders).unionByName(newer)
+
+    def counts_by_date(self, name: str) -> DataFrame:
+        """(date, rows) of a table. Compacted dates are not read: their compaction published their
+        rows. Of newer batches only the row counts in the footers are."""
+        column = self.lake.date_column
+        newer = self.newer(name).groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
         current = self.published(name)
         if current is None:
-            return rows.drop(BATCH)
-        newer = rows.where(~up_to(current.marks)).drop(BATCH)
-        return self.snapshot(name, current.folders).unionByName(newer)
+            return newer
+        days = [(None if day == UNDATED else day, rows) for day, rows in current.rows_by_day.items()]
+        compacted = small_frame(self.spark, days, "day string, rows bigint")
+        both = compacted.select(F.col("day").cast("date").alias(column), "rows").unionByName(newer)
+        return both.groupBy(column).agg(F.sum("rows").alias("rows"))
 
     def register(self) -> list[str]:
         """Temp views over all tables, named after them."""

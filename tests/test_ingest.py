@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from telemetry_lake.operators import compact
 from telemetry_lake.plans import schemas
-from telemetry_lake.plans.lake import BATCH, Lake
+from telemetry_lake.plans.lake import BATCH, FOLDED, Lake
 from telemetry_lake.streaming import ingest
 
 
@@ -676,6 +676,90 @@ def test_unfinished_batch_is_not_compacted(spark, landing, lake):
     assert rows(spark, lake, "t", "a") == [(1,), (2,)]
 
 
+def test_page_under_way_is_not_seen_in_any_table(spark, landing, lake, monkeypatch):
+    put(landing, "t_1_0.json", {"a": 1})
+    put(landing, "u_1_0.json", {"b": 1})
+    run(spark, landing, lake)
+    put(landing, "t_2_0.json", {"a": 2})
+    put(landing, "u_2_0.json", {"b": 2})
+    put(landing, "v_2_0.json", {"c": 2})
+    real, seen = Lake.write_log, []
+
+    def looking(self, session, kind, *args, **options):
+        if kind == "audit":  # every table of the page is written by now
+            opened = self.open(spark)
+            seen.append([opened.read(t).count() for t in ("t", "u", "v")])
+            seen.append(opened)
+        return real(self, session, kind, *args, **options)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Lake, "write_log", looking)
+        run(spark, landing, lake)
+    assert seen[0] == [1, 1, 0]
+    # A lake opened before the page ended goes on without it.
+    assert [seen[1].read(t).count() for t in ("t", "u", "v")] == [1, 1, 0]
+    opened = lake.open(spark)
+    assert [opened.read(t).count() for t in ("t", "u", "v")] == [2, 2, 1]
+    plan = opened.read("t")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" not in plan and "Join" not in plan
+
+
+def test_folded_logs_say_the_same_in_few_files(spark, landing, lake):
+    def page(i):
+        put(landing, f"t_{i}_0.json", {"a": i, f"c{i}": 1}, "oops", *[{"a": "x"}][: i])
+        run(spark, landing, lake, page_files=1)
+
+    def state():
+        return audited(spark, lake), quarantined(spark, lake), sorted(map(tuple, lake.registry(spark).collect()))
+
+    def files():
+        return {kind: len(lake.log(spark, kind, schema).inputFiles()) for kind, schema in FOLDED.items()}
+
+    found = []
+    for i in range(12):
+        page(i)
+        if i % 3 == 2:
+            before = state()
+            compact.fold_logs(spark, lake)
+            assert state() == before
+            assert compact.fold_logs(spark, lake) and state() == before
+            found.append(files())
+    assert len(state()[0]) == 12 and len(state()[1]) == 23
+    # Every fold leaves the newest page and what the fold before it replaced.
+    assert all(found[-1][kind] <= found[0][kind] + 3 for kind in FOLDED), found
+    assert len(list((landing.parent / "lake" / "audit").glob("_batch_id=*"))) <= 4
+    assert len(list((landing.parent / "lake" / "claims").glob("_batch_id=*"))) == 1
+    # A new checkpoint finds what is done in the folded audit.
+    run(spark, landing, lake, checkpoint="other")
+    assert len(rows(spark, lake, "t")) == 12
+    compact.compact_table(spark, lake, "t")
+    assert rows(spark, lake, "t", "a") == [(i,) for i in range(12)]
+
+
+def test_last_page_can_be_done_again_after_a_fold(spark, landing, lake):
+    for i in range(3):
+        put(landing, f"t_{i}_0.json", {"a": i}, "oops")
+        files = [f for f in map(ingest.landing_file, ingest.discover_landing(spark, str(landing)).collect()) if f.name == f"t_{i}_0.json"]
+        ingest.ingest_page(spark, lake, f"run-{i:010d}", files)
+    assert compact.fold_logs(spark, lake) == ["run-0000000001"]
+    before = rows(spark, lake, "t"), quarantined(spark, lake), audited(spark, lake)
+    ingest.ingest_page(spark, lake, "run-0000000002", files)
+    assert (rows(spark, lake, "t"), quarantined(spark, lake), audited(spark, lake)) == before
+
+
+def test_counts_leave_compacted_dates_unread(spark, landing, lake):
+    put(landing, "t_1_0.json", *[{"a": i, "report_date": f"2024-01-0{i % 3 + 1}"} for i in range(9)], {"a": 0})
+    run(spark, landing, lake)
+    compact.compact_table(spark, lake, "t")
+    put(landing, "t_2_0.json", {"a": 9, "report_date": "2024-01-02"}, {"a": 8})
+    run(spark, landing, lake)
+    counts = lake.open(spark).counts_by_date("t")
+    got = {str(r.report_date): r["rows"] for r in counts.collect()}
+    assert got == {"2024-01-01": 3, "2024-01-02": 4, "2024-01-03": 3, "None": 2}
+    assert not snapshot_files(counts)
+    assert "ReadSchema: struct<>" in counts._sc._jvm.PythonSQLUtils.explainString(counts._jdf.queryExecution(), "formatted")
+
+
 def test_table_without_the_date_is_compacted_whole(spark, tmp_path):
     spark.range(0, 100, 1, 20).write.parquet(str(tmp_path / "many"))
     source = spark.read.parquet(str(tmp_path / "many"))

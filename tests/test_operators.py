@@ -33,6 +33,21 @@ def test_json_array_explodes_to_columns_or_values(spark):
     assert [r.element for r in text.explode_json_array(numbers, "t", "int").collect()] == [1, 2]
 
 
+def test_arrays_of_any_shape_give_a_row_an_element(spark):
+    rows = [
+        (1, '[{"k":1},"x",2.5,null,[1,2],{"k":1.5},{"k":"y"},{"k":9007199254740993}]'),
+        (2, '{"k":1}'), (3, "[1,"), (4, None), (5, "[]"), (6, "7"), (7, ""),
+    ]
+    df = spark.createDataFrame(rows, "`a.b` int, text string")
+    items = text.with_fields(text.explode_any_array(df, "text"), "element", {"k": "bigint", "o'x": "string"})
+    got = items.select("`a.b`", "position", F.to_json("element"), "k").orderBy("position").collect()
+    assert [tuple(r) for r in got] == [
+        (1, 0, '{"k":1}', 1), (1, 1, '"x"', None), (1, 2, "2.5", None), (1, 3, "null", None),
+        (1, 4, "[1,2]", None), (1, 5, '{"k":1.5}', None), (1, 6, '{"k":"y"}', None),
+        (1, 7, '{"k":9007199254740993}', 9007199254740993),
+    ]
+
+
 def test_json_rows_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(1, "x"), (2, None)], "a bigint, b string")
     text.to_json_rows(df).write.text(str(tmp_path / "j"))
