@@ -27,6 +27,7 @@ from telemetry_lake.plans import schemas  # noqa: E402
 from telemetry_lake.plans.lake import Lake  # noqa: E402
 from telemetry_lake.session import small_frame, work_dir  # noqa: E402
 from telemetry_lake.sources import scans  # noqa: E402
+from telemetry_lake.sources.disagreeing import read_disagreeing  # noqa: E402
 from telemetry_lake.sources.workspace import Workspace, Workspaces, folder_tables  # noqa: E402
 from telemetry_lake.streaming import ingest, lines  # noqa: E402
 
@@ -677,6 +678,23 @@ def schema_files(spark, sf_dir):
     return second.registry(spark)
 
 
+def scan_disagreeing(spark, sf_dir):
+    """A folder with a column stored as number, text and fraction by turns."""
+    root = work_dir(spark, "disagreeing") + "/events"
+    events = table(spark, sf_dir, "events").select("event_id", "user_id")
+    stored = {"bigint": "user_id", "string": DRIFTED, "double": "user_id + (event_id % 2) / 2"}
+    for i, (data_type, value) in enumerate(stored.items()):
+        rows = events.where(f"event_id % 3 = {i}").select("event_id", F.expr(value).cast(data_type).alias("v"))
+        rows.write.parquet(f"{root}/part={i}")
+    found = read_disagreeing(spark, root, "events")
+    rows = found.rows.select(F.lit("row").alias("kind"), "event_id", "v", F.lit(None).cast("string").alias("lost"))
+    lost = found.lost.select(
+        F.lit("lost").alias("kind"), F.lit(None).cast("bigint").alias("event_id"),
+        F.lit(None).cast("bigint").alias("v"), F.concat_ws(":", "column_name", "data_type", "value").alias("lost"),
+    )
+    return rows.unionByName(lost)
+
+
 def repair_types(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select("event_id", F.expr(DRIFTED).alias("user_id"))
     return quality.repair_types(rows, {"user_id": "bigint"})
@@ -757,7 +775,8 @@ QUERIES = [
     filter_on_date, project_columns, project_nested, filter_lines_by_table,
     table_name_of_line, key_lines, devices_per_configuration, join_inner_star, count_total,
     count_since, count_by_fw_version, count_by_hardware, count_column, word_count,
-    report_summary, table_stats, schema_discover, schema_drift, schema_files, repair_types, sql_query,
+    report_summary, table_stats, schema_discover, schema_drift, schema_files, scan_disagreeing,
+    repair_types, sql_query,
     sql_query_cached, first_n, stream_count_by_table, parse_job_log,
 ]
 
@@ -950,6 +969,11 @@ def own_oracle_sql() -> dict[str, str]:
         "table_stats": f"{stats} union all select name, -1, '' from (values ('no_such_table'), ('bad_footer')) as bad(name)",
         "schema_discover": described,
         "schema_files": described,
+        "scan_disagreeing": """select 'row' as kind, event_id, case when event_id % 3 = 1 and event_id % 7 = 0 then null
+                when event_id % 3 = 2 and event_id % 2 = 1 then null else user_id end as v, null as lost from events
+            union all select 'lost', null, null, 'v:string:n/a' from events where event_id % 3 = 1 and event_id % 7 = 0
+            union all select 'lost', null, null, concat('v:double:', user_id, '.5') from events
+                where event_id % 3 = 2 and event_id % 2 = 1""",
         "schema_drift": f"""with before as (select column_name, {SQL_TYPES} as old_type
                 from (describe select event_id, user_id, value, props from events)),
             after as (select column_name, {SQL_TYPES} as new_type

@@ -11,6 +11,7 @@ from telemetry_lake.plans import schemas
 from telemetry_lake.plans.lake import Lake
 from telemetry_lake.session import work_dir
 from telemetry_lake.sources import scans
+from telemetry_lake.sources.disagreeing import agreeing_parts, read_disagreeing
 from telemetry_lake.sources.workspace import Workspace, Workspaces, folder_tables
 from telemetry_lake.streaming import lines
 
@@ -264,3 +265,44 @@ def test_a_cluster_session_must_name_the_shared_folder():
     cluster = SimpleNamespace(conf=settings, sparkContext=SimpleNamespace(master="yarn"))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         work_dir(cluster, "x")
+
+
+def write_part(spark, path, ddl, *rows):
+    spark.createDataFrame(list(rows), ddl).coalesce(1).write.mode("append").parquet(str(path))
+
+
+def test_files_that_disagree_read_as_one_table(spark, tmp_path):
+    root = tmp_path / "t"
+    for i in range(8):
+        ddl, value = ("v string, n int", str(i)) if i % 3 == 1 else ("v bigint, n int", i)
+        write_part(spark, root / f"day=2024-01-0{i + 1}", ddl, (value, i))
+    write_part(spark, root / "day=2024-01-09", "v string, extra double", ("n/a", 1.5), ("9007199254740993", None))
+    write_part(spark, root / "day=2024-01-09", "v double, n string", (2.5, "7"), (3.0, "x"))
+    write_part(spark, root / "day=2024-01-09", "v array<int>", ([1, 2],), (None,))
+    assert len(agreeing_parts(spark, str(root))) == 4
+    got = read_disagreeing(spark, str(root), "t")
+    assert dict(got.rows.dtypes) == {"v": "bigint", "n": "int", "day": "date", "extra": "double"}
+    rows = sorted((str(r.day)[-1], r.v, r.n, r.extra) for r in got.rows.where("day < '2024-01-09'").collect())
+    assert rows == [(str(i + 1), i, i, None) for i in range(8)]
+    last = sorted((tuple(r) for r in got.rows.where("day = '2024-01-09'").select("v", "n", "extra").collect()), key=repr)
+    assert last == sorted(
+        [(None, None, 1.5), (9007199254740993, None, None), (None, 7, None), (3, None, None), (None, None, None), (None, None, None)],
+        key=repr,
+    )
+    assert sorted(map(tuple, got.lost.collect())) == [
+        ("n", "string", "x"), ("v", "array<int>", '{"v":[1,2]}'), ("v", "double", "2.5"), ("v", "string", "n/a"),
+    ]
+    assert {(r.column_name, r.old_type, r.new_type) for r in got.drift.collect()} == {
+        ("v", "bigint", "string"), ("v", "bigint", "double"), ("v", "bigint", "array<int>"), ("n", "int", "string"),
+    }
+    text = read_disagreeing(spark, str(root), "t", StructType.fromDDL("v string"))
+    assert text.rows.schema["v"].dataType == StringType() and text.rows.columns[0] == "v"
+    assert {r.v for r in text.rows.where("day < '2024-01-09'").collect()} == {str(i) for i in range(8)}
+
+
+def test_files_that_agree_are_one_scan(spark, tmp_path):
+    for i in range(4):
+        write_part(spark, tmp_path / "t", "a int" if i % 2 else "a int, b string", (i,) if i % 2 else (i, "x"))
+    got = read_disagreeing(spark, str(tmp_path / "t"), "t")
+    assert got.rows.count() == 4 and got.lost.isEmpty() and got.drift.isEmpty()
+    assert got.rows._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
