@@ -871,7 +871,7 @@ def own_oracle_sql() -> dict[str, str]:
             true as within_page, true as several_pages from events""",
         "json_array_explode": """select event_id, cast(json_extract_string(props, '$.k') as integer) as k
             from events, (values (1), (2)) as copies(n)""",
-        "json_array_any": """select event_id, position, case position when 0 then replace(props, ' ', '')
+        "json_array_any": """select event_id, cast(position as integer) as position, case position when 0 then replace(props, ' ', '')
             when 1 then cast(event_id as varchar) when 2 then '"x"' when 3 then 'null'
             when 4 then concat('[', user_id, ']') else '{"k":1.5}' end as element,
             case position when 0 then cast(json_extract_string(props, '$.k') as integer) end as k
