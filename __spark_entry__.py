@@ -22,6 +22,7 @@ from telemetry_lake.functions import joblog, routing, text  # noqa: E402
 from telemetry_lake.operators import quality, reports, sinks  # noqa: E402
 from telemetry_lake.operators.compact import compact_table as compact_lake_table  # noqa: E402
 from telemetry_lake.operators.compact import fold_logs  # noqa: E402
+from telemetry_lake.operators.device_sets import DeviceSets  # noqa: E402
 from telemetry_lake.plans.daily_report import run_report  # noqa: E402
 from telemetry_lake.plans import schemas  # noqa: E402
 from telemetry_lake.plans.lake import Lake  # noqa: E402
@@ -596,6 +597,38 @@ def devices_per_configuration(spark, sf_dir):
     return reports.devices_per_configuration(orders, info)
 
 
+def devices_from_sets(spark, sf_dir):
+    """Devices per configuration from the sets kept of compacted dates, and newer rows of some."""
+    lake = new_lake(spark, "sets")
+    # By quarter, as every date has its folders.
+    orders = table(spark, sf_dir, "orders").withColumn("day", F.expr("cast(trunc(o_orderdate, 'QUARTER') as string)"))
+    sides = {
+        "report_data": F.struct(
+            F.col("o_orderkey").alias("report_id"), F.col("o_custkey").alias("mac"), F.col("day").alias("report_date")
+        ),
+        "flat_info_data": F.struct(
+            F.col("o_orderkey").alias("report_id"),
+            F.col("o_orderpriority").alias("configuration"),
+            F.col("day").alias("report_date"),
+        ),
+    }
+
+    def part(where):
+        rows = orders.where(where)
+        halves = [rows.select(F.lit(t).alias("table_name"), F.to_json(r).alias("value")) for t, r in sides.items()]
+        return halves[0].unionByName(halves[1])
+
+    # Half of the last year's orders come when the rest is compacted.
+    late = "coalesce(year(o_orderdate) >= 2001 and o_orderkey % 2 = 0, true)"
+    land_and_ingest(spark, part(f"not {late}"), lake, 1)
+    for name in sides:
+        compact_lake_table(spark, lake, name)
+    sets = DeviceSets(lake)
+    sets.keep(spark)
+    land_and_ingest(spark, part(late), lake, 2)
+    return sets.count(spark)
+
+
 def join_inner_star(spark, sf_dir):
     table(spark, sf_dir, "customer").createOrReplaceTempView("customer_source")
     orders = table(spark, sf_dir, "orders")
@@ -773,7 +806,8 @@ QUERIES = [
     ingest_quarantine, stream_fanout, stream_archive, ingest_audit, ingest_cycles,
     ingest_exact_numbers, ingest_mixed_lines, filter_since,
     filter_on_date, project_columns, project_nested, filter_lines_by_table,
-    table_name_of_line, key_lines, devices_per_configuration, join_inner_star, count_total,
+    table_name_of_line, key_lines, devices_per_configuration, devices_from_sets,
+    join_inner_star, count_total,
     count_since, count_by_fw_version, count_by_hardware, count_column, word_count,
     report_summary, table_stats, schema_discover, schema_drift, schema_files, scan_disagreeing,
     repair_types, sql_query,
@@ -950,6 +984,8 @@ def own_oracle_sql() -> dict[str, str]:
         "devices_per_configuration": """select c_mktsegment as configuration,
             count(distinct o_custkey) as devices from orders join customer on o_custkey = c_custkey
             group by c_mktsegment""",
+        "devices_from_sets": """select o_orderpriority as configuration,
+            count(distinct o_custkey) as devices from orders group by o_orderpriority""",
         "join_inner_star": """select orders.* exclude (o_orderdate), customer.*,
             strftime(o_orderdate, '%Y-%m-%d') as o_orderdate
             from orders join customer on o_custkey = c_custkey""",

@@ -79,3 +79,13 @@ def child_folders(spark: SparkSession, folder: str, pattern: str = "*") -> list[
 def remove_folder(spark: SparkSession, folder: str) -> None:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def move_file(spark: SparkSession, source: str, folder: str) -> bool:
+    """Move a file below a folder, under its full path; false if there is one already."""
+    paths = spark.sparkContext._jvm.org.apache.hadoop.fs
+    path = paths.Path(source)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    target = paths.Path(f"{folder.rstrip('/')}{path.toUri().getPath()}")
+    files.mkdirs(target.getParent())
+    return not files.exists(target) and files.rename(path, target)

@@ -54,8 +54,8 @@ from telemetry_lake.operators.quality import (
 from telemetry_lake.operators.sinks import balanced, is_bad_date, iso_date
 from telemetry_lake.plans.lake import AUDIT_SCHEMA, BATCH, CLAIM_SCHEMA, Lake
 from telemetry_lake.plans.schemas import known_columns, record_schemas
-from telemetry_lake.session import child_folders, literal_path, remove_folder, small_frame
-from telemetry_lake.streaming.lines import ANY_AGE
+from telemetry_lake.session import child_folders, literal_path, move_file, remove_folder, small_frame
+from telemetry_lake.streaming.lines import MAX_AGE_MS
 
 # Fixed value: where the JSON reader keeps a line it cannot parse.
 CORRUPT = "_corrupt_record"
@@ -108,15 +108,17 @@ def landing_stream(
     page_files: int = 1000,
     glob: str = "*.json",
     archive: str | None = None,
+    max_age_ms: int = MAX_AGE_MS,
 ) -> DataFrame:
     """Path, size and name of new landing files, at most ``page_files`` a batch. Spark
-    gives no row for an empty file, and takes a path once only."""
+    gives no row for an empty file, takes a path once only, and skips files that are older
+    than the newest one by more than ``max_age_ms``: it keeps the paths of that time alone."""
     reader = (
         spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)
         .option("pathGlobFilter", glob)
         .option("maxFilesPerTrigger", page_files)
-        .option("maxFileAge", ANY_AGE)
+        .option("maxFileAge", f"{max_age_ms}ms")
         # A file taken away after it was listed must not block its page for good.
         .option("ignoreMissingFiles", True)
     )
@@ -166,8 +168,15 @@ def start_ingest(
     interval: str | None = None,
     archive: str | None = None,
     parallel_tables: int = 8,
+    max_age_ms: int = MAX_AGE_MS,
+    late_every: int = 100,
 ) -> StreamingQuery:
-    """Start the ingest: every ``interval``, or once over all that is there."""
+    """Start the ingest: every ``interval``, or once over all that is there.
+
+    The stream skips files older than ``max_age_ms`` before the newest one it has taken. A stream
+    that runs on looks for such late files by the audit before every ``late_every``-th page; after
+    a run over what is there, ``ingest_all`` or ``ingest_again`` does.
+    """
 
     def page(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
@@ -178,12 +187,18 @@ def start_ingest(
         routed = batch.withColumn("table_name", table_of_name(F.col("name"), pattern))
         # At most page_files rows, and only names and sizes.
         files = {r.path: landing_file(r) for r in routed.collect()}
+        if interval is not None and files and batch_id % late_every == late_every - 1:
+            newest = max(f.modified for f in files.values())
+            # The stream skips them from now on, or will find them finished.
+            ingest_again(
+                session, landing, lake, pattern, page_files, glob, parallel_tables, newest - max_age_ms
+            )
         ingest_page(
             session, lake, f"{run}-{batch_id:010d}", list(files.values()), parallel_tables, cycle
         )
 
     writer = (
-        landing_stream(spark, landing, page_files, glob, archive)
+        landing_stream(spark, landing, page_files, glob, archive, max_age_ms)
         .writeStream.foreachBatch(page)
         .option("checkpointLocation", checkpoint)
     )
@@ -216,12 +231,15 @@ def ingest_again(
     page_files: int = 1000,
     glob: str = "*.json",
     parallel_tables: int = 8,
+    before_ms: int | None = None,
 ) -> int:
     """Ingest what lies in the landing folder and no batch has finished: a file that came
-    again under a name the stream has taken before, above all. Returns the number of pages.
+    again under a name the stream has taken before, or too late for the stream. Returns the
+    number of pages.
 
     The audit decides, by path, size and time. Call it while no ingest runs on the folder.
-    A page that was cut off is done again first, under its own key.
+    A page that was cut off is done again first, under its own key. ``before_ms`` leaves out
+    files that are not older.
     """
     claims = lake.log(spark, "claims", CLAIM_SCHEMA).where(F.col(BATCH).startswith(AGAIN))
     cut_off = claims.join(lake.audit(spark).select(BATCH).distinct(), BATCH, "left_anti")
@@ -235,7 +253,10 @@ def ingest_again(
         pages += 1
     done = lake.audit(spark).select("path", F.col("bytes").alias("length"), "modified")
     while True:
-        found = discover_landing(spark, landing, glob, pattern)
+        # An empty file has no row in the audit.
+        found = discover_landing(spark, landing, glob, pattern).where("length > 0")
+        if before_ms is not None:
+            found = found.where(F.col("modified") < before_ms)
         # Page after page until none is left.
         page = found.join(done, ["path", "length", "modified"], "left_anti").limit(page_files)
         files = [landing_file(r) for r in page.collect()]
@@ -246,6 +267,47 @@ def ingest_again(
         pages += 1
 
 
+def ingest_all(
+    spark: SparkSession,
+    landing: str,
+    lake: Lake,
+    checkpoint: str,
+    pattern: str = NAME_PATTERN,
+    page_files: int = 1000,
+    glob: str = "*.json",
+    archive: str | None = None,
+    parallel_tables: int = 8,
+    max_age_ms: int = MAX_AGE_MS,
+) -> int:
+    """Ingest all that lies in the landing folder: by the stream, then what came too late for it
+    or again under a used name, and archive every finished file, the last page's too. Returns the
+    number of files archived."""
+    start_ingest(
+        spark, landing, lake, checkpoint, pattern, page_files, glob,
+        archive=archive, parallel_tables=parallel_tables, max_age_ms=max_age_ms,
+    ).awaitTermination()
+    ingest_again(spark, landing, lake, pattern, page_files, glob, parallel_tables)
+    return 0 if archive is None else archive_finished(spark, landing, lake, archive, glob)
+
+
+def archive_finished(
+    spark: SparkSession, landing: str, lake: Lake, archive: str, glob: str = "*.json", at_once: int = 16
+) -> int:
+    """Move the landing files that a batch has finished below ``archive``, under their full path,
+    as the stream does with those of earlier pages. Returns how many were moved.
+
+    Call it when the last run has ended well: a page that a restart does again needs its files.
+    """
+    done = lake.audit(spark).where(F.col("status") != MISSING)
+    done = done.select("path", F.col("bytes").alias("length"), "modified")
+    found = discover_landing(spark, landing, glob)
+    finished = found.join(done, ["path", "length", "modified"], "left_semi").select("path").distinct()
+    with ThreadPoolExecutor(at_once) as pool:
+        # A partition of names at a time.
+        moved = pool.map(lambda r: move_file(spark, r.path, archive), finished.toLocalIterator())
+        return sum(moved)
+
+
 def claim_page(
     spark: SparkSession, lake: Lake, batch: str, files: list[LandingFile]
 ) -> tuple[list[LandingFile], list[LandingFile]]:

@@ -584,8 +584,42 @@ def test_late_file_with_an_old_time_stamp_is_taken(spark, landing, lake):
     run(spark, landing, lake)
     old = put(landing, "t_2_0.json", {"a": 2})
     os.utime(old, (1_000_000_000, 1_000_000_000))
-    run(spark, landing, lake)
+    archive = lake.path("archive")
+    checkpoint = lake.path("checkpoint")
+    assert ingest.ingest_all(spark, str(landing), lake, checkpoint, archive=archive) == 2
     assert rows(spark, lake, "t", "a") == [(1,), (2,)]
+    # Nothing is left in the landing folder, and nothing is taken twice.
+    assert [n for n in os.listdir(landing) if n.endswith(".json")] == []
+    moved = ingest.discover_landing(spark, archive, recursive=True)
+    assert sorted(r.name for r in moved.collect()) == ["t_1_0.json", "t_2_0.json"]
+    put(landing, "t_3_0.json", {"a": 3})
+    put(landing, "t_4_0.json", end="")
+    assert ingest.ingest_all(spark, str(landing), lake, checkpoint, archive=archive) == 1
+    assert rows(spark, lake, "t", "a") == [(1,), (2,), (3,)]
+
+
+def test_stream_forgets_old_paths_and_running_ingest_takes_late_files(spark, landing, lake):
+    def at(name, value, seconds):
+        path = put(landing, name, {"a": value})
+        os.utime(path, (seconds, seconds))
+
+    at("t_1_0.json", 1, 1_700_000_000)
+    query = ingest.start_ingest(
+        spark, str(landing), lake, lake.path("checkpoint"), interval="1 second",
+        page_files=1, max_age_ms=60_000, late_every=2,
+    )
+    try:
+        query.processAllAvailable()
+        at("t_2_0.json", 2, 1_600_000_000)
+        at("t_3_0.json", 3, 1_700_000_500)
+        at("t_4_0.json", 4, 1_700_000_600)
+        query.processAllAvailable()
+        taken = rows(spark, lake, "t", "a")
+    finally:
+        query.stop()
+    assert taken == [(1,), (2,), (3,), (4,)]
+    batches = {r.file_name: r[BATCH] for r in lake.audit(spark).collect()}
+    assert [n for n, b in batches.items() if b.startswith(ingest.AGAIN)] == ["t_2_0.json"]
 
 
 def count_files(path):

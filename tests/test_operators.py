@@ -1,3 +1,4 @@
+import os
 from datetime import datetime
 from types import SimpleNamespace
 
@@ -111,6 +112,47 @@ def test_line_counts_are_per_batch(spark, tmp_path):
     assert {r.table_name for r in got} == {"a", "b", "bad"}
 
 
+def test_late_lines_are_counted_once_without_the_stream(spark, tmp_path, monkeypatch):
+    landing, out, files = (str(tmp_path / n) for n in ("in", "out", "files"))
+    os.mkdir(landing)
+
+    def put(name, seconds):
+        (tmp_path / "in" / name).write_text('{"report_table":"a"}\nbad\n')
+        os.utime(f"{landing}/{name}", (seconds, seconds))
+
+    def run():
+        source = lines.line_stream(spark, landing, max_age_ms=60_000)
+        query = lines.start_line_counts(source, "report_table", out, str(tmp_path / "c"), files=files)
+        query.awaitTermination()
+
+    def late():
+        return lines.count_late_lines(spark, landing, "report_table", out, files, page_files=1)
+
+    def counted():
+        rows = spark.read.parquet(out).groupBy("table_name").agg(F.sum("lines").alias("n")).collect()
+        return {r.table_name: r.n for r in rows}
+
+    put("new 1.json", 1_700_000_000)
+    run()
+    for name in ("old [1].json", "old 2.json"):
+        put(name, 1_600_000_000)
+    (tmp_path / "in" / "empty.json").write_text("")
+    run()
+    # The stream skips them.
+    assert counted() == {"a": 1, "bad": 1}
+
+    def failing(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(lines, "count_lines", failing)
+        with pytest.raises(RuntimeError):
+            late()
+    assert late() == 2 and counted() == {"a": 3, "bad": 3}
+    run()
+    assert late() == 0 and counted() == {"a": 3, "bad": 3}
+
+
 def test_registry_merge_marks_every_case(spark):
     ddl = quality.REGISTRY_SCHEMA
     old = spark.createDataFrame([("t", "a", "bigint"), ("t", "b", "bigint"), ("t", "c", "string")], ddl)
