@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import operator
 import re
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +15,7 @@ from pyspark.sql.types import (
     ArrayType,
     DataType,
     DayTimeIntervalType,
+    FractionalType,
     StringType,
     StructField,
     StructType,
@@ -243,9 +246,40 @@ def nested_in_text(text: Column, wanted: DataType) -> tuple[Column, Column]:
     values = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>")
     value = parsed.getField("v")
     fits = (F.size(values) == 1) & parsed.getField(corrupt).isNull() & value.isNotNull()
+    if has_fractions(wanted):
+        rounded = rounded_parts(F.from_json(text, _fractions_as_text(wanted)), wanted)
+        fits = fits & ~F.coalesce(rounded, F.lit(False))
     return value, F.coalesce(fits, F.lit(False))
 
 
+def has_fractions(data_type: DataType) -> bool:
+    """Whether a type has a part that may round a number."""
+    if isinstance(data_type, ArrayType):
+        return has_fractions(data_type.elementType)
+    if isinstance(data_type, StructType):
+        return any(has_fractions(f.dataType) for f in data_type.fields)
+    return isinstance(data_type, FractionalType)
+
+
+def _fractions_as_text(data_type: DataType) -> DataType:
+    if isinstance(data_type, ArrayType):
+        return ArrayType(_fractions_as_text(data_type.elementType))
+    if isinstance(data_type, StructType):
+        return StructType([StructField(f.name, _fractions_as_text(f.dataType), True) for f in data_type.fields])
+    return StringType() if isinstance(data_type, FractionalType) else data_type
+
+
+def rounded_parts(value: Column, wanted: DataType) -> Column:
+    """Whether a type would round a number somewhere in a nested value, which has the texts of such
+    numbers in their place."""
+    if isinstance(wanted, ArrayType) and has_fractions(wanted):
+        return F.coalesce(F.exists(value, lambda item: rounded_parts(item, wanted.elementType)), F.lit(False))
+    if isinstance(wanted, StructType):
+        parts = [rounded_parts(value.getField(f.name), f.dataType) for f in wanted.fields if has_fractions(f.dataType)]
+        return reduce(operator.or_, parts, F.lit(False))
+    return number_from_text(value, type_text(wanted))[1] if has_fractions(wanted) else F.lit(False)
+
+
 def _keys(json: Column) -> Column:
     """Number of keys with a value in a compact JSON text."""
     strings = F.regexp_extract_all(json, F.lit(r'"(?:\\.|[^"\\])*+"(:(?!null[,}]))?'), F.lit(1))
@@ -254,7 +288,7 @@ def _keys(json: Column) -> Column:
 
 def nested_from_text(text: Column, wanted: DataType) -> tuple[Column, Column]:
     """A nested value from JSON text, and a flag for texts that do not fit as a whole: one
-    part has another type, or there is a field that the type does not have."""
+    part has another type or would be rounded, or there is a field that the type does not have."""
     value, fits = nested_in_text(text, wanted)
     whole = _keys(F.to_json(F.try_parse_json(text))) == _keys(F.to_json(value))
     return value, text.isNotNull() & ~(fits & F.coalesce(whole, F.lit(False)))

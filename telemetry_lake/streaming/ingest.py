@@ -41,6 +41,7 @@ from telemetry_lake.functions.routing import (
 from telemetry_lake.operators.quality import (
     fields_of_variant,
     grown,
+    has_fractions,
     nested_from_text,
     nested_in_text,
     number_from_text,
@@ -525,7 +526,7 @@ def column_value(
     text = type_text(wanted)
     if isinstance(wanted, FractionalType):
         return StringType(), lambda value: number_from_text(value, text)
-    if isinstance(wanted, StringType) or widened(wanted, seen) == wanted:
+    if isinstance(wanted, StringType) or (widened(wanted, seen) == wanted and not has_fractions(wanted)):
         return wanted, lambda value: (value, None)
     if isinstance(wanted, (ArrayType, StructType)):
         return StringType(), lambda value: nested_from_text(value, wanted)

@@ -184,6 +184,33 @@ def test_nested_fields_are_added_like_columns(spark, landing, lake):
     assert lake.drift(spark).count() == 0 and quarantined(spark, lake) == []
 
 
+def test_nested_numbers_are_never_rounded(spark, tmp_path):
+    lines = [
+        ['{"s":{"x":1.5,"l":[0.5],"r":[{"y":2.5}]}}'],
+        ['{"s":{"x":9007199254740993,"z":1}}', '{"s":{"x":9007199254740992}}', '{"s":{"x":0.1}}'],
+        ['{"s":{"l":[1,null,9007199254740993]}}', '{"s":{"l":[1,null,2]}}', '{"s":{"l":null}}'],
+        ['{"s":{"r":[{"y":1},{"y":9007199254740993}]}}', '{"s":{"r":[{"y":1},{"y":1e300}]}}'],
+        ['{"s":{"x":123456789012345678901}}', '{"s":{}}', '{"s":{"x":"NaN"}}', '{"s":{"x":3,"n":7}}'],
+    ]
+    results = []
+    for size in (1, 100):
+        landing, own = tmp_path / f"landing-{size}", Lake(str(tmp_path / f"lake-{size}"))
+        landing.mkdir()
+        for i, texts in enumerate(lines):
+            path = put(landing, f"t_{i}_0.json", *texts)
+            os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+        run(spark, landing, own, page_files=size)
+        stored = sorted(r.j for r in own.open(spark).read("t").where("s is not null").select(F.to_json("s").alias("j")).collect())
+        results.append((stored, {record for *_, record in quarantined(spark, own)}))
+    assert results[0] == results[1]
+    stored, aside = results[0]
+    assert aside == {lines[1][0], lines[2][0], lines[3][0], lines[4][0], lines[4][2]}
+    assert stored == sorted([
+        '{"l":[0.5],"r":[{"y":2.5}],"x":1.5}', '{"x":9.007199254740992E15}', '{"x":0.1}', '{"l":[1.0,null,2.0]}',
+        '{"r":[{"y":1.0},{"y":1.0E300}]}', '{"x":3.0,"n":7}',
+    ])
+
+
 def test_nested_types_without_a_cast_are_set_aside(spark, landing, lake):
     put(landing, "t_1_0.json", {"a": 1, "s": {"x": 1}})
     run(spark, landing, lake)
