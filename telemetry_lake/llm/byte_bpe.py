@@ -308,7 +308,8 @@ def encode_table(
 
     ``vocabulary``: a file name of the public tokenizers, which every worker has installed,
     or the name of a file given to the session with ``addFile``. A null text is encoded as an
-    empty one: no ids. Rows are kept as they are, repeated ones and null ids included.
+    empty one: no ids. Rows are kept as they are, repeated ones and null ids included, and an
+    empty table gives none. Other columns, whatever their names, are left out.
     """
     source = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     id_type = source.schema["doc_id"].dataType.simpleString()

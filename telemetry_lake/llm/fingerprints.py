@@ -123,7 +123,9 @@ def with_next(docs: DataFrame) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fp, edited_fp, near_edited, near_next) per row.
 
     The next document follows by ascending id; null ids come first, rows of one id go by a
-    hash of their text. The last document is followed by the first. A null text is empty.
+    hash of their text. The last document is followed by the first. A null text is empty, and a
+    long one is hashed block by block, with the same result. Repeated rows stay rows of their own, an
+    empty table gives no rows, and other columns, whatever their names, are left out.
     """
     source = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), text_key("text").alias("key"))
     id_type = source.schema["doc_id"].dataType.simpleString()

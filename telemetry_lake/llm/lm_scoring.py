@@ -269,7 +269,8 @@ def score(docs: DataFrame) -> DataFrame:
 
     A null text is an empty one: its only token is the end. A null id counts as training.
     Repeated rows are scored one by one, and each is learned from. Without any training
-    document all counts are 0 and the model is what it starts from.
+    document all counts are 0 and the model is what it starts from. A long text is read block by
+    block, with the same result. Other columns, whatever their names, are left out.
     """
     spark = docs.sparkSession
     counts = stored(word_counts(docs), "word-counts")
