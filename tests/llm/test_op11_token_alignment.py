@@ -123,6 +123,34 @@ def test_parts_encode_as_in_their_text(both, texts):
     assert len(words.split(long)) > 50 and words.split("a  b\n c d") == ["a  b\n c", "d"]
 
 
+def test_parts_with_white_space_at_their_ends(both):
+    made = op.Tokenizers(P.path(op.VOCABULARY_A), P.path(op.VOCABULARY_B))
+    # Encoded together with the text beside it, the space of one would become part of the other.
+    for texts in (["end ", "two more"], ["a b ", " c", "  ", "d"], ["\xa0", "\xa0 é", "x\n", "\ny "], ["end \n", "\x1f z"]):
+        a, b, _, _ = op.Words(made).texts(texts)
+        assert [x.tolist() for x in a] == [both[0].encode(" " + t, add_special_tokens=False).ids for t in texts]
+        assert [x.tolist() for x in b] == both[1].encode(texts)
+
+
+def test_random_white_space(documents, both):
+    dice = random.Random(11)
+    words = ["end", "naïve", " ", "  ", "\n", "\t", "\xa0", "\u2028", "\x1f", "日本", "don't", "é"]
+    texts = ["".join(w + dice.choice(["", " "]) for w in dice.choices(words, k=dice.randint(0, 8))) for _ in range(200)]
+    rows = list(enumerate(texts))
+    assert rows_of(op.aligned(documents(rows))) == sorted(brute(rows, both), key=str)
+
+
+def test_overlaps_are_those_of_the_alignment():
+    dice = np.random.default_rng(5)
+    for total in (1, 2, 30, 500):
+        cuts = [np.unique([*dice.integers(1, total + 1, total // 2), total]) for _ in range(2)]
+        found = op.align(*[np.diff(c, prepend=0) for c in cuts])
+        first, last = op.overlaps(*cuts)
+        assert first.tolist() == found.first.tolist() and last.tolist() == found.last.tolist()
+    none = np.zeros(0, dtype=np.int64)
+    assert [len(x) for x in op.overlaps(none, none)] == [0, 0]
+
+
 def test_alphabet():
     assert printable_bytes().items() <= op.byte_alphabet().items()
     assert sorted(op.byte_alphabet().values()) == list(range(256))
