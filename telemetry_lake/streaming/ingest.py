@@ -45,6 +45,7 @@ from telemetry_lake.operators.quality import (
     nested_from_text,
     nested_in_text,
     number_from_text,
+    quoted,
     repaired,
     type_from_name,
     type_of_variant,
@@ -74,6 +75,10 @@ SPECIAL = "special"
 MISSING = "missing"
 AGAIN = "again-"
 
+#: Rows and bytes of landed text that one task sorts and writes; a few times as much where dates meet.
+TASK_ROWS = 1 << 20
+TASK_BYTES = 1 << 27
+
 
 @dataclass(frozen=True)
 class LandingFile:
@@ -395,7 +400,7 @@ def ingest_page(
                 own = lines.where(F.col("table_name") == table).select("file", "line")
                 if not schemas[table] and table not in columns:
                     return quarantine_lines(own, lake, batch, table, MALFORMED)
-                return write_table(lake, batch, table, own, columns[table])
+                return write_table(lake, batch, table, own, columns[table], sum(f.size for f in by_table[table]))
 
             counts = for_each_table(write)
         finally:
@@ -628,9 +633,9 @@ def counts_by_file(rows: DataFrame, good: Column, bad: Column) -> dict[str, tupl
 
 
 def write_table(
-    lake: Lake, batch: str, table: str, lines: DataFrame, columns: list[TableColumn]
+    lake: Lake, batch: str, table: str, lines: DataFrame, columns: list[TableColumn], size: int = 0
 ) -> dict[str, tuple[int, int]]:
-    """Write a table's part of a page; (good, bad) row counts by file name.
+    """Write a table's part of a page, of ``size`` bytes of text; (good, bad) row counts by file name.
 
     The parsed page is kept on the executors for its three uses. If it is lost it is
     parsed again from the landing files.
@@ -639,18 +644,44 @@ def write_table(
     try:
         good, bad = F.col("reason").isNull(), F.col("reason").isNotNull()
         counts = counts_by_file(rows, good, bad)
-        if any(n for n, _ in counts.values()):
-            write_batch(rows.where(good).select("row.*"), lake.table_path(table), batch, lake.date_column)
-        if any(n for _, n in counts.values()):
-            set_aside(rows.where(bad), lake, batch, table, F.col("reason"))
+        total = sum(n for n, _ in counts.values())
+        if total:
+            tasks = -(-max(total, size * TASK_ROWS // TASK_BYTES) // TASK_ROWS)
+            write_batch(rows.where(good).select("row.*"), lake.table_path(table), batch, lake.date_column, tasks)
+        faulty = sum(n for _, n in counts.values())
+        if faulty:
+            set_aside(rows.where(bad), lake, batch, table, F.col("reason"), -(-faulty // TASK_ROWS))
     finally:
         rows.unpersist()
     return counts
 
 
-def write_batch(df: DataFrame, path: str, batch: str, date_column: str) -> None:
+def spread(df: DataFrame, date_column: str, tasks: int) -> DataFrame:
+    """Rows grouped by date ahead of a write, a date with many rows over several of ``tasks`` tasks.
+
+    ``balanced`` splits by bytes, and a task's output not at all; a date's short rows would all be
+    sorted by one task. Dates are counted first, so that others stay in one file.
+    """
+    counts = df.groupBy(F.col(quoted(date_column)).alias("day")).agg(F.count("*").alias("n"))
+    rows = counts.agg(F.sum("n")).first()[0] or 0
+    most = max(rows // tasks, 1)
+    # No more than ``tasks`` dates have so many rows; the tasks behind the first ones are theirs.
+    day, width = F.col(quoted(date_column)), tasks
+    target = F.when(F.lit(False), 0)
+    for r in counts.where(F.col("n") > most).collect():
+        own = -(-r.n // most)
+        turn = F.lit(width) + F.monotonically_increasing_id() % own
+        target = target.when(day.eqNullSafe(F.lit(r.day).cast("date")), turn)
+        width += own
+    part = "_" * (1 + max(map(len, df.columns)))
+    dealt = df.withColumn(part, target.otherwise(F.pmod(F.xxhash64(day), F.lit(tasks))).cast("int"))
+    return dealt.repartitionById(width, F.col(part)).drop(part)
+
+
+def write_batch(df: DataFrame, path: str, batch: str, date_column: str, tasks: int = 1) -> None:
     """Write one batch's rows; a replay overwrites just the batch's own partitions."""
-    keyed = balanced(df, date_column).withColumn(BATCH, F.lit(batch))
+    even = balanced(df, date_column) if tasks <= 1 else spread(df, date_column, tasks)
+    keyed = even.withColumn(BATCH, F.lit(batch))
     (
         keyed.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -672,12 +703,12 @@ def quarantine_lines(
     lines = lines.where(F.trim("line") != "")
     counts = counts_by_file(lines, F.lit(False), F.lit(True))
     if counts:
-        set_aside(lines, lake, batch, table, F.lit(reason))
+        set_aside(lines, lake, batch, table, F.lit(reason), -(-sum(n for _, n in counts.values()) // TASK_ROWS))
     return counts
 
 
 def set_aside(
-    lines: DataFrame, lake: Lake, batch: str, table: str | None, reason: Column
+    lines: DataFrame, lake: Lake, batch: str, table: str | None, reason: Column, tasks: int = 1
 ) -> None:
     kept = lines.select(
         decoded_name(F.col("file")).alias("file_name"),
@@ -686,9 +717,13 @@ def set_aside(
         F.lit(table).cast("string").alias("table_name"),
         F.lit(batch).alias(BATCH),
     )
+    if tasks > 1:
+        dealt = kept.withColumn("_part", (F.monotonically_increasing_id() % tasks).cast("int"))
+        even = dealt.repartitionById(tasks, F.col("_part")).drop("_part")
+    else:
+        even = balanced(kept)
     (
-        balanced(kept)
-        .write.mode("overwrite")
+        even.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BATCH, "table_name")
         .parquet(lake.path("quarantine"))

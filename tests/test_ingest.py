@@ -826,3 +826,34 @@ def test_table_without_the_date_is_compacted_whole(spark, tmp_path):
     source = spark.read.parquet(str(tmp_path / "many"))
     assert compact.compact_folder(source, str(tmp_path / "few"), "report_date") == 100
     assert count_files(tmp_path / "few") < count_files(tmp_path / "many")
+
+
+def test_a_date_with_many_rows_is_written_by_several_tasks(spark, tmp_path):
+    days = "case when id < 9000 then null when id < 9900 then date'2024-01-01' else date_add(date'2024-02-01', int(id % 20)) end"
+    rows = spark.range(0, 10000, 1, 3).selectExpr("id", f"{days} as report_date")
+    dealt = ingest.spread(rows, "report_date", 10)
+    assert dealt.columns == rows.columns
+    sizes = [r[0] for r in dealt.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert len(sizes) > 10 and max(sizes) <= 1010
+    path = str(tmp_path / "table")
+    ingest.write_batch(rows, path, "b", "report_date", 10)
+    read = spark.read.parquet(path)
+    assert read.count() == 10000 and read.select("id").distinct().count() == 10000
+    assert read.where("report_date is null").count() == 9000
+    files = read.select("report_date", F.input_file_name().alias("file")).distinct().groupBy("report_date").count().collect()
+    assert all((r["count"] == 1) == (r.report_date is not None) for r in files) and len(files) == 22
+    assert ingest.spread(rows.where("false"), "report_date", 3).count() == 0
+
+
+def test_a_page_with_many_rows_is_spread(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "TASK_ROWS", 10)
+    lake, landing = Lake(str(tmp_path / "lake")), tmp_path / "landing"
+    landing.mkdir()
+    (landing / "some_data_1_0.json").write_text("\n".join(json.dumps({"v": i}) for i in range(200)) + "\n{oops" * 90)
+    ingest.ingest_page(spark, lake, "b", [ingest.landing_file(r) for r in ingest.discover_landing(spark, str(landing)).collect()])
+    stored = lake.open(spark).read("some_data")
+    assert sorted(r.v for r in stored.select("v").collect()) == list(range(200))
+    assert stored.select(F.input_file_name()).distinct().count() > 5
+    aside = lake.quarantine(spark)
+    assert [tuple(r) for r in aside.select("record", "reason").collect()] == [("{oops", ingest.MALFORMED)] * 90
+    assert aside.select(F.input_file_name()).distinct().count() == 9
