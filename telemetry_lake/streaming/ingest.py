@@ -438,7 +438,8 @@ def file_schemas(lines: DataFrame) -> dict[str, list[StructField]]:
     items = F.when(is_array_line(), F.from_json("line", "array<string>")).otherwise(F.array("line"))
     objects = lines.select("file", F.explode(items).alias("text")).where(F.ltrim("text").startswith("{"))
     value = F.try_parse_json("text")
-    found = objects.where(value.isNotNull()).groupBy("file").agg(F.schema_of_variant_agg(value).alias("t"))
+    # Texts that are no JSON count for nothing. A filter on the value would parse every text twice.
+    found = objects.groupBy("file").agg(F.schema_of_variant_agg(value).alias("t")).where("t != 'VOID'")
     named = found.select(decoded_name(F.col("file")).alias("file"), "t")
     return {r.file: fields_of_variant(r.t) for r in named.collect()}
 
@@ -554,8 +555,11 @@ def parse_lines(lines: DataFrame, schema: StructType) -> DataFrame:
     records = F.from_json(text, ArrayType(schema)).cast(ArrayType(StructType(numbered)))
     # What has no variant, as a name given twice, would lose something.
     whole = F.try_parse_json(line).isNotNull()
-    records = F.when(whole & (is_array | (F.size(records) <= 1)), records)
-    return lines.where(F.trim(line) != "").withColumn("record", F.explode_outer(records))
+    # A column of its own, as what is used twice in an expression with conditions is made twice.
+    made = "_" * (1 + max(map(len, lines.columns)))
+    parsed = lines.where(F.trim(line) != "").withColumn(made, records)
+    kept = F.when(whole & (is_array | (F.size(made) <= 1)), F.col(made))
+    return parsed.withColumn("record", F.explode_outer(kept)).drop(made)
 
 
 def checked_rows(lines: DataFrame, columns: list[TableColumn], date_column: str) -> DataFrame:

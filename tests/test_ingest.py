@@ -5,6 +5,7 @@ import time
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from telemetry_lake.operators import compact
 from telemetry_lake.plans import schemas
@@ -857,3 +858,15 @@ def test_a_page_with_many_rows_is_spread(spark, tmp_path, monkeypatch):
     aside = lake.quarantine(spark)
     assert [tuple(r) for r in aside.select("record", "reason").collect()] == [("{oops", ingest.MALFORMED)] * 90
     assert aside.select(F.input_file_name()).distinct().count() == 9
+
+
+def test_lines_are_parsed_once(spark):
+    lines = spark.createDataFrame([("f", '{"v":1}'), ("f", "[1"), ("g", "{oops"), ("f", '{"v":1},{"v":2}')], "file string, line string")
+    fields = [StructField("v", LongType())]
+    parsed = ingest.parse_lines(lines, StructType(fields))
+    assert parsed.columns == ["file", "line", "record"]
+    assert [r.record and r.record[0] for r in parsed.collect()] == [1, None, None, None]
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+    # A file without any JSON object has no schema.
+    assert list(ingest.file_schemas(lines)) == ["f"]
